@@ -1,0 +1,174 @@
+from decimal import Decimal as D
+
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from tradeflow.operators import messages as msg
+from tradeflow.plans.tables import trades
+from tradeflow.sources import messages as folders
+from tradeflow.streaming.flows import start_flat_trades
+
+TICK = '{"p":9.0,"s":"%s","t":1,"v":1}'
+
+# message text, rows expected as (price, symbol, ts, volume)
+CASES = {
+    "two": (
+        '{"data":[{"p":1.5,"s":"A","t":1700000000000,"v":10},'
+        '{"p":2.25,"s":"B","t":1700000000001,"v":20}],"type":"trade"}',
+        [(D("1.5"), "A", 1700000000000, 10), (D("2.25"), "B", 1700000000001, 20)],
+    ),
+    "keep_alive": ('{"type":"ping"}', []),
+    "empty": ('{"data":[],"type":"trade"}', []),
+    "corrupt": ('{"data":[{"p":1', []),
+    "fractional_volume": (
+        '{"data":[{"p":1.5,"s":"F","t":1,"v":0.5},{"p":1.5,"s":"G","t":2,"v":5}],"type":"trade"}',
+        [(D("1.5"), "F", 1, None), (D("1.5"), "G", 2, 5)],
+    ),
+    "five_decimals": (
+        '{"data":[{"p":1.23456,"s":"P","t":1,"v":1}],"type":"trade"}',
+        [(D("1.2346"), "P", 1, 1)],
+    ),
+    "tie_up": (
+        '{"data":[{"p":1.23445,"s":"T","t":1,"v":1}],"type":"trade"}',
+        [(D("1.2345"), "T", 1, 1)],
+    ),
+    "tie_down": (
+        '{"data":[{"p":-1.23445,"s":"T","t":1,"v":1}],"type":"trade"}',
+        [(D("-1.2345"), "T", 1, 1)],
+    ),
+    "price_overflow": (
+        '{"data":[{"p":12345678.5,"s":"O","t":1,"v":1}],"type":"trade"}',
+        [(None, "O", 1, 1)],
+    ),
+    "volume_overflow": (
+        '{"data":[{"p":9.0,"s":"V","t":1,"v":3000000000}],"type":"trade"}',
+        [(D("9"), "V", 1, None)],
+    ),
+    "missing_field": (
+        '{"data":[{"p":1.0,"s":"M","t":1}],"type":"trade"}',
+        [(D("1"), "M", 1, None)],
+    ),
+    "extra_field": (
+        '{"data":[{"p":9.0,"s":"E","t":1,"v":1,"c":["1"]}],"type":"trade"}',
+        [(D("9"), "E", 1, 1)],
+    ),
+    "other_type": ('{"data":[%s],"type":"news"}' % (TICK % "N"), [(D("9"), "N", 1, 1)]),
+    "null_tick": (
+        '{"data":[null,%s],"type":"trade"}' % (TICK % "L"),
+        [(None, None, None, None), (D("9"), "L", 1, 1)],
+    ),
+}
+
+ALL_ROWS = sorted(
+    (r for _, out in CASES.values() for r in out),
+    key=lambda r: [(v is not None, v) for v in r],
+)
+
+
+@pytest.fixture
+def one_per_file(tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    for i, (text, _) in enumerate(CASES.values()):
+        # Spread over lines, as a document per file may be.
+        (folder / f"input_17000000000{i:02d}").write_text(text.replace(",", ",\n"))
+    return str(folder)
+
+
+@pytest.mark.parametrize("case", CASES)
+def test_parse_and_flatten(spark, case):
+    text, expected = CASES[case]
+    out = msg.flatten(msg.parse(spark.createDataFrame([(text,)], "value string")))
+    assert out.columns == ["price", "symbol", "ts", "volume"]
+    assert [tuple(r) for r in out.collect()] == expected
+
+
+def test_folder_of_documents(spark, one_per_file):
+    out = msg.flatten(folders.read_messages(spark, one_per_file, multi_line=True))
+    assert rows(out) == ALL_ROWS
+
+
+def test_only_type_and_place(spark, one_per_file):
+    read = folders.read_messages(spark, one_per_file, multi_line=True)
+    out = msg.flatten(read, only_type="trade", keep=("file", "pos"))
+    assert "N" not in {r.symbol for r in out.collect()}
+    two = out.filter("symbol in ('A', 'B')")
+    assert rows(two, "symbol", "file", "pos") == [
+        ("A", "input_1700000000000", 0),
+        ("B", "input_1700000000000", 1),
+    ]
+
+
+@pytest.mark.parametrize("max_files", [None, 3])
+def test_stream_equals_batch(spark, one_per_file, tmp_path, max_files):
+    source = folders.stream_messages(
+        spark, one_per_file, multi_line=True, clean_source="off", max_files=max_files
+    )
+    query = start_flat_trades(
+        source, str(tmp_path / "out"), str(tmp_path / "checkpoint"), availableNow=True
+    )
+    query.awaitTermination()
+    assert len(query.recentProgress) >= (1 if max_files is None else 5)
+    assert rows(spark.read.parquet(str(tmp_path / "out"))) == ALL_ROWS
+
+
+def test_stream_goes_on_after_a_restart(spark, tmp_path):
+    folder = str(tmp_path / "in")
+
+    def run():
+        source = folders.stream_messages(spark, folder)
+        start_flat_trades(
+            source, str(tmp_path / "out"), str(tmp_path / "checkpoint"), availableNow=True
+        ).awaitTermination()
+        return rows(spark.read.parquet(str(tmp_path / "out")), "symbol", "ts")
+
+    def land(symbol, n):
+        ticks = spark.range(n).select(
+            F.lit(1).cast("decimal(10,4)").alias("price"),
+            F.lit(symbol).alias("symbol"),
+            F.col("id").alias("ts"),
+            F.lit(1).alias("volume"),
+        )
+        folders.land_messages(msg.pack_messages(ticks), folder)
+
+    land("A", 5)
+    first = [("A", i) for i in range(5)]
+    assert run() == first
+    assert run() == first
+    land("B", 3)
+    assert run() == first + [("B", i) for i in range(3)]
+
+
+def test_pack_bounds_every_message(spark):
+    ticks = spark.range(0, 2500, 1, 3).selectExpr(
+        "cast(id as decimal(10,4)) price", "'HOT' symbol", "id ts", "cast(id as int) volume"
+    )
+    packed = msg.pack_messages(ticks, max_ticks=100)
+    sizes = [r[0] for r in packed.select(F.size("data")).collect()]
+    assert sum(sizes) == 2500 and max(sizes) == 100
+    assert rows(msg.flatten(packed)) == rows(ticks)
+
+
+def test_roundtrip_keeps_nulls(spark, tmp_path):
+    ticks = spark.createDataFrame(
+        [(None, "A", 1, 2), (D("1.5"), None, 2, None), (D("2"), 'q"&\\', None, 3)],
+        "price decimal(10,4), symbol string, ts bigint, volume int",
+    )
+    folders.land_messages(msg.pack_messages(ticks), str(tmp_path / "in"))
+    assert rows(msg.flatten(folders.read_messages(spark, str(tmp_path / "in")))) == rows(ticks)
+
+
+def test_text_is_parsed_once(spark, sf_dir):
+    from conftest import plan
+
+    texts = msg.encode(msg.pack_messages(trades(spark, sf_dir)))
+    assert plan(msg.flatten(msg.parse(texts))).count("from_json") == 1
+
+
+def test_subscriptions(spark):
+    out = msg.subscriptions(spark.createDataFrame([("AAPL",), ('A"B',)], "Symbol string"))
+    assert [r.message for r in out.collect()] == [
+        '{"type":"subscribe","symbol":"AAPL"}',
+        '{"type":"subscribe","symbol":"A\\"B"}',
+    ]

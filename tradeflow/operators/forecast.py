@@ -12,7 +12,8 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import DecisionTreeRegressionModel, DecisionTreeRegressor
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tradeflow.operators.skew import lookup
+from tradeflow.operators.skew import fits_broadcast, lookup
+from tradeflow.session import shared_folder
 
 # A bucket spans 2**16 volumes, so the 2**32 values of an int fill at most 2**16
 # buckets of at most 2**16 distinct volumes each.
@@ -35,13 +36,18 @@ def leaves(trades: DataFrame) -> DataFrame:
     )
 
 
-def predict_exact(leaf_means: DataFrame, requests: DataFrame, **limits: int) -> DataFrame:
+def predict_exact(
+    leaf_means: DataFrame, requests: DataFrame, small: bool | None = None
+) -> DataFrame:
     """``requests`` with ``prediction``, for any number of leaves and requests.
 
     Leaves and distinct requests are put side by side in buckets of the volume,
     whose size is bounded by the type. Each point takes the nearest leaf below
-    and above in its bucket, else from the nearest bucket that has one.
+    and above in its bucket, else from the nearest bucket that has one. The
+    points are read several times and so are pinned by a checkpoint; the trades
+    behind the leaves are read once.
     """
+    shared_folder(requests.sparkSession)
     means = leaf_means.select(F.col("volume").cast("int"), "mean")
     asked = requests.select(F.col("volume").cast("int"), F.lit(None).cast("double").alias("mean"))
     points = (
@@ -51,6 +57,7 @@ def predict_exact(leaf_means: DataFrame, requests: DataFrame, **limits: int) ->
         .filter(F.col("volume").isNotNull())
         .withColumn("bucket", F.shiftright("volume", BUCKET_BITS))
         .withColumn("leaf", F.when(F.col("mean").isNotNull(), F.struct("volume", "mean")))
+        .checkpoint()
     )
     # Upward looks are written as downward looks over the reverse order: a frame
     # that ends at the last row would be summed anew for each row.
@@ -84,7 +91,9 @@ def predict_exact(leaf_means: DataFrame, requests: DataFrame, **limits: int) ->
         .otherwise(F.col("above.mean"))
         .alias("prediction"),
     )
-    return lookup(requests, answers, "volume", **limits)
+    if small is None:
+        small = fits_broadcast(points.select("volume", "mean"))
+    return lookup(requests, answers, "volume", small)
 
 
 def _features(df: DataFrame) -> DataFrame:
@@ -101,22 +110,20 @@ def fit_tree(trades: DataFrame, max_leaves: int = MAX_TREE_LEAVES) -> DecisionTr
     the impurity on every level, so the weighted means give the same splits as
     the rows themselves. Training then reads the trades once, whatever the depth.
     """
-    training = leaves(trades).cache()
-    try:
-        n = training.count()
-        if n > max_leaves:
-            raise ValueError(f"{n} distinct volumes; use predict_exact beyond {max_leaves}")
-        tree = DecisionTreeRegressor(
-            labelCol="mean",
-            weightCol="weight",
-            maxDepth=MAX_DEPTH,
-            maxBins=max(2, n + 1),
-            minInstancesPerNode=1,
-            minInfoGain=0.0,
-        )
-        model = tree.fit(_features(training.coalesce(8)))
-    finally:
-        training.unpersist()
+    shared_folder(trades.sparkSession)
+    training = leaves(trades).checkpoint()
+    n = training.count()
+    if n > max_leaves:
+        raise ValueError(f"{n} distinct volumes; use predict_exact beyond {max_leaves}")
+    tree = DecisionTreeRegressor(
+        labelCol="mean",
+        weightCol="weight",
+        maxDepth=MAX_DEPTH,
+        maxBins=max(2, n + 1),
+        minInstancesPerNode=1,
+        minInfoGain=0.0,
+    )
+    model = tree.fit(_features(training))
     if model.depth >= MAX_DEPTH:
         raise ValueError("the tree is deeper than Spark allows; use predict_exact")
     return model

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from tradeflow.session import shared_folder
+
 BROADCAST_BYTES = 64 * 1024 * 1024
 BROADCAST_ROWS = 1_000_000
 # A key is heavy when it holds more than 1/HEAVY_SHARE of all rows, so there are
@@ -25,30 +27,34 @@ def fits_broadcast(
 
 
 def heavy_keys(df: DataFrame, key: str, share: int = HEAVY_SHARE) -> DataFrame:
-    """Non-null keys with more than 1/``share`` of the rows: fewer than ``share``."""
+    """Non-null keys with more than 1/``share`` of the rows, as a local table.
+
+    There are fewer than ``share`` of them, so they pass through the driver.
+    """
     floor = df.count() / share
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    return counts.filter((F.col("_n") > floor) & F.col(key).isNotNull()).select(key)
+    heavy = counts.filter((F.col("_n") > floor) & F.col(key).isNotNull()).select(key)
+    return df.sparkSession.createDataFrame(heavy.collect(), heavy.schema)
 
 
-def lookup(
-    rows: DataFrame,
-    facts: DataFrame,
-    key: str,
-    max_rows: int = BROADCAST_ROWS,
-    max_bytes: int = BROADCAST_BYTES,
-) -> DataFrame:
+def lookup(rows: DataFrame, facts: DataFrame, key: str, small: bool | None = None) -> DataFrame:
     """``rows`` left join ``facts`` on ``key``; ``facts`` has one row per key.
 
-    Small facts are broadcast and ``rows`` stays where it is. Otherwise the
-    heavy keys, of which there are few, are looked up by broadcast and only the
-    rest is shuffled, so no task gets more than a small share of the rows.
-    Rows with a null key match nothing and are kept out of the shuffle too.
+    Small facts are broadcast and ``rows`` stays where it is; unless the caller
+    knows, their size is taken first. Otherwise the heavy keys, of which there
+    are few, are looked up by broadcast and only the rest is shuffled, so no
+    task gets more than a small share of the rows. Rows with a null key match
+    nothing and are kept out of the shuffle too.
     """
-    if fits_broadcast(facts, max_rows, max_bytes):
+    if fits_broadcast(facts) if small is None else small:
         return rows.join(F.broadcast(facts), key, "left")
-    heavy = heavy_keys(rows, key)
-    heavy_facts = heavy.join(facts, key, "left").withColumn("_heavy", F.lit(True))
+    shared_folder(rows.sparkSession)
+    facts = facts.checkpoint()
+    heavy_facts = (
+        heavy_keys(rows, key)
+        .join(facts, key, "left")
+        .withColumn("_heavy", F.lit(True))
+    )
     tagged = rows.join(F.broadcast(heavy_facts), key, "left")
     in_place = F.col("_heavy").isNotNull() | F.col(key).isNull()
     here = tagged.filter(in_place).drop("_heavy")

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tradeflow.functions.time import bound
 from tradeflow.operators.skew import lookup
 from tradeflow.operators.universe import stock_facts
+from tradeflow.session import shared_folder
 
 
 def symbols(trades: DataFrame) -> DataFrame:
@@ -18,9 +19,9 @@ def older_than(trades: DataFrame, cutoff: int, column: str = "ts") -> Column:
     return F.col(column) < bound(cutoff, trades.schema[column].dataType)
 
 
-def enrich(trades: DataFrame, stocks: DataFrame, **limits: int) -> DataFrame:
+def enrich(trades: DataFrame, stocks: DataFrame, small: bool | None = None) -> DataFrame:
     """Trades with security, sector and indexes of their stock; none is lost."""
-    return lookup(trades, stock_facts(stocks), "symbol", **limits)
+    return lookup(trades, stock_facts(stocks), "symbol", small)
 
 
 def series(
@@ -66,18 +67,18 @@ def with_previous_price(trades: DataFrame, max_group: int = LAG_GROUP_ROWS) -> D
     small = Window.partitionBy("symbol").orderBy(*order)
     lagged = F.lag("price").over(small).alias("price_lag1")
     counts = trades.groupBy("symbol").agg(F.count(F.lit(1)).alias("_n"))
-    large = counts.filter(F.col("_n") > max_group)
-    # Fewer than (all rows / max_group) symbols can be large.
-    n_large, n_rows = large.agg(
-        F.count(F.lit(1)), F.coalesce(F.sum("_n"), F.lit(0))
-    ).first()
-    if n_large == 0:
+    # Fewer symbols than all rows / max_group can be large.
+    large = counts.filter(F.col("_n") > max_group).collect()
+    if not large:
         return trades.select("*", lagged)
-    flag = F.broadcast(large.select(F.col("symbol").alias("_s"), F.lit(True).alias("_large")))
-    tagged = trades.join(flag, F.col("symbol").eqNullSafe(F.col("_s")), "left").drop("_s")
+    flags = trades.sparkSession.createDataFrame(
+        [(symbol, True) for symbol, _ in large], "_s string, _large boolean"
+    )
+    same = F.col("symbol").eqNullSafe(F.col("_s"))
+    tagged = trades.join(F.broadcast(flags), same, "left").drop("_s")
     rest = tagged.filter(F.col("_large").isNull()).drop("_large").select("*", lagged)
     cut = tagged.filter(F.col("_large").isNotNull()).drop("_large")
-    slices = max(2, -(-2 * n_rows // max_group))
+    slices = max(2, -(-2 * sum(n for _, n in large) // max_group))
     return rest.unionByName(_previous_by_slice(cut, order, slices))
 
 
@@ -90,6 +91,7 @@ def _previous_by_slice(trades: DataFrame, order: list[str], slices: int) -> Data
     are read twice: once for the lag inside a slice, once for the last price of
     each slice, which the first row of the symbol's next slice takes.
     """
+    shared_folder(trades.sparkSession)
     pinned = (
         trades.withColumn("_split", F.spark_partition_id())
         .repartitionByRange(slices, "symbol", *order, "_split")

@@ -31,9 +31,17 @@ _FLAT = _trades("SELECT price, symbol, ts, volume FROM trades")
 _UNIVERSE = _stocks("SELECT * FROM stocks")
 
 
+# One row per key; of rows written together the greatest wins.
+_KEYED = """keyed AS (
+  SELECT * FROM trades WHERE symbol IS NOT NULL AND ts IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY symbol, ts
+    ORDER BY price DESC NULLS LAST, volume DESC NULLS LAST) = 1)"""
+
+
 def _archived(test: str) -> str:
-    return _trades(
-        f"SELECT symbol, {_TIME} AS ts, price, volume FROM trades WHERE ts {test} 1705276800000"
+    return (
+        f"WITH {_TRADES}, {_KEYED} SELECT symbol, {_TIME} AS ts, price, volume "
+        f"FROM keyed WHERE ts {test} 1705276800000"
     )
 
 
@@ -45,9 +53,10 @@ def _picked(index: str) -> str:
 
 
 def _series(column: str) -> str:
-    return _trades(
+    return (
+        f"WITH {_TRADES}, {_KEYED} "
         f"SELECT 'U7 {column}' AS id, CAST({column} AS DOUBLE) AS value, {_TIME} AS time "
-        "FROM trades WHERE symbol = 'U7' AND ts > 0 AND ts < 1706000000000"
+        "FROM keyed WHERE symbol = 'U7' AND ts > 0 AND ts < 1706000000000"
     )
 
 
@@ -63,7 +72,7 @@ nearest AS (
   SELECT volume, CASE WHEN below IS NULL THEN above WHEN above IS NULL THEN below
     WHEN 2 * volume <= below + above THEN below ELSE above END AS leaf FROM sides)
 SELECT {shown}, round(l.mean, 6) AS prediction
-FROM requests r JOIN nearest n ON n.volume = r.volume JOIN leaves l ON l.volume = n.leaf"""
+FROM requests r LEFT JOIN nearest n ON n.volume = r.volume LEFT JOIN leaves l ON l.volume = n.leaf"""
 
 
 ORACLES: dict[str, str] = {

@@ -30,15 +30,17 @@ class _Cell:
     def __init__(self, header: bool, attrs: dict[str, str | None]):
         self.header = header
         self.parts: list[str] = []
-        self.cols = _span(attrs.get("colspan"))
-        self.rows = _span(attrs.get("rowspan"))
+        self.cols = _span(attrs.get("colspan"), 1000)
+        self.rows = _span(attrs.get("rowspan"), 65534)
 
     def text(self) -> str:
         return " ".join("".join(self.parts).split())
 
 
-def _span(value: str | None) -> int:
-    return max(1, int(value)) if value and value.strip().isdigit() else 1
+def _span(value: str | None, most: int) -> int:
+    """A span attribute within the limits of the HTML standard."""
+    digits = (value or "").strip()
+    return min(most, max(1, int(digits))) if digits.isdecimal() else 1
 
 
 class _TableReader(HTMLParser):

@@ -138,30 +138,38 @@ class TradeStore:
 
     # Reads.
 
-    def _versions(self, move: Move | None) -> tuple[DataFrame, int]:
-        """Hot rows after ``move`` with their version, and the last version.
+    def _latest(self, move: Move | None, spread: bool = False) -> tuple[DataFrame, int]:
+        """Latest row per key of what ``move`` left hot and of all appends after
+        it, and the last version that is in.
 
         The rows that ``move`` left hot carry the version it went through, which
-        is below that of any later append.
+        is below that of any later append. Each part has distinct keys, so a
+        single part needs no aggregate.
         """
         last = self._last_append()
         start, end = move.through if move else 0, last[0] if last else 0
-        appended = (
+        parts = sum(start < v <= end for v in self._numbers(self.hot_path, "version"))
+        rows = (
             self.spark.read.schema(_HOT)
             .parquet(self.hot_path)
             .filter((F.col("version") > start) & (F.col("version") <= end))
+            .select(*_HOT.names)
         )
         left = f"{self.moves_path}/run={move.run}/through={start}/tier=hot" if move else None
-        if left is None or not self._files(left).exists(self._path(left)):
-            return appended.select(*TRADES.names, "version"), max(start, end)
-        kept = self.spark.read.schema(TRADES).parquet(left)
-        kept = kept.withColumn("version", F.lit(start).cast("bigint"))
-        return kept.unionByName(appended.select(*kept.columns)), max(start, end)
+        if left is not None and self._files(left).exists(self._path(left)):
+            kept = self.spark.read.schema(TRADES).parquet(left)
+            kept = kept.withColumn("version", F.lit(start).cast("bigint"))
+            rows = kept.unionByName(rows) if parts else kept
+            parts += 1
+        if spread:
+            rows = rows.repartitionByRange(*KEY)
+        if parts > 1:
+            rows = latest_per_key(rows, KEY, ["version"], VALUES)
+        return rows.select(*TRADES.names), max(start, end)
 
     def read_hot(self) -> DataFrame:
         """The hot table as of now: the latest row of each key."""
-        rows, _ = self._versions(self._last_move())
-        return latest_per_key(rows, KEY, ["version"], VALUES).select(*TRADES.names)
+        return self._latest(self._last_move())[0]
 
     def read_cold(self) -> DataFrame:
         """All archived rows as of now, with the run that moved them."""
@@ -183,9 +191,8 @@ class TradeStore:
         parts. A key has at most one copy per version, so no copies pile up.
         """
         done = self._last_move()
-        rows, through = self._versions(done)
+        latest, through = self._latest(done, spread=True)
         run = done.run + 1 if done else 1
-        latest = latest_per_key(rows.repartitionByRange(*KEY), KEY, ["version"], VALUES)
         seen = Observation()
         cold = older_than(latest, cutoff)
         tiered = latest.observe(
