@@ -82,14 +82,20 @@ ORACLES: dict[str, str] = {
     "epoch_ms": """SELECT event_id, epoch_us(ts) // 1000 AS ms,
         (epoch_us(ts) + 500) // 1000 AS ms_rounded,
         make_timestamp((epoch_us(ts) // 1000) * 1000) AS ts_ms FROM events""",
-    "stream_hot_upsert": _trades(
-        f"""SELECT symbol, {_TIME} AS ts, CAST(price + CASE WHEN volume >= 50 THEN 0 ELSE 1 END
-        AS DECIMAL(10,4)) AS price, volume FROM trades"""
-    ),
+    # The late row of a key, else its early row, whose price is one too high.
+    "stream_hot_upsert": f"""WITH {_TRADES}, keyed AS (
+        SELECT *, volume IS NOT NULL AND volume >= 50 AS late FROM trades
+        WHERE symbol IS NOT NULL AND ts IS NOT NULL
+        QUALIFY row_number() OVER (PARTITION BY symbol, ts
+          ORDER BY late DESC, price DESC NULLS LAST, volume DESC NULLS LAST) = 1)
+        SELECT symbol, {_TIME} AS ts,
+        CAST(price + CASE WHEN late THEN 0 ELSE 1 END AS DECIMAL(10,4)) AS price, volume
+        FROM keyed""",
     "hot_upsert": """SELECT event_type AS symbol, date_trunc('hour', ts) AS ts,
-        arg_max(CAST(value AS DECIMAL(10,4)), event_id) AS price,
-        arg_max(CAST(props->>'$.k' AS INT), event_id) AS volume
-        FROM events GROUP BY 1, 2""",
+        CAST(value AS DECIMAL(10,4)) AS price, CAST(props->>'$.k' AS INT) AS volume
+        FROM events WHERE event_type IS NOT NULL AND ts IS NOT NULL
+        QUALIFY row_number() OVER (PARTITION BY event_type, date_trunc('hour', ts)
+          ORDER BY event_id DESC) = 1""",
     "latest_event": """SELECT user_id, event_type, value, ts FROM events
         QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id DESC) = 1""",
     "archive_cold": _archived("<"),
@@ -138,7 +144,7 @@ ORACLES: dict[str, str] = {
     ),
     "forecast_lag1": _trades(
         """SELECT price, symbol, ts, volume, lag(price) OVER (PARTITION BY symbol
-        ORDER BY ts, price NULLS FIRST, volume NULLS FIRST) AS price_lag1 FROM trades"""
+        ORDER BY ts NULLS FIRST, price NULLS FIRST, volume NULLS FIRST) AS price_lag1 FROM trades"""
     ),
     "csv_training_scan": _trades("SELECT volume, CAST(price AS DOUBLE) AS price FROM trades"),
 }

@@ -119,7 +119,7 @@ def hot_upsert(spark, sf_dir):
         F.get_json_object("props", "$.k").cast("int").alias("volume"),
         "event_id",
     )
-    middle = rows.agg(F.max("event_id")).first()[0] // 2
+    middle = (rows.agg(F.max("event_id")).first()[0] or 0) // 2
     store = TradeStore(spark, work_folder(spark, "hot-upsert"))
     store.append(rows.filter(F.col("event_id") <= middle), ["event_id"])
     store.append(rows.filter(F.col("event_id") > middle), ["event_id"])

@@ -60,6 +60,7 @@ def stock_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
     def cell(value):
+        value = F.coalesce(value, F.lit(""))
         for plain, escaped in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
             value = F.replace(value, F.lit(plain), F.lit(escaped))
         return F.concat(F.lit("<td>"), value, F.lit("</td>"))
