@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tradeflow.operators import messages as msg
 from tradeflow.sources import messages as folders
 from tradeflow.sources.store import TradeStore
-from tradeflow.streaming.flows import start_hot_trades, start_moves
+from tradeflow.streaming.flows import start_hot_trades, start_moves, start_refresh
 
 
 def at(ms):
@@ -169,8 +169,9 @@ def test_vacuum_keeps_the_content(spark, store):
 def test_move_needs_one_shuffle(spark, store):
     store.append(frame(spark, ("A", 1, 1, 1)))
     store.append(frame(spark, ("A", 1, 2, 1)))
-    latest, _ = store._latest(None, spread=True)
-    assert plan(latest).count("\n(") and plan(latest).count("rangepartitioning") == 1
+    latest, _ = store._latest(None, by_day=True)
+    assert plan(latest).count("rangepartitioning") == 1
+    assert "Aggregate" in plan(latest)
     assert "hashpartitioning" not in plan(latest)
 
 
@@ -250,3 +251,33 @@ def test_batches_without_any_key_or_row(spark, store):
     assert content(store.read_hot()) == []
     store.append(frame(spark, ("A", 1, 1, 1)))
     assert content(store.read_hot()) == [("A", 1, 1, 1)]
+
+
+def test_time_bounds_leave_out_other_days(spark, store):
+    day = 86_400_000
+    store.append(frame(spark, *[("A", i * day // 2, i, 1) for i in range(10)]))
+    store.move(100 * day)
+    part = store.read_cold(day, 2 * day)
+    assert [t for _, t, _, _ in content(part)] == [day, day + day // 2]
+    assert [t for _, t, _, _ in content(store.read_cold(4 * day))] == [4 * day, 4 * day + day // 2]
+    assert len(content(store.read_cold(None, day + 1))) == 3
+    scan = next(x for x in plan(part).splitlines() if x.startswith("PartitionFilters"))
+    assert "(day#" in scan
+
+
+def test_refresh_sees_new_rows(spark, store, tmp_path):
+    shown = []
+
+    def show(hot):
+        shown.append(content(hot.filter("symbol = 'A'")))
+        store.append(frame(spark, ("A", 1000 + len(shown), 1, 1), ("B", 1, 1, 1)))
+
+    query = start_refresh(spark, store.root, str(tmp_path / "checkpoint"), show, every_s=0.5)
+    try:
+        for _ in range(60):
+            if len(shown) > 2:
+                break
+            query.awaitTermination(0.5)
+    finally:
+        query.stop()
+    assert [len(x) for x in shown[:3]] == [0, 1, 2]

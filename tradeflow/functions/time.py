@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 from pyspark.sql import types as T
 
+from tradeflow.constants import MOVE_SECONDS
+
 _EPOCH_NTZ = "timestamp_ntz'1970-01-01 00:00:00'"
 
 
@@ -37,7 +39,7 @@ def now_ms() -> Column:
     return F.floor((F.unix_micros(F.current_timestamp()) + 500) / 1000)
 
 
-def cutoff_ms(now: int, delay_s: int = 60) -> int:
+def cutoff_ms(now: int, delay_s: int = MOVE_SECONDS) -> int:
     """Rows with a time below this are older than ``delay_s`` seconds."""
     return now - 1000 * delay_s
 

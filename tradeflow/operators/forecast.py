@@ -123,7 +123,8 @@ def fit_tree(trades: DataFrame, max_leaves: int = MAX_TREE_LEAVES) -> DecisionTr
         minInstancesPerNode=1,
         minInfoGain=0.0,
     )
-    model = tree.fit(_features(training))
+    # At most max_leaves rows: one task per level of the tree is enough.
+    model = tree.fit(_features(training.coalesce(1)))
     if model.depth >= MAX_DEPTH:
         raise ValueError("the tree is deeper than Spark allows; use predict_exact")
     return model

@@ -31,8 +31,9 @@ def heavy_keys(df: DataFrame, key: str, share: int = HEAVY_SHARE) -> DataFrame:
 
     There are fewer than ``share`` of them, so they pass through the driver.
     """
-    floor = df.count() / share
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    shared_folder(df.sparkSession)
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).checkpoint()
+    floor = (counts.agg(F.sum("_n")).first()[0] or 0) / share
     heavy = counts.filter((F.col("_n") > floor) & F.col(key).isNotNull()).select(key)
     return df.sparkSession.createDataFrame(heavy.collect(), heavy.schema)
 
@@ -48,13 +49,9 @@ def lookup(rows: DataFrame, facts: DataFrame, key: str, small: bool | None = Non
     """
     if fits_broadcast(facts) if small is None else small:
         return rows.join(F.broadcast(facts), key, "left")
-    shared_folder(rows.sparkSession)
+    heavy = heavy_keys(rows, key)
     facts = facts.checkpoint()
-    heavy_facts = (
-        heavy_keys(rows, key)
-        .join(facts, key, "left")
-        .withColumn("_heavy", F.lit(True))
-    )
+    heavy_facts = heavy.join(facts, key, "left").withColumn("_heavy", F.lit(True))
     tagged = rows.join(F.broadcast(heavy_facts), key, "left")
     in_place = F.col("_heavy").isNotNull() | F.col(key).isNull()
     here = tagged.filter(in_place).drop("_heavy")

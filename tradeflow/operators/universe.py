@@ -6,6 +6,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tradeflow.constants import FIRST_SYMBOLS, INDEX_PAGES
+from tradeflow.sources.html import cell_columns, html_table
+
 
 def index_members(
     table: DataFrame, symbol: str, security: str, sector: str, index: str
@@ -23,6 +26,17 @@ def universe(*members: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, members)
 
 
+def universe_from_pages(pages: DataFrame) -> DataFrame:
+    """The universe from HTML pages ``(page_id, index, html)``, each read by the
+    table position and headers of its index."""
+    members = []
+    for index, (position, *headers) in INDEX_PAGES.items():
+        own = pages.filter(F.col("index") == index)
+        table = cell_columns(html_table(own, "html", "page_id", position), *headers)
+        members.append(index_members(table, *headers, index))
+    return universe(*members)
+
+
 def stock_label() -> Column:
     return F.concat("Symbol", F.lit("("), "Security", F.lit(")"))
 
@@ -45,7 +59,7 @@ def index_names(stocks: DataFrame) -> DataFrame:
     return stocks.select("Index").distinct()
 
 
-def first_symbols(stocks: DataFrame, n: int = 10) -> DataFrame:
+def first_symbols(stocks: DataFrame, n: int = FIRST_SYMBOLS) -> DataFrame:
     """The first ``n`` distinct symbols in ascending order."""
     return stocks.select("Symbol").distinct().orderBy("Symbol").limit(n)
 

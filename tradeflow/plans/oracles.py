@@ -103,6 +103,7 @@ ORACLES: dict[str, str] = {
     "hot_symbols": _trades("SELECT DISTINCT symbol FROM trades"),
     "universe_union": _UNIVERSE,
     "universe_reload": _UNIVERSE,
+    "universe_from_pages": _UNIVERSE,
     "universe_table_scan": _UNIVERSE,
     "stock_picker": _picked("'NASDAQ'"),
     "stock_picker_none": _picked("NULL"),
@@ -123,6 +124,10 @@ ORACLES: dict[str, str] = {
         AND ts < make_timestamp(1706000000000000)""",
     "series_price": _series("price"),
     "series_volume": _series("volume"),
+    "series_archive": f"""WITH {_TRADES}, {_KEYED}
+        SELECT symbol AS id, CAST(price AS DOUBLE) AS value, {_TIME} AS time FROM keyed
+        WHERE symbol IN ('U7', 'U8') AND ts > 1705276800000 - 10 * 86400000
+        AND ts < 1705276800000 - 5 * 86400000""",
     "trades_enriched": f"""WITH {_TRADES}, {_STOCKS}, facts AS (
         SELECT "Symbol" AS symbol, min("Security") AS security, min("Sector") AS sector,
                string_agg(DISTINCT "Index", ',' ORDER BY "Index") AS indexes

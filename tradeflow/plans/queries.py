@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tradeflow.constants import SUBSCRIPTION_LIMIT
 from tradeflow.functions.time import (
     epoch_ms_to_ntz,
     ntz_to_epoch_ms,
@@ -14,7 +15,14 @@ from tradeflow.functions.time import (
 )
 from tradeflow.operators import forecast, messages as msg, trades as tr, universe as uni
 from tradeflow.operators.latest import latest_per_key
-from tradeflow.plans.tables import stock_pages, stocks, table, timed_trades, trades
+from tradeflow.plans.tables import (
+    customer_pages,
+    index_pages,
+    stocks,
+    table,
+    timed_trades,
+    trades,
+)
 from tradeflow.session import configure, work_folder
 from tradeflow.sources import messages as folders, tables
 from tradeflow.sources.html import cell_columns, html_table
@@ -23,6 +31,7 @@ from tradeflow.streaming.flows import start_flat_trades, start_hot_trades
 
 CUTOFF_MS = 1705276800000  # 2024-01-15 00:00 UTC
 SERIES_END_MS = 1706000000000
+DAY_MS = 86_400_000
 REQUESTS = (10, 1200, -5)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -207,24 +216,30 @@ def universe_counts(spark, sf_dir):
 
 @query
 def top_symbols(spark, sf_dir):
-    return uni.first_symbols(stocks(spark, sf_dir), 10)
+    return uni.first_symbols(stocks(spark, sf_dir))
 
 
 @query
 def subscribe_messages(spark, sf_dir):
     """Subscribe messages for the first 50 symbols, the provider's limit."""
-    return msg.subscriptions(uni.first_symbols(stocks(spark, sf_dir), 50))
+    return msg.subscriptions(uni.first_symbols(stocks(spark, sf_dir), SUBSCRIPTION_LIMIT))
 
 
 @query
 def html_table_rows(spark, sf_dir):
     """Stocks read from the second table of HTML pages."""
-    rows = html_table(stock_pages(spark, sf_dir), "html", "page_id", index=1)
+    rows = html_table(customer_pages(spark, sf_dir), "html", "page_id", index=1)
     return cell_columns(rows, "Ticker", "Company", "GICS Sector").withColumnsRenamed(
         {"Ticker": "Symbol", "Company": "Security", "GICS Sector": "Sector"}
     )
 
 
+@query
+def universe_from_pages(spark, sf_dir):
+    """The universe read from the pages of both indexes."""
+    return uni.universe_from_pages(index_pages(spark, sf_dir))
+
+
 # Series
 
 
@@ -235,23 +250,31 @@ def series_range(spark, sf_dir):
     return tr.series(rows, "user_id", "value", "ts", [7, 8], CUTOFF_MS, SERIES_END_MS)
 
 
-def _stored_series(spark, sf_dir, column):
-    """One symbol's series from an archive that is sorted by key."""
+def _hot_series(spark, sf_dir, column):
+    """One symbol's series from the hot table."""
     store = TradeStore(spark, work_folder(spark, "series"))
     store.append(timed_trades(spark, sf_dir))
     hot = store.read_hot()
-    return tr.series(hot, "symbol", column, "ts", ["U7"], 0, SERIES_END_MS, alias=f"U7 {column}")
+    rows = tr.series(hot, "symbol", column, "ts", ["U7"], 0, SERIES_END_MS, alias=f"U7 {column}")
+    return rows.withColumn("time", timestamp_to_ntz(F.col("time")))
 
 
 @query
 def series_price(spark, sf_dir):
-    rows = _stored_series(spark, sf_dir, "price")
-    return rows.withColumn("time", timestamp_to_ntz(F.col("time")))
+    return _hot_series(spark, sf_dir, "price")
 
 
 @query
 def series_volume(spark, sf_dir):
-    rows = _stored_series(spark, sf_dir, "volume")
+    return _hot_series(spark, sf_dir, "volume")
+
+
+@query
+def series_archive(spark, sf_dir):
+    """Series of two symbols from the days of the archive that can hold them."""
+    start, end = CUTOFF_MS - 10 * DAY_MS, CUTOFF_MS - 5 * DAY_MS
+    cold = _moved(spark, sf_dir).read_cold(start, end)
+    rows = tr.series(cold, "symbol", "price", "ts", ["U7", "U8"], start, end)
     return rows.withColumn("time", timestamp_to_ntz(F.col("time")))
 
 

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tradeflow.constants import INDEX_PAGES
 from tradeflow.functions.time import epoch_ms_to_timestamp, ntz_to_epoch_ms
 from tradeflow.operators.messages import pack_rows
 from tradeflow.operators.universe import index_members, universe
@@ -28,53 +31,74 @@ def timed_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trades(spark, sf_dir).withColumn("ts", epoch_ms_to_timestamp(F.col("ts")))
 
 
-def stocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The universe: two overlapping indexes of the customers."""
+def _members(spark: SparkSession, sf_dir: str, index: str) -> DataFrame:
+    """Customers as members of one of two overlapping indexes, under the headers
+    of its page."""
     rows = table(spark, sf_dir, "customer")
-    symbol = F.concat(F.lit("U"), "c_custkey")
-    security, sector = F.col("c_name"), F.col("c_mktsegment").alias("GICS Sector")
-    first = rows.filter(F.col("c_acctbal") >= 0).select(
-        symbol.alias("Symbol"), security.alias("Security"), sector
-    )
-    second = rows.filter(F.col("c_nationkey") < 12).select(
-        symbol.alias("Ticker"), security.alias("Company"), sector
+    chosen = {"S&P500": F.col("c_acctbal") >= 0, "NASDAQ": F.col("c_nationkey") < 12}[index]
+    _, symbol, security, sector = INDEX_PAGES[index]
+    return rows.filter(chosen).select(
+        F.concat(F.lit("U"), "c_custkey").alias(symbol),
+        F.col("c_name").alias(security),
+        F.col("c_mktsegment").alias(sector),
     )
+
+
+def stocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return universe(
-        index_members(first, "Symbol", "Security", "GICS Sector", "S&P500"),
-        index_members(second, "Ticker", "Company", "GICS Sector", "NASDAQ"),
+        *[
+            index_members(_members(spark, sf_dir, index), *headers, index)
+            for index, (_, *headers) in INDEX_PAGES.items()
+        ]
     )
 
 
 PAGE_ROWS = 500
+DECOY = "<table><tr><th>Symbol</th></tr><tr><td>none</td></tr></table>"
 
 
-def stock_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """HTML pages ``(page_id, html)`` that list the customers as stocks.
+def html_pages(rows: DataFrame, position: int) -> DataFrame:
+    """HTML pages ``(page_id, html)`` that hold the rows in one of their tables."""
 
-    The listing is the second table of each page.
-    """
-    rows = table(spark, sf_dir, "customer").select(
-        F.concat(F.lit("U"), "c_custkey").alias("symbol"),
-        F.col("c_name").alias("security"),
-        F.concat("c_mktsegment", F.lit(" & more")).alias("sector"),
-    )
+    def line(tag: str, values):
+        cells = [F.concat(F.lit(f"<{tag}>"), v, F.lit(f"</{tag}>")) for v in values]
+        return F.concat(F.lit("<tr>"), *cells, F.lit("</tr>"))
 
-    def cell(value):
+    def escaped(value):
         value = F.coalesce(value, F.lit(""))
-        for plain, escaped in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
-            value = F.replace(value, F.lit(plain), F.lit(escaped))
-        return F.concat(F.lit("<td>"), value, F.lit("</td>"))
-
-    def line(r):
-        cells = [cell(r[name]) for name in ("symbol", "security", "sector")]
-        return F.concat(F.lit("<tr>"), *cells, F.lit("</tr>"))
+        for plain, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+            value = F.replace(value, F.lit(plain), F.lit(entity))
+        return value
 
     html = F.concat(
-        F.lit("<html><body><table><tr><th>Symbol</th></tr><tr><td>none</td></tr></table>"),
-        F.lit("<table><thead><tr><th>Ticker</th><th>Company</th>"),
-        F.lit("<th>GICS <i>Sector</i></th></tr></thead><tbody>"),
-        F.array_join(F.transform("rows", line), ""),
-        F.lit("</tbody></table></body></html>"),
+        F.lit("<html><body>" + DECOY * position + "<table><thead>"),
+        line("th", [escaped(F.lit(name)) for name in rows.columns]),
+        F.lit("</thead><tbody>"),
+        F.array_join(
+            F.transform("rows", lambda r: line("td", [escaped(r[c]) for c in rows.columns])), ""
+        ),
+        F.lit("</tbody></table>" + DECOY + "</body></html>"),
     )
     pages = pack_rows(rows, PAGE_ROWS)
     return pages.select(F.monotonically_increasing_id().alias("page_id"), html.alias("html"))
+
+
+def customer_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All customers as stocks, in the second table of each page."""
+    rows = table(spark, sf_dir, "customer").select(
+        F.concat(F.lit("U"), "c_custkey").alias("Ticker"),
+        F.col("c_name").alias("Company"),
+        F.concat("c_mktsegment", F.lit(" & more")).alias("GICS Sector"),
+    )
+    return html_pages(rows, 1)
+
+
+def index_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages of both indexes, ``(page_id, index, html)``."""
+    return reduce(
+        DataFrame.unionByName,
+        [
+            html_pages(_members(spark, sf_dir, index), position).withColumn("index", F.lit(index))
+            for index, (position, *_) in INDEX_PAGES.items()
+        ],
+    )

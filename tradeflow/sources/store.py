@@ -4,13 +4,14 @@ The hot table is keyed by ``(symbol, ts)`` and the last write wins. A move takes
 all hot rows older than a cutoff to cold. Layout::
 
     hot/version=V/writer=W/epoch=E/             one append, distinct keys
-    moves/run=N/through=V/tier=cold|hot/        one move of the versions up to V
+    moves/run=N/through=V/tier=cold|hot/day=D/  one move of the versions up to V
 
 A move writes both tiers in one Spark job, so one ``_SUCCESS`` file commits
 both: before it a reader sees the rows hot, after it each row is in exactly one
 tier. The hot table is the hot tier of the last committed move plus the versions
-after it; the cold table is the cold tier of all committed moves. Files are
-sorted by key, so a read of few symbols skips most row groups.
+after it; the cold table is the cold tier of all committed moves. Archived rows
+lie in a folder per day of trade and are sorted by key within it, so a read of
+few symbols in a short time opens few files and skips most of their row groups.
 
 One writer appends and one job moves, side by side. A folder left by an attempt
 that died has no ``_SUCCESS``, is not read, and is replaced by the next attempt.
@@ -23,6 +24,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql import types as T
 
+from tradeflow.functions.time import bound
 from tradeflow.operators.latest import latest_per_key
 from tradeflow.operators.trades import older_than
 from tradeflow.schemas import TRADES
@@ -37,6 +39,7 @@ _MOVED = T.StructType(
         T.StructField("run", T.LongType()),
         T.StructField("through", T.LongType()),
         T.StructField("tier", T.StringType()),
+        T.StructField("day", T.DateType()),
     ]
 )
 
@@ -138,60 +141,85 @@ class TradeStore:
 
     # Reads.
 
-    def _latest(self, move: Move | None, spread: bool = False) -> tuple[DataFrame, int]:
+    def _appended(self, after: int) -> tuple[DataFrame | None, int, int]:
+        """Rows of the committed appends after a version with their version, the
+        number of these appends and the last version."""
+        last = self._last_append()
+        end = last[0] if last else 0
+        live = [v for v in self._numbers(self.hot_path, "version") if after < v <= end]
+        if not live:
+            return None, 0, max(after, end)
+        reader = self.spark.read.schema(_HOT).option("basePath", self.hot_path)
+        rows = reader.parquet(*[f"{self.hot_path}/version={v}" for v in live])
+        return rows.select(*_HOT.names), len(live), end
+
+    def _left(self, move: Move) -> DataFrame | None:
+        """Rows that a move left hot. Their version is the one it went through,
+        which is below that of any later append."""
+        folder = f"{self.moves_path}/run={move.run}/through={move.through}/tier=hot"
+        if not self._files(folder).exists(self._path(folder)):
+            return None
+        rows = self.spark.read.schema(TRADES).parquet(folder)
+        return rows.select(*TRADES.names, F.lit(move.through).cast("bigint").alias("version"))
+
+    def _latest(self, move: Move | None, by_day: bool = False) -> tuple[DataFrame, int]:
         """Latest row per key of what ``move`` left hot and of all appends after
         it, and the last version that is in.
 
-        The rows that ``move`` left hot carry the version it went through, which
-        is below that of any later append. Each part has distinct keys, so a
-        single part needs no aggregate.
+        With ``by_day`` the rows come range partitioned by day and key. Copies of
+        a key share a range, so no second shuffle is needed to find the latest,
+        and a hot symbol is cut by time. Each append has distinct keys, so a
+        single one needs no aggregate, and no pile of copies can build up.
         """
-        last = self._last_append()
-        start, end = move.through if move else 0, last[0] if last else 0
-        parts = sum(start < v <= end for v in self._numbers(self.hot_path, "version"))
-        rows = (
-            self.spark.read.schema(_HOT)
-            .parquet(self.hot_path)
-            .filter((F.col("version") > start) & (F.col("version") <= end))
-            .select(*_HOT.names)
-        )
-        left = f"{self.moves_path}/run={move.run}/through={start}/tier=hot" if move else None
-        if left is not None and self._files(left).exists(self._path(left)):
-            kept = self.spark.read.schema(TRADES).parquet(left)
-            kept = kept.withColumn("version", F.lit(start).cast("bigint"))
-            rows = kept.unionByName(rows) if parts else kept
+        appended, parts, end = self._appended(move.through if move else 0)
+        left = self._left(move) if move else None
+        if left is not None:
+            rows = left if appended is None else left.unionByName(appended)
             parts += 1
-        if spread:
-            rows = rows.repartitionByRange(*KEY)
+        elif appended is not None:
+            rows = appended
+        else:
+            rows = self.spark.createDataFrame([], _HOT)
+        keys = KEY
+        if by_day:
+            keys = ["day", *KEY]
+            rows = rows.withColumn("day", F.to_date("ts")).repartitionByRange(*keys)
         if parts > 1:
-            rows = latest_per_key(rows, KEY, ["version"], VALUES)
-        return rows.select(*TRADES.names), max(start, end)
+            rows = latest_per_key(rows, keys, ["version"], VALUES)
+        return rows.select(*keys, *VALUES), end
 
     def read_hot(self) -> DataFrame:
         """The hot table as of now: the latest row of each key."""
-        return self._latest(self._last_move())[0]
+        return self._latest(self._last_move())[0].select(*TRADES.names)
 
-    def read_cold(self) -> DataFrame:
-        """All archived rows as of now, with the run that moved them."""
+    def read_cold(self, start_ms: int | None = None, end_ms: int | None = None) -> DataFrame:
+        """Archived rows as of now, with the run that moved them.
+
+        Bounds ``start_ms <= ts < end_ms`` leave out the folders of other days.
+        """
         move = self._last_move()
-        last_run = move.run if move else 0
-        moved = self.spark.read.schema(_MOVED).parquet(self.moves_path)
-        return moved.filter((F.col("tier") == "cold") & (F.col("run") <= last_run)).select(
-            *TRADES.names, "run"
+        rows = (
+            self.spark.read.schema(_MOVED)
+            .parquet(self.moves_path)
+            .filter((F.col("tier") == "cold") & (F.col("run") <= (move.run if move else 0)))
         )
+        if start_ms is not None:
+            start = bound(start_ms, T.TimestampType())
+            rows = rows.filter((F.col("day") >= F.to_date(start)) & (F.col("ts") >= start))
+        if end_ms is not None:
+            end = bound(end_ms, T.TimestampType())
+            rows = rows.filter((F.col("day") <= F.to_date(end)) & (F.col("ts") < end))
+        return rows.select(*TRADES.names, "run")
 
     # Moves.
 
     def move(self, cutoff: int) -> dict[str, int]:
         """Take all hot rows with ``ts`` before ``cutoff`` (epoch ms) to cold.
 
-        Rows that come in while this runs have a later version and stay hot. One
-        range shuffle serves three ends: it brings the copies of a key together,
-        it sorts the files by key, and it cuts a hot symbol by time into equal
-        parts. A key has at most one copy per version, so no copies pile up.
+        Rows that come in while this runs have a later version and stay hot.
         """
         done = self._last_move()
-        latest, through = self._latest(done, spread=True)
+        latest, through = self._latest(done, by_day=True)
         run = done.run + 1 if done else 1
         seen = Observation()
         cold = older_than(latest, cutoff)
@@ -201,9 +229,9 @@ class TradeStore:
         folder = f"{self.moves_path}/run={run}"
         self._remove(folder)
         (
-            tiered.select(*TRADES.names, "tier")
-            .sortWithinPartitions("tier", *KEY)
-            .write.partitionBy("tier")
+            tiered.select(*TRADES.names, "tier", "day")
+            .sortWithinPartitions("tier", "day", *KEY)
+            .write.partitionBy("tier", "day")
             .parquet(f"{folder}/through={through}")
         )
         return {"run": run, "through": through, **seen.get}

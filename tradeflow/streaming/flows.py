@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tradeflow.constants import MOVE_SECONDS, REFRESH_SECONDS
 from tradeflow.functions.time import cutoff_ms, epoch_ms_to_timestamp
 from tradeflow.operators.messages import flatten
 from tradeflow.sources.store import TradeStore
@@ -57,27 +58,49 @@ def start_hot_trades(
     )
 
 
+def _every(
+    spark: SparkSession, seconds: float, checkpoint: str, act: Callable[[SparkSession], None]
+) -> StreamingQuery:
+    """Run ``act`` once per interval; the stream's rows only serve as a clock."""
+    ticks = spark.readStream.format("rate").option("rowsPerSecond", 1).load()
+    return (
+        ticks.writeStream.foreachBatch(lambda batch, _: act(batch.sparkSession))
+        .option("checkpointLocation", checkpoint)
+        .trigger(processingTime=f"{seconds} seconds")
+        .start()
+    )
+
+
 def start_moves(
     spark: SparkSession,
     root: str,
     checkpoint: str,
-    every_s: int = 60,
-    delay_s: int = 60,
+    every_s: float = MOVE_SECONDS,
+    delay_s: int = MOVE_SECONDS,
     clock: Callable[[], float] = time.time,
 ) -> StreamingQuery:
     """Move rows older than ``delay_s`` to cold, once per ``every_s``.
 
-    The stream's rows only serve as a clock; each batch runs one move.
+    Files that the move before made obsolete are deleted first, so a reader has
+    a full interval to finish.
     """
 
-    def move(batch: DataFrame, epoch: int) -> None:
-        now = round(clock() * 1000)
-        TradeStore(batch.sparkSession, root).move(cutoff_ms(now, delay_s))
+    def move(session: SparkSession) -> None:
+        store = TradeStore(session, root)
+        store.vacuum()
+        store.move(cutoff_ms(round(clock() * 1000), delay_s))
 
-    ticks = spark.readStream.format("rate").option("rowsPerSecond", 1).load()
-    return (
-        ticks.writeStream.foreachBatch(move)
-        .option("checkpointLocation", checkpoint)
-        .trigger(processingTime=f"{every_s} seconds")
-        .start()
+    return _every(spark, every_s, checkpoint, move)
+
+
+def start_refresh(
+    spark: SparkSession,
+    root: str,
+    checkpoint: str,
+    show: Callable[[DataFrame], None],
+    every_s: float = REFRESH_SECONDS,
+) -> StreamingQuery:
+    """Hand the hot table to ``show`` once per ``every_s``, for charts."""
+    return _every(
+        spark, every_s, checkpoint, lambda session: show(TradeStore(session, root).read_hot())
     )
