@@ -1,5 +1,11 @@
+import os
+import subprocess
+import sys
+
 from conftest import rows
+from pyspark import cloudpickle
 
+from tradeflow.sources import html
 from tradeflow.sources.html import cell_columns, html_table
 
 PAGE = """
@@ -77,3 +83,18 @@ def test_many_pages_and_long_tables(spark):
     assert rows(cell_columns(out.filter("id = 7 and row_no = 599"), "n", "none")) == [
         ("7-600", None)
     ]
+
+
+def test_page_reader_needs_no_package_on_the_executors(tmp_path):
+    pickled = cloudpickle.dumps((html._rows, PAGE))
+    script = (
+        "import pickle, sys; f, page = pickle.load(open(sys.argv[1], 'rb')); "
+        "assert 'tradeflow' not in sys.modules; print(len(list(f(page, 1, ()))))"
+    )
+    (tmp_path / "job").write_bytes(pickled)
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run(
+        [sys.executable, "-c", script, str(tmp_path / "job")],
+        cwd=tmp_path, env=env, capture_output=True, text=True, timeout=120,
+    )
+    assert out.stdout.strip() == str(len(EXPECTED)), out.stderr

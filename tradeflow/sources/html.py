@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
+# The page reader travels to the executors inside the job, so that they need no
+# copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _CHUNK = 5000
 
 

@@ -4,7 +4,8 @@ The hot table is keyed by ``(symbol, ts)`` and the last write wins. A move takes
 all hot rows older than a cutoff to cold. Layout::
 
     hot/version=V/writer=W/epoch=E/             one append, distinct keys
-    moves/run=N/through=V/tier=cold|hot/day=D/  one move of the versions up to V
+    moves/run=N/through=V/tier=cold/day=D/      one move of the versions up to V
+    moves/run=N/through=V/tier=hot/             what it left hot, as one folder
 
 A move writes both tiers in one Spark job, so one ``_SUCCESS`` file commits
 both: before it a reader sees the rows hot, after it each row is in exactly one
@@ -225,7 +226,12 @@ class TradeStore:
         cold = older_than(latest, cutoff)
         tiered = latest.observe(
             seen, F.count_if(cold).alias("moved"), F.count_if(~cold).alias("left")
-        ).withColumn("tier", F.when(cold, F.lit("cold")).otherwise(F.lit("hot")))
+        ).withColumns(
+            {
+                "tier": F.when(cold, F.lit("cold")).otherwise(F.lit("hot")),
+                "day": F.when(cold, F.col("day")),
+            }
+        )
         folder = f"{self.moves_path}/run={run}"
         self._remove(folder)
         (
