@@ -81,6 +81,15 @@ def test_too_many_leaves_for_a_tree(spark):
         forecast.fit_tree(df, max_leaves=10)
 
 
+def test_trees_of_one_leaf_and_of_none(spark):
+    df, means = trades(spark, [5])
+    model = forecast.fit_tree(df)
+    for _, prediction in forecast.predict(model, requests(spark, [1, 5, 9])).collect():
+        assert prediction == pytest.approx(means[5])
+    with pytest.raises(ValueError, match="no trade"):
+        forecast.fit_tree(df.filter("volume is null"))
+
+
 def test_leaves(spark):
     df, means = trades(spark, [1, 2, 3])
     got = {r.volume: r.mean for r in forecast.leaves(df).collect()}

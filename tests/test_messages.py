@@ -1,3 +1,4 @@
+import os
 from decimal import Decimal as D
 
 import pytest
@@ -140,6 +141,16 @@ def test_stream_goes_on_after_a_restart(spark, tmp_path):
     assert run() == first + [("B", i) for i in range(3)]
 
 
+def test_processed_files_are_removed(spark, one_per_file, tmp_path):
+    source = folders.stream_messages(spark, one_per_file, multi_line=True, max_files=1)
+    start_flat_trades(
+        source, str(tmp_path / "out"), str(tmp_path / "checkpoint"), availableNow=True
+    ).awaitTermination()
+    # The files of a batch go when the next one is committed.
+    assert len(os.listdir(one_per_file)) < len(CASES)
+    assert rows(spark.read.parquet(str(tmp_path / "out"))) == ALL_ROWS
+
+
 def test_pack_bounds_every_message(spark):
     ticks = spark.range(0, 2500, 1, 3).selectExpr(
         "cast(id as decimal(10,4)) price", "'HOT' symbol", "id ts", "cast(id as int) volume"

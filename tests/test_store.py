@@ -1,4 +1,5 @@
 import datetime
+import random
 from decimal import Decimal as D
 
 import pytest
@@ -281,3 +282,30 @@ def test_refresh_sees_new_rows(spark, store, tmp_path):
     finally:
         query.stop()
     assert [len(x) for x in shown[:3]] == [0, 1, 2]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_random_history_against_a_model(spark, store, seed):
+    """Appends, moves and vacuums in any order against a plain dictionary."""
+    rng = random.Random(seed)
+    hot, cold = {}, []
+    for step in range(14):
+        kind = rng.choice(["append", "append", "move", "vacuum"])
+        if kind == "append":
+            batch = [
+                (rng.choice("AB"), rng.randrange(12), rng.randrange(9), step, i)
+                for i in range(rng.randrange(1, 8))
+            ]
+            store.append(frame(spark, *batch, extra=", i int"), ["i"])
+            hot.update({(s, t): (float(p), v) for s, t, p, v, _ in batch})
+        elif kind == "move":
+            cutoff = rng.randrange(14)
+            moved = store.move(cutoff)
+            old = {k: v for k, v in hot.items() if k[1] < cutoff}
+            hot = {k: v for k, v in hot.items() if k not in old}
+            cold += [(*k, *v) for k, v in old.items()]
+            assert (moved["moved"], moved["left"]) == (len(old), len(hot))
+        else:
+            store.vacuum()
+        assert content(store.read_hot()) == sorted((*k, *v) for k, v in hot.items())
+        assert content(store.read_cold()) == sorted(cold)

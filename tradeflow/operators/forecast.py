@@ -113,13 +113,15 @@ def fit_tree(trades: DataFrame, max_leaves: int = MAX_TREE_LEAVES) -> DecisionTr
     shared_folder(trades.sparkSession)
     training = leaves(trades).checkpoint()
     n = training.count()
+    if n == 0:
+        raise ValueError("no trade has both a volume and a price")
     if n > max_leaves:
         raise ValueError(f"{n} distinct volumes; use predict_exact beyond {max_leaves}")
     tree = DecisionTreeRegressor(
         labelCol="mean",
         weightCol="weight",
         maxDepth=MAX_DEPTH,
-        maxBins=max(2, n + 1),
+        maxBins=max(2, n),
         minInstancesPerNode=1,
         minInfoGain=0.0,
     )
