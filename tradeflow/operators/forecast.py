@@ -13,7 +13,7 @@ from pyspark.ml.regression import DecisionTreeRegressionModel, DecisionTreeRegre
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tradeflow.operators.skew import fits_broadcast, lookup
-from tradeflow.session import shared_folder
+from tradeflow.session import pin
 
 # A bucket spans 2**16 volumes, so the 2**32 values of an int fill at most 2**16
 # buckets of at most 2**16 distinct volumes each.
@@ -44,20 +44,20 @@ def predict_exact(
     Leaves and distinct requests are put side by side in buckets of the volume,
     whose size is bounded by the type. Each point takes the nearest leaf below
     and above in its bucket, else from the nearest bucket that has one. The
-    points are read several times and so are pinned by a checkpoint; the trades
-    behind the leaves are read once.
+    points are read several times and so are written out; the trades behind the
+    leaves are read once.
     """
-    shared_folder(requests.sparkSession)
     means = leaf_means.select(F.col("volume").cast("int"), "mean")
     asked = requests.select(F.col("volume").cast("int"), F.lit(None).cast("double").alias("mean"))
-    points = (
+    points = pin(
         means.unionByName(asked.distinct())
         .groupBy("volume")
         .agg(F.max("mean").alias("mean"))
-        .filter(F.col("volume").isNotNull())
-        .withColumn("bucket", F.shiftright("volume", BUCKET_BITS))
-        .withColumn("leaf", F.when(F.col("mean").isNotNull(), F.struct("volume", "mean")))
-        .checkpoint()
+        .filter(F.col("volume").isNotNull()),
+        "points",
+    )
+    points = points.withColumn("bucket", F.shiftright("volume", BUCKET_BITS)).withColumn(
+        "leaf", F.when(F.col("mean").isNotNull(), F.struct("volume", "mean"))
     )
     # Upward looks are written as downward looks over the reverse order: a frame
     # that ends at the last row would be summed anew for each row.
@@ -110,8 +110,7 @@ def fit_tree(trades: DataFrame, max_leaves: int = MAX_TREE_LEAVES) -> DecisionTr
     the impurity on every level, so the weighted means give the same splits as
     the rows themselves. Training then reads the trades once, whatever the depth.
     """
-    shared_folder(trades.sparkSession)
-    training = leaves(trades).checkpoint()
+    training = pin(leaves(trades), "leaves")
     n = training.count()
     if n == 0:
         raise ValueError("no trade has both a volume and a price")

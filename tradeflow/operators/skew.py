@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tradeflow.session import shared_folder
+from tradeflow.session import pin
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 BROADCAST_ROWS = 1_000_000
@@ -31,8 +31,7 @@ def heavy_keys(df: DataFrame, key: str, share: int = HEAVY_SHARE) -> DataFrame:
 
     There are fewer than ``share`` of them, so they pass through the driver.
     """
-    shared_folder(df.sparkSession)
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).checkpoint()
+    counts = pin(df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")), "key-counts")
     floor = (counts.agg(F.sum("_n")).first()[0] or 0) / share
     heavy = counts.filter((F.col("_n") > floor) & F.col(key).isNotNull()).select(key)
     return df.sparkSession.createDataFrame(heavy.collect(), heavy.schema)
@@ -50,8 +49,9 @@ def lookup(rows: DataFrame, facts: DataFrame, key: str, small: bool | None = Non
     if fits_broadcast(facts) if small is None else small:
         return rows.join(F.broadcast(facts), key, "left")
     heavy = heavy_keys(rows, key)
-    facts = facts.checkpoint()
-    heavy_facts = heavy.join(facts, key, "left").withColumn("_heavy", F.lit(True))
+    facts = pin(facts, "facts")
+    known = facts.join(F.broadcast(heavy), key, "left_semi")
+    heavy_facts = heavy.join(F.broadcast(known), key, "left").withColumn("_heavy", F.lit(True))
     tagged = rows.join(F.broadcast(heavy_facts), key, "left")
     in_place = F.col("_heavy").isNotNull() | F.col(key).isNull()
     here = tagged.filter(in_place).drop("_heavy")

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tradeflow.functions.time import bound
 from tradeflow.operators.skew import lookup
 from tradeflow.operators.universe import stock_facts
-from tradeflow.session import shared_folder
+from tradeflow.session import pin
 
 
 def symbols(trades: DataFrame) -> DataFrame:
@@ -87,40 +87,37 @@ def _previous_by_slice(trades: DataFrame, order: list[str], slices: int) -> Data
 
     Range partitioning cuts anywhere in the sort order, inside a symbol too, and
     the source split as the last sort column cuts inside a group of copies. The
-    cut points are sampled, so the slices are pinned by a checkpoint before they
-    are read twice: once for the lag inside a slice, once for the last price of
-    each slice, which the first row of the symbol's next slice takes.
+    lag inside the slices is written out, with the first and last row of each
+    symbol in a slice marked; a first row then takes the price of the last row
+    in the symbol's slice before. The cut points are sampled, so both must come
+    from one and the same run.
     """
-    shared_folder(trades.sparkSession)
-    pinned = (
+    inside = Window.partitionBy("symbol", "_slice").orderBy(*order)
+    lagged = pin(
         trades.withColumn("_split", F.spark_partition_id())
         .repartitionByRange(slices, "symbol", *order, "_split")
+        .drop("_split")
         .withColumn("_slice", F.spark_partition_id())
-        .checkpoint()
+        .select(
+            "*",
+            F.lag("price").over(inside).alias("_lag"),
+            (F.row_number().over(inside) == 1).alias("_first"),
+            F.lead(F.lit(1)).over(inside).isNull().alias("_last"),
+        ),
+        "slices",
     )
-    inside = Window.partitionBy("symbol", "_slice").orderBy(*order)
     # At most one row per slice and per symbol, so a symbol has at most as many
     # rows here as there are slices.
     across = Window.partitionBy("symbol").orderBy("_slice")
-    last_price = F.max_by(F.struct("price"), F.struct(*order)).alias("_last")
-    carried = (
-        pinned.groupBy("symbol", "_slice")
-        .agg(last_price)
-        .select(
-            F.col("symbol").alias("_s"),
-            F.col("_slice").alias("_k"),
-            F.lag("_last").over(across).alias("_carried"),
-        )
+    carried = lagged.filter("_last").select(
+        F.col("symbol").alias("_s"),
+        F.col("_slice").alias("_k"),
+        F.lag(F.struct("price")).over(across).alias("_carried"),
     )
     same = F.col("symbol").eqNullSafe(F.col("_s")) & (F.col("_slice") == F.col("_k"))
-    return (
-        pinned.withColumn("_rank", F.row_number().over(inside))
-        .withColumn("_lag", F.lag("price").over(inside))
-        .join(F.broadcast(carried), same, "left")
-        .select(
-            *[c for c in trades.columns],
-            F.when(F.col("_rank") == 1, F.col("_carried.price"))
-            .otherwise(F.col("_lag"))
-            .alias("price_lag1"),
-        )
+    return lagged.join(F.broadcast(carried), same, "left").select(
+        *trades.columns,
+        F.when(F.col("_first"), F.col("_carried.price"))
+        .otherwise(F.col("_lag"))
+        .alias("price_lag1"),
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # UTC keeps epoch milliseconds and timestamps interchangeable. INT64 timestamps
 # carry min/max statistics in Parquet, so a time range can skip row groups; the
@@ -45,3 +45,14 @@ def shared_folder(spark: SparkSession) -> str:
 def work_folder(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder; nothing is created yet."""
     return f"{shared_folder(spark)}/tradeflow/{name}-{uuid.uuid4().hex}"
+
+
+def pin(df: DataFrame, name: str) -> DataFrame:
+    """The rows as a Parquet table in the shared folder.
+
+    For what is read more than once or must not change between two reads. The
+    table outlives any executor, and later reads take only the columns they use.
+    """
+    path = work_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
