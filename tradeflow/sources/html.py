@@ -8,7 +8,7 @@ from html.parser import HTMLParser
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 # The page reader travels to the executors inside the job, so that they need no
@@ -163,6 +163,16 @@ def _rows(page: str, index: int | None, columns: tuple[str, ...]) -> Iterator[di
         return
 
 
+def read_pages(spark: SparkSession, path: str) -> DataFrame:
+    """Pages ``(page_id, index, html)`` from files below ``path/index=<name>/``."""
+    files = spark.read.text(path, wholetext=True)
+    return files.select(
+        F.col("_metadata.file_path").alias("page_id"),
+        F.col("index").cast("string").alias("index"),
+        F.col("value").alias("html"),
+    )
+
+
 def html_table(
     pages: DataFrame,
     html_column: str,

@@ -24,7 +24,7 @@ def _with_origin(messages: DataFrame) -> DataFrame:
 def read_messages(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Messages of a folder, with the name of the file each came from.
 
-    ``multi_line`` is for folders of one document per file.
+    ``multi_line`` is for files that hold one document spread over several lines.
     """
     reader = spark.read.schema(MESSAGE).option("multiLine", multi_line)
     return _with_origin(reader.json(path))
@@ -36,7 +36,7 @@ def stream_messages(
     multi_line: bool = False,
     clean_source: str = "delete",
     max_files: int | None = None,
-    max_bytes: str | None = None,
+    max_bytes: int | None = None,
 ) -> DataFrame:
     """The same as a stream. Processed files are removed by default.
 
