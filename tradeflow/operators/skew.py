@@ -40,16 +40,17 @@ def heavy_keys(df: DataFrame, key: str, share: int = HEAVY_SHARE) -> DataFrame:
 def lookup(rows: DataFrame, facts: DataFrame, key: str, small: bool | None = None) -> DataFrame:
     """``rows`` left join ``facts`` on ``key``; ``facts`` has one row per key.
 
-    Small facts are broadcast and ``rows`` stays where it is; unless the caller
-    knows, their size is taken first. Otherwise the heavy keys, of which there
-    are few, are looked up by broadcast and only the rest is shuffled, so no
-    task gets more than a small share of the rows. Rows with a null key match
-    nothing and are kept out of the shuffle too.
+    Small facts are broadcast and ``rows`` stays where it is. Unless the caller
+    knows, the facts are written out and measured. Where they are too large, the
+    heavy keys, of which there are few, are looked up by broadcast and only the
+    rest is shuffled, so no task gets more than a small share of the rows. Rows
+    with a null key match nothing and are kept out of the shuffle too.
     """
+    if not small:
+        facts = pin(facts, "facts")
     if fits_broadcast(facts) if small is None else small:
         return rows.join(F.broadcast(facts), key, "left")
     heavy = heavy_keys(rows, key)
-    facts = pin(facts, "facts")
     known = facts.join(F.broadcast(heavy), key, "left_semi")
     heavy_facts = heavy.join(F.broadcast(known), key, "left").withColumn("_heavy", F.lit(True))
     tagged = rows.join(F.broadcast(heavy_facts), key, "left")
