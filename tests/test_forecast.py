@@ -77,8 +77,14 @@ def test_tree_equals_exact(spark, tmp_path):
 
 def test_too_many_leaves_for_a_tree(spark):
     df, _ = trades(spark, range(50))
-    with pytest.raises(ValueError, match="predict_exact"):
+    with pytest.raises(forecast.TreeLimit):
         forecast.fit_tree(df, max_leaves=10)
+    asked = requests(spark, [0, 25, 60, None]).withColumn("id", F.lit("x"))
+    by_tree = forecast.fit_predict(df, asked)
+    exactly = forecast.fit_predict(df, asked, max_leaves=10)
+    assert by_tree.columns == exactly.columns == ["volume", "id", "prediction"]
+    for a, b in zip(rows(by_tree), rows(exactly)):
+        assert a[:2] == b[:2] and a[2] == pytest.approx(b[2])
 
 
 def test_trees_of_one_leaf_and_of_none(spark):

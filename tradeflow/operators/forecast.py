@@ -27,12 +27,19 @@ def leaves(trades: DataFrame) -> DataFrame:
 
     The sum stays a decimal, so the mean does not depend on the order of rows.
     """
-    total = F.sum(F.col("price").cast("decimal(10,4)")).cast("double")
-    n = F.count(F.lit(1))
+    # Groups without any pair of volume and price are dropped by their count. A
+    # test of the volume would be pushed below the aggregate, where a volume that
+    # is parsed from text would be parsed twice.
+    pairs = F.when(F.col("volume").isNotNull(), F.col("price").cast("decimal(10,4)"))
     return (
-        trades.filter(F.col("volume").isNotNull() & F.col("price").isNotNull())
-        .groupBy("volume")
-        .agg((total / n).alias("mean"), n.cast("double").alias("weight"))
+        trades.groupBy("volume")
+        .agg(F.sum(pairs).cast("double").alias("total"), F.count(pairs).alias("n"))
+        .filter(F.col("n") > 0)
+        .select(
+            "volume",
+            (F.col("total") / F.col("n")).alias("mean"),
+            F.col("n").cast("double").alias("weight"),
+        )
     )
 
 
@@ -52,12 +59,13 @@ def predict_exact(
     points = pin(
         means.unionByName(asked.distinct())
         .groupBy("volume")
-        .agg(F.max("mean").alias("mean"))
-        .filter(F.col("volume").isNotNull()),
+        .agg(F.max("mean").alias("mean")),
         "points",
     )
-    points = points.withColumn("bucket", F.shiftright("volume", BUCKET_BITS)).withColumn(
-        "leaf", F.when(F.col("mean").isNotNull(), F.struct("volume", "mean"))
+    points = (
+        points.filter(F.col("volume").isNotNull())
+        .withColumn("bucket", F.shiftright("volume", BUCKET_BITS))
+        .withColumn("leaf", F.when(F.col("mean").isNotNull(), F.struct("volume", "mean")))
     )
     # Upward looks are written as downward looks over the reverse order: a frame
     # that ends at the last row would be summed anew for each row.
@@ -103,19 +111,22 @@ def _features(df: DataFrame) -> DataFrame:
     return assembler.transform(df)
 
 
-def fit_tree(trades: DataFrame, max_leaves: int = MAX_TREE_LEAVES) -> DecisionTreeRegressionModel:
-    """The grown tree, fitted on one weighted row per volume.
+class TreeLimit(ValueError):
+    """Spark cannot grow the tree fully; ``predict_exact`` has no such limit."""
+
+
+def grow_tree(training: DataFrame, max_leaves: int = MAX_TREE_LEAVES) -> DecisionTreeRegressionModel:
+    """The tree for a table made by ``leaves``.
 
     Rows of one volume are never split, and their spread adds the same amount to
     the impurity on every level, so the weighted means give the same splits as
     the rows themselves. Training then reads the trades once, whatever the depth.
     """
-    training = pin(leaves(trades), "leaves")
     n = training.count()
     if n == 0:
         raise ValueError("no trade has both a volume and a price")
     if n > max_leaves:
-        raise ValueError(f"{n} distinct volumes; use predict_exact beyond {max_leaves}")
+        raise TreeLimit(f"{n} distinct volumes, more than {max_leaves}")
     tree = DecisionTreeRegressor(
         labelCol="mean",
         weightCol="weight",
@@ -127,10 +138,27 @@ def fit_tree(trades: DataFrame, max_leaves: int = MAX_TREE_LEAVES) -> DecisionTr
     # At most max_leaves rows: one task per level of the tree is enough.
     model = tree.fit(_features(training.coalesce(1)))
     if model.depth >= MAX_DEPTH:
-        raise ValueError("the tree is deeper than Spark allows; use predict_exact")
+        raise TreeLimit(f"the tree is deeper than {MAX_DEPTH} levels")
     return model
 
 
+def fit_tree(trades: DataFrame, max_leaves: int = MAX_TREE_LEAVES) -> DecisionTreeRegressionModel:
+    """The fully grown tree of price on volume."""
+    return grow_tree(pin(leaves(trades), "leaves"), max_leaves)
+
+
+def fit_predict(
+    trades: DataFrame, requests: DataFrame, max_leaves: int = MAX_TREE_LEAVES
+) -> DataFrame:
+    """``requests`` with ``prediction``, by the tree or, past its limits, exactly."""
+    training = pin(leaves(trades), "leaves")
+    try:
+        answered = predict(grow_tree(training, max_leaves), requests)
+    except TreeLimit:
+        answered = predict_exact(training, requests)
+    return answered.select(*requests.columns, "prediction")
+
+
 def predict(model: DecisionTreeRegressionModel, requests: DataFrame) -> DataFrame:
     """``requests`` with ``prediction``; null for a null volume."""
     scored = model.transform(_features(requests)).drop("features")

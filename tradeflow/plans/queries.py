@@ -317,14 +317,13 @@ def forecast_leaves(spark, sf_dir):
 def forecast_batch(spark, sf_dir):
     """A tree fitted on the trades, applied to the trades."""
     rows = trades(spark, sf_dir)
-    return _rounded(forecast.predict(forecast.fit_tree(rows), rows))
+    return _rounded(forecast.fit_predict(rows, rows))
 
 
 @query
 def forecast_points(spark, sf_dir):
     """A tree fitted on the trades, applied to single requests."""
-    model = forecast.fit_tree(trades(spark, sf_dir))
-    return _rounded(forecast.predict(model, _requests(spark)))
+    return _rounded(forecast.fit_predict(trades(spark, sf_dir), _requests(spark)))
 
 
 @query
