@@ -4,22 +4,27 @@ The hot table is keyed by ``(symbol, ts)`` and the last write wins. A move takes
 all hot rows older than a cutoff to cold. Layout::
 
     hot/version=V/writer=W/epoch=E/             one append, distinct keys
-    moves/run=N/through=V/tier=cold/day=D/      one move of the versions up to V
-    moves/run=N/through=V/tier=hot/             what it left hot, as one folder
-
-A move writes both tiers in one Spark job, so one ``_SUCCESS`` file commits
-both: before it a reader sees the rows hot, after it each row is in exactly one
-tier. The hot table is the hot tier of the last committed move plus the versions
-after it; the cold table is the cold tier of all committed moves. Archived rows
-lie in a folder per day of trade and are sorted by key within it, so a read of
-few symbols in a short time opens few files and skips most of their row groups.
-
-One writer appends and one job moves, side by side. A folder left by an attempt
-that died has no ``_SUCCESS``, is not read, and is replaced by the next attempt.
+    moves/tier=cold/day=D/run=N/                rows that move N archived
+    moves/tier=hot/day=none/run=N/              rows that move N left hot
+    commits/block=B/run=N/through=V/            move N covered versions up to V
+
+A move writes both tiers in one Spark job, and creating its ``through`` folder
+commits both: before it a reader sees the rows hot, after it each row is in
+exactly one tier. The hot table is the hot tier of the last committed move plus
+the appends after it; the cold table is the cold tier of all committed moves.
+Archived rows lie in a folder per day of trade and are sorted by key within it,
+so a read of few symbols in a short time lists and opens few files and skips
+most of their row groups.
+
+One writer appends and one job moves, side by side. An append that died has no
+``_SUCCESS`` and a move that died no ``through`` folder; neither is read, and
+the next attempt replaces it.
 """
 
 from __future__ import annotations
 
+import datetime
+from collections.abc import Iterator
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
@@ -37,13 +42,17 @@ _HOT = T.StructType([*TRADES.fields, T.StructField("version", T.LongType())])
 _MOVED = T.StructType(
     [
         *TRADES.fields,
-        T.StructField("run", T.LongType()),
-        T.StructField("through", T.LongType()),
         T.StructField("tier", T.StringType()),
-        T.StructField("day", T.DateType()),
+        T.StructField("day", T.StringType()),
+        T.StructField("run", T.LongType()),
     ]
 )
 
+_DAY_MS = 86_400_000
+_EPOCH = datetime.date(1970, 1, 1)
+# Commits per folder, so that finding the last one stays cheap.
+_BLOCK = 1000
+
 
 class Move(NamedTuple):
     """A committed move: its number and the last version it covered."""
@@ -58,8 +67,9 @@ class TradeStore:
         self.root = root.rstrip("/")
         self.hot_path = f"{self.root}/hot"
         self.moves_path = f"{self.root}/moves"
-        for path in (self.hot_path, self.moves_path):
-            self._files(path).mkdirs(self._path(path))
+        self.commits_path = f"{self.root}/commits"
+        for path in (self.hot_path, f"{self.moves_path}/tier=cold", self.commits_path):
+            self._create(path)
 
     # Folder listings; the data itself is only touched by Spark jobs.
 
@@ -69,35 +79,50 @@ class TradeStore:
     def _files(self, path: str):
         return self._path(path).getFileSystem(self.spark._jsc.hadoopConfiguration())
 
-    def _numbers(self, path: str, name: str) -> list[int]:
-        """The numbers in the folder names ``name=..``, greatest first."""
+    def _exists(self, path: str) -> bool:
+        return self._files(path).exists(self._path(path))
+
+    def _create(self, path: str) -> None:
+        self._files(path).mkdirs(self._path(path))
+
+    def _remove(self, path: str) -> None:
+        self._files(path).delete(self._path(path), True)
+
+    def _match(self, pattern: str) -> list[str]:
+        found = self._files(self.root).globStatus(self._path(pattern)) or []
+        return [status.getPath().toString() for status in found]
+
+    def _values(self, path: str, name: str) -> list[str]:
+        """The values in the folder names ``name=..``."""
         found = self._files(path).listStatus(self._path(path))
         names = [status.getPath().getName() for status in found]
-        numbers = [int(n.split("=")[1]) for n in names if n.startswith(f"{name}=")]
-        return sorted(numbers, reverse=True)
+        return [n.split("=", 1)[1] for n in names if n.startswith(f"{name}=")]
 
-    def _committed(self, pattern: str) -> str | None:
-        """The folder below ``pattern`` that a finished job wrote, if any."""
-        done = self._files(self.root).globStatus(self._path(f"{pattern}/_SUCCESS"))
-        return done[0].getPath().getParent().toString() if done else None
+    def _numbers(self, path: str, name: str) -> list[int]:
+        """The same as numbers, greatest first."""
+        return sorted(map(int, self._values(path, name)), reverse=True)
 
     def _last_append(self) -> tuple[int, str] | None:
         for version in self._numbers(self.hot_path, "version"):
-            folder = self._committed(f"{self.hot_path}/version={version}/writer=*/epoch=*")
-            if folder is not None:
-                return version, folder
+            done = self._match(f"{self.hot_path}/version={version}/writer=*/epoch=*/_SUCCESS")
+            if done:
+                return version, done[0].removesuffix("/_SUCCESS")
         return None
 
+    def _commit_folder(self, run: int) -> str:
+        return f"{self.commits_path}/block={run // _BLOCK}/run={run}"
+
+    def _runs(self) -> Iterator[int]:
+        """Moves that were begun, last first."""
+        for block in self._numbers(self.commits_path, "block"):
+            yield from self._numbers(f"{self.commits_path}/block={block}", "run")
+
     def _last_move(self) -> Move | None:
-        for run in self._numbers(self.moves_path, "run"):
-            folder = self._committed(f"{self.moves_path}/run={run}/through=*")
-            if folder is not None:
-                return Move(run, int(folder.rsplit("=", 1)[1]))
+        for run in self._runs():
+            for through in self._numbers(self._commit_folder(run), "through"):
+                return Move(run, through)
         return None
 
-    def _remove(self, path: str) -> None:
-        self._files(path).delete(self._path(path), True)
-
     # Appends.
 
     def append(
@@ -157,10 +182,10 @@ class TradeStore:
     def _left(self, move: Move) -> DataFrame | None:
         """Rows that a move left hot. Their version is the one it went through,
         which is below that of any later append."""
-        folder = f"{self.moves_path}/run={move.run}/through={move.through}/tier=hot"
-        if not self._files(folder).exists(self._path(folder)):
+        folders = self._match(f"{self.moves_path}/tier=hot/day=*/run={move.run}")
+        if not folders:
             return None
-        rows = self.spark.read.schema(TRADES).parquet(folder)
+        rows = self.spark.read.schema(TRADES).parquet(*folders)
         return rows.select(*TRADES.names, F.lit(move.through).cast("bigint").alias("version"))
 
     def _latest(self, move: Move | None, by_day: bool = False) -> tuple[DataFrame, int]:
@@ -193,23 +218,36 @@ class TradeStore:
         """The hot table as of now: the latest row of each key."""
         return self._latest(self._last_move())[0].select(*TRADES.names)
 
+    def _days(self, start_ms: int | None, end_ms: int | None) -> Iterator[str]:
+        """The days of the archive that can hold times within the bounds."""
+        for day in self._values(f"{self.moves_path}/tier=cold", "day"):
+            try:
+                number = (datetime.date.fromisoformat(day) - _EPOCH).days
+            except ValueError:
+                yield day  # a year beyond four digits
+                continue
+            after_start = start_ms is None or number >= start_ms // _DAY_MS
+            if after_start and (end_ms is None or number <= end_ms // _DAY_MS):
+                yield day
+
     def read_cold(self, start_ms: int | None = None, end_ms: int | None = None) -> DataFrame:
         """Archived rows as of now, with the run that moved them.
 
-        Bounds ``start_ms <= ts < end_ms`` leave out the folders of other days.
+        With bounds, ``start_ms <= ts < end_ms``, other days are not even listed.
         """
         move = self._last_move()
-        rows = (
-            self.spark.read.schema(_MOVED)
-            .parquet(self.moves_path)
-            .filter((F.col("tier") == "cold") & (F.col("run") <= (move.run if move else 0)))
-        )
+        cold = f"{self.moves_path}/tier=cold"
+        folders = [cold]
+        if start_ms is not None or end_ms is not None:
+            folders = [f"{cold}/day={day}" for day in self._days(start_ms, end_ms)]
+        if move is None or not folders:
+            return self.spark.createDataFrame([], _MOVED).select(*TRADES.names, "run")
+        reader = self.spark.read.schema(_MOVED).option("basePath", self.moves_path)
+        rows = reader.parquet(*folders).filter(F.col("run") <= move.run)
         if start_ms is not None:
-            start = bound(start_ms, T.TimestampType())
-            rows = rows.filter((F.col("day") >= F.to_date(start)) & (F.col("ts") >= start))
+            rows = rows.filter(F.col("ts") >= bound(start_ms, T.TimestampType()))
         if end_ms is not None:
-            end = bound(end_ms, T.TimestampType())
-            rows = rows.filter((F.col("day") <= F.to_date(end)) & (F.col("ts") < end))
+            rows = rows.filter(F.col("ts") < bound(end_ms, T.TimestampType()))
         return rows.select(*TRADES.names, "run")
 
     # Moves.
@@ -229,17 +267,23 @@ class TradeStore:
         ).withColumns(
             {
                 "tier": F.when(cold, F.lit("cold")).otherwise(F.lit("hot")),
-                "day": F.when(cold, F.col("day")),
+                "day": F.when(cold, F.col("day").cast("string")).otherwise(F.lit("none")),
+                "run": F.lit(run).cast("bigint"),
             }
         )
-        folder = f"{self.moves_path}/run={run}"
-        self._remove(folder)
+        commit = self._commit_folder(run)
+        if self._exists(commit):
+            for folder in self._match(f"{self.moves_path}/tier=*/day=*/run={run}"):
+                self._remove(folder)
+        self._create(commit)
         (
-            tiered.select(*TRADES.names, "tier", "day")
-            .sortWithinPartitions("tier", "day", *KEY)
-            .write.partitionBy("tier", "day")
-            .parquet(f"{folder}/through={through}")
+            tiered.select(*_MOVED.names)
+            .sortWithinPartitions("tier", "day", "run", *KEY)
+            .write.mode("append")
+            .partitionBy("tier", "day", "run")
+            .parquet(self.moves_path)
         )
+        self._create(f"{commit}/through={through}")
         return {"run": run, "through": through, **seen.get}
 
     def vacuum(self) -> None:
@@ -254,8 +298,6 @@ class TradeStore:
         for version in self._numbers(self.hot_path, "version"):
             if version <= move.through and version < last[0]:
                 self._remove(f"{self.hot_path}/version={version}")
-        for run in self._numbers(self.moves_path, "run"):
-            if run < move.run:
-                folder = f"{self.moves_path}/run={run}"
-                for through in self._numbers(folder, "through"):
-                    self._remove(f"{folder}/through={through}/tier=hot")
+        for folder in self._match(f"{self.moves_path}/tier=hot/day=*/run=*"):
+            if int(folder.rsplit("=", 1)[1]) < move.run:
+                self._remove(folder)
