@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tradeflow.llm.common import n_words, table
-from tradeflow.llm import lines, mixing, packing, quality, search, urls
+from tradeflow.llm import jaccard, langid, lines, mixing, packing, quality, quotes, search, urls
 from tradeflow.session import configure
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,12 +35,62 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
 
+def held_out(doc_id: str = "doc_id"):
+    """The quarter of the documents that no model learns from."""
+    return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == 2
+
+
+@query
+def op1_language(spark, sf_dir):
+    """The language of every text, learned from three quarters of them."""
+    out = F.coalesce(held_out(), F.lit(False))
+    rows = documents(spark, sf_dir).select("doc_id", "text", "lang")
+    found = langid.identify(rows, ~out)
+    return found.select("doc_id", out.alias("held_out"), "lang_pred", "score", F.size("runs").alias("n_runs"))
+
+
 @query
 def op2_pack(spark, sf_dir):
     """All documents packed into sequences of 2048 tokens."""
     return packing.pack(documents(spark, sf_dir), public_tokenizers.path(VOCABULARY))
 
 
+@query
+def op3_jaccard(spark, sf_dir):
+    """Near copies of all documents: four words, 85 hundredths."""
+    return jaccard.jaccard_join(documents(spark, sf_dir), words=4, percent=85)
+
+
+def mails(turns: DataFrame) -> DataFrame:
+    """Conversations as mails that quote: each turn carries the one before it with
+    ``>`` and the one before that with ``>>``, under a line that introduces them."""
+    turns = turns.filter("conv_id IS NOT NULL AND turn IS NOT NULL")
+    own = turns.groupBy("conv_id", "turn").agg(F.min("text").alias("own"))
+
+    def earlier(back: int, mark: str) -> DataFrame:
+        quoted = F.regexp_replace(F.concat(F.lit("\n"), "own"), "\n", "\n" + mark + " ")
+        return own.select("conv_id", (F.col("turn") + back).alias("turn"), quoted.alias(f"q{back}"))
+
+    rows = own.join(earlier(1, ">"), ["conv_id", "turn"], "left")
+    rows = rows.join(earlier(2, ">>"), ["conv_id", "turn"], "left")
+    head = F.when(F.col("q1").isNotNull(), F.lit("\nA reader wrote:"))
+    return rows.select(
+        F.concat_ws(":", "conv_id", "turn").alias("msg_id"), "conv_id", "turn",
+        F.concat_ws("", "own", head, "q2", "q1").alias("text"),
+    )
+
+
+@query
+def op4_quotes(spark, sf_dir):
+    """Mails made of all conversations, linked by what they quote."""
+    linked = quotes.link_quotes(
+        mails(table(spark, sf_dir, "conversations")), sent="turn", scope="conv_id"
+    )
+    return linked.select(
+        "msg_id", "scope", "sent", F.md5("body").alias("body_md5"), "n_quotes", "n_linked", "parent", "root", "depth"
+    )
+
+
 @query
 def op5_top_k(spark, sf_dir):
     """The 10 best vectors of every hundredth one."""
