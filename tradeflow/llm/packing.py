@@ -13,9 +13,11 @@ from __future__ import annotations
 
 import bisect
 import os
+import sys
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +27,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from tradeflow.session import pin
 
 LENGTH = 2048
-MEMO = 300_000  # cached words of a worker; a full cache is emptied
+MEMO = 400_000  # cached words of a worker; a full cache is emptied
 Pattern = list[tuple[int, int]]  # (length, how often), in order of place
 
 
@@ -71,6 +73,14 @@ class Encoder:
             yield b"".join(map(self.memo.__getitem__, units))
 
 
+def encoder_of(path: str) -> Encoder:
+    """One encoder for all tasks of a worker, so that its memo stays warm."""
+    kept = sys.modules.setdefault("_packing_encoders", ModuleType("_packing_encoders")).__dict__
+    if path not in kept:
+        kept[path] = Encoder(path)
+    return kept[path]
+
+
 def cut(n: int, length: int) -> list[tuple[int, int]]:
     """Start and length of each piece of ``n`` ids: full ones, a shorter one first."""
     first = n % length or min(n, length)
@@ -86,7 +96,7 @@ def pieces(docs: DataFrame, path: str, text: str = "text", length: int = LENGTH)
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, seen = Encoder(path), Counter()
+        encoder, seen = encoder_of(path), Counter()
         part = TaskContext.get().partitionId()
         for batch in batches:
             at, out = [], []
