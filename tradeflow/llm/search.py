@@ -21,9 +21,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tradeflow.session import pin
 
-PIVOTS, BLOCK, CHUNK, SCALE = 64, 1024, 64, 1024
-# Above the rounding of doubles in distances and norms.
-SLACK = 1e-9
+PIVOTS, BLOCK, CHUNK, SCALE = 64, 1024, 128, 1024
+# Above the rounding of the distances, which are kept in single precision.
+SLACK = 1e-5
 
 
 def whole(vector: Column) -> Column:
@@ -32,63 +32,74 @@ def whole(vector: Column) -> Column:
     return F.coalesce(vector.isNotNull() & fine, F.lit(False))
 
 
-def _matrix(column: pa.ChunkedArray | pa.Array, kind=np.int64) -> np.ndarray:
-    rows = [np.asarray(v, kind) for v in column.to_pylist()]
-    width = max(map(len, rows), default=0)
-    out = np.zeros((len(rows), width), kind)
-    for row, v in zip(out, rows):
-        row[: len(v)] = v
+def _matrix(column: pa.Array) -> np.ndarray:
+    """Rows of integers; shorter ones are filled up with zeros."""
+    sizes = np.diff(column.offsets.to_numpy()) if len(column) else np.empty(0, int)
+    values = column.flatten().to_numpy().astype(np.int64)
+    out = np.zeros((len(sizes), int(sizes.max(initial=0))), np.int64)
+    out[np.arange(out.shape[1])[None, :] < sizes[:, None]] = values
     return out
 
 
+def _packed(column: pa.ChunkedArray, kind) -> np.ndarray:
+    """Rows of packed numbers; shorter ones are filled up with zeros."""
+    rows = column.to_pylist()
+    width = max(map(len, rows), default=0)
+    joined = b"".join(r.ljust(width, b"\0") for r in rows)
+    return np.frombuffer(joined, kind).reshape(len(rows), width // np.dtype(kind).itemsize)
+
+
 def _align(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     width = max(a.shape[1], b.shape[1])
-    return tuple(np.pad(x, ((0, 0), (0, width - x.shape[1]))) for x in (a, b))
+    return tuple(
+        x if x.shape[1] == width else np.pad(x, ((0, 0), (0, width - x.shape[1]))) for x in (a, b)
+    )
 
 
-def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Exact integer inner products; doubles do where they hold every sum."""
+def exact(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The rows in a type in which their inner products are exact: doubles, which
+    are fast, where these hold every sum, else 64-bit integers."""
     a, b = _align(a, b)
     top = [float(np.abs(x).max(initial=0)) for x in (a, b)]
-    if top[0] * top[1] * max(1, a.shape[1]) < 2.0**52:
-        return (a.astype(float) @ b.astype(float).T).astype(np.int64)
-    return a @ b.T
+    kind = float if top[0] * top[1] * max(1, a.shape[1]) < 2.0**52 else np.int64
+    return a.astype(kind), b.astype(kind)
+
+
+def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    a, b = exact(a, b)
+    return (a @ b.T).astype(np.int64)
 
 
 def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     a, b = _align(a.astype(float), b.astype(float))
     square = (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2.0 * (a @ b.T)
-    return np.sqrt(np.maximum(square, 0.0))
+    return np.sqrt(np.maximum(square, 0.0)).astype(np.float32)
 
 
 def pivot_table(vectors: DataFrame, pivots: np.ndarray, pivot_ids: np.ndarray, k: int) -> DataFrame:
-    """Adds ``norm``, ``dist`` (to each pivot) and ``seed``: the k-th best score among
-    the pivots other than the vector itself, null if there are fewer."""
+    """``v`` and ``dist`` (to each pivot) packed, ``norm``, and ``seed``: a query's k-th
+    best score among the pivots other than itself, null if there are fewer."""
 
     def run(batches):
         for batch in batches:
             if not batch.num_rows:
                 continue
             rows, ids = _matrix(batch.column(1)), batch.column(0).to_numpy()
-            scores = products(rows, pivots)
-            seeds = []
-            for i, own in zip(ids, scores):
-                own = np.sort(own[pivot_ids != i])[::-1]
-                seeds.append(int(own[k - 1]) if len(own) >= k else None)
-            norm = (rows.astype(float) ** 2).sum(1)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    batch.column(1),
-                    batch.column(2),
-                    pa.array(norm),
-                    pa.array([d.tobytes() for d in distances(rows, pivots)], pa.binary()),
-                    pa.array(seeds, pa.int64()),
-                ],
-                ["vec_id", "v", "is_query", "norm", "dist", "seed"],
-            )
-
-    kinds = "vec_id bigint, v array<bigint>, is_query boolean, norm double, dist binary, seed bigint"
+            asks = batch.column(2).to_numpy(zero_copy_only=False)
+            seeds: list = [None] * len(rows)
+            for i, scores in zip(np.flatnonzero(asks), products(rows[asks], pivots)):
+                others = np.sort(scores[pivot_ids != ids[i]])[::-1]
+                seeds[i] = int(others[k - 1]) if len(others) >= k else None
+            arrays = [
+                *[batch.column(0), pa.array([r.tobytes() for r in rows], pa.binary()), batch.column(2)],
+                pa.array((rows.astype(float) ** 2).sum(1)),
+                pa.array([d.tobytes() for d in distances(rows, pivots)], pa.binary()),
+                pa.array(seeds, pa.int64()),
+            ]
+            names = ["vec_id", "v", "is_query", "norm", "dist", "seed"]
+            yield pa.RecordBatch.from_arrays(arrays, names)
+
+    kinds = "vec_id bigint, v binary, is_query boolean, norm double, dist binary, seed bigint"
     return vectors.mapInArrow(run, kinds)
 
 
@@ -96,18 +107,20 @@ def best_of_block(query: tuple, block: tuple, k: int) -> tuple[np.ndarray, np.nd
     """Ids and scores of the up to k best candidates that reach the query's seed."""
     q_id, q, q_norm, q_dist, seed = query
     ids, rows, norms, dists = block
-    lower = np.abs(dists - q_dist).max(1, initial=0.0)
-    upper = (q_norm + norms - lower * lower) / 2.0
-    upper += SLACK * (q_norm + norms) + 0.5
-    able = np.flatnonzero((ids != q_id) & (upper >= seed))
+    lower = np.zeros(len(ids), np.float32)
+    for to_pivot, own in zip(dists, q_dist):
+        np.maximum(lower, np.abs(to_pivot - own), out=lower)
+    upper = (q_norm + norms - lower.astype(float) ** 2) / 2.0 + SLACK * (q_norm + norms) + 0.5
+    able = np.flatnonzero((upper >= seed) & (ids != q_id))
+    if not len(able):
+        return ids[:0], ids[:0]
     able = able[np.argsort(-upper[able], kind="stable")]
     best_ids, best = np.empty(0, np.int64), np.empty(0, np.int64)
     for at in range(0, len(able), CHUNK):
         part = able[at : at + CHUNK]
-        floor = best[k - 1] if len(best) >= k else seed
-        if upper[part[0]] < floor:
+        if upper[part[0]] < (best[k - 1] if len(best) >= k else seed):
             break
-        scores = products(q[None, :], rows[part])[0]
+        scores = (rows[part] @ q).astype(np.int64)
         best_ids, best = np.append(best_ids, ids[part]), np.append(best, scores)
         order = np.lexsort((best_ids, -best))[:k]
         best_ids, best = best_ids[order], best[order]
@@ -119,27 +132,24 @@ def _search(k: int):
     def run(queries: pa.Table, block: pa.Table) -> pa.Table:
         out = [np.empty(0, np.int64) for _ in range(3)]
         if queries.num_rows and block.num_rows:
-            rows, dists = _matrix(block.column("v")), _dists(block)
-            found = (block.column("vec_id").to_numpy(), rows, block.column("norm").to_numpy(), dists)
-            q_rows, _ = _align(_matrix(queries.column("v")), rows)
-            seeds = queries.column("seed").to_pylist()
-            parts = []
-            for i, (q_id, norm, dist) in enumerate(
-                zip(queries.column("vec_id").to_numpy(), queries.column("norm").to_numpy(), _dists(queries))
-            ):
-                seed = -math.inf if seeds[i] is None else seeds[i]
-                ids, scores = best_of_block((q_id, q_rows[i], norm, dist, seed), found, k)
-                parts.append((np.full(len(ids), q_id), ids, scores))
+            q_rows, rows = exact(_packed(queries.column("v"), np.int64), _packed(block.column("v"), np.int64))
+            by_pivot = np.ascontiguousarray(_packed(block.column("dist"), np.float32).T)
+            found = (block.column("vec_id").to_numpy(), rows, block.column("norm").to_numpy(), by_pivot)
+            asked = zip(
+                queries.column("vec_id").to_numpy(),
+                q_rows,
+                queries.column("norm").to_numpy(),
+                _packed(queries.column("dist"), np.float32),
+                [-math.inf if x is None else x for x in queries.column("seed").to_pylist()],
+            )
+            parts = [(q[0], *best_of_block(q, found, k)) for q in asked]
+            parts = [(np.full(len(ids), q), ids, scores) for q, ids, scores in parts]
             out = [np.concatenate(p) for p in zip(*parts)]
         return pa.table({n: pa.array(c, pa.int64()) for n, c in zip(("query_id", "vec_id", "score"), out)})
 
     return run
 
 
-def _dists(t: pa.Table) -> np.ndarray:
-    return np.array([np.frombuffer(d) for d in t.column("dist").to_pylist()])
-
-
 def top_k(
     vectors: DataFrame,
     is_query: Column,
