@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tradeflow.llm.common import key128
+from tradeflow.session import pin
 
 SHARE = 0.1
 MIN_PAGES = 5
@@ -64,7 +65,10 @@ def drop_boilerplate(
     page, also where ids repeat; pages of a null host form a host. Columns of
     ``pages`` named like the two new ones are replaced.
     """
-    flagged = boilerplate(pages, host, text, share, min_pages)
+    # As a table its size is known when the join is planned: Spark broadcasts it if
+    # it is small, and the texts are not shuffled; if it is large, both sides are,
+    # and a hot host is split.
+    flagged = pin(boilerplate(pages, host, text, share, min_pages), "boilerplate")
     keep = [c for c in pages.columns if c not in ("n_lines", "n_dropped")]
     rows = pages.select(*[F.col(f"`{c}`") for c in keep], _host(host).alias("_host"))
     lines = F.split(F.col(f"`{text}`"), "\n")
