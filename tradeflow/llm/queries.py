@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tradeflow.llm.common import n_words, table
-from tradeflow.llm import jaccard, langid, lines, mixing, packing, quality, quotes, search, urls
+from tradeflow.llm import jaccard, langid, lines, mixing, packing, quality, quotes, search, suffixes, urls
 from tradeflow.session import configure
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -112,6 +112,15 @@ def op7_mix(spark, sf_dir):
     return mixing.mix(sized).select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query
+def op8_suffixes(spark, sf_dir):
+    """Bytes of all documents in strings of 400 bytes that start twice."""
+    found = suffixes.dedup_strings(documents(spark, sf_dir))
+    return found.select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("bigint").alias("n_spans"), "kept_sha256"
+    )
+
+
 @query
 def op9_quality(spark, sf_dir):
     """Rule statistics of every text and the verdict of rules and forest."""
