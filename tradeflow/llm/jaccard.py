@@ -23,6 +23,7 @@ anything. So the join runs in three steps.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -34,8 +35,11 @@ from tradeflow.session import pin
 
 WORDS, PERCENT = 4, 85
 SAMPLED, OF = 3, 8  # shingles that step 1 counts
-GROWTH = 8  # pivots per group from round to round
+GROWTH = 16  # pivots per group from round to round
 SLACK = 1e-9
+# A set's shared shingles as 1024 bits; two sets differ in one shingle at least for
+# each bit in which these differ.
+SKETCH = [f"b{i}" for i in range(16)]
 
 KINDS = (
     "doc_id {id}, n bigint, fp binary, part bigint, place int, "
@@ -48,7 +52,7 @@ def _scan(docs: DataFrame, words: int, buckets: int) -> DataFrame:
 
     ``part`` numbers the slices of about a megabyte that the tasks work on, and
     ``place`` the documents in one. A packed row has the shingles' low 32 bits, the
-    places of their documents, and 32 bits of each document's fingerprint.
+    places of their documents, and 64 bits of each document's fingerprint.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
     names = ["doc_id", "n", "fp", "part", "place", "bucket", "keys", "owners", "places"]
@@ -65,7 +69,7 @@ def _scan(docs: DataFrame, words: int, buckets: int) -> DataFrame:
                     rows.column(0),
                     [[len(s) for s in sets], prints, [part] * m, range(m), *[[None] * m] * 4],
                 )
-                owners = b"".join(p[:4] for p in prints)
+                owners = b"".join(p[:8] for p in prints)
                 chosen = [s[s % np.uint64(OF) < SAMPLED] for s in sets]
                 keys = np.concatenate(chosen) if m else np.empty(0, np.uint64)
                 places = np.repeat(np.arange(m, dtype="<u4"), [len(c) for c in chosen])
@@ -105,7 +109,7 @@ def _lone_counts(blobs: pa.Table) -> pa.Table:
     for k, o, p in zip(*(blobs.column(c).to_pylist() for c in ("keys", "owners", "places"))):
         place = np.frombuffer(p, "<u4")
         keys.append(np.frombuffer(k, "<u4"))
-        owners.append(np.frombuffer(o, "<u4")[place])
+        owners.append(np.frombuffer(o, "<u8")[place])
         places.append(place)
         sizes.append(len(place))
     key, owner = np.concatenate(keys), np.concatenate(owners)
@@ -176,19 +180,25 @@ def shared_sets(docs: DataFrame, found: DataFrame, words: int, percent: int) ->
     sets = pin(_sets(texts, words).dropDuplicates(["fp"]).join(found, "fp"), "jaccard-sets")
     each = sets.select("fp", "n", "rep", F.explode("shingles").alias("s"))
     often = each.withColumn("_df", F.count(F.lit(1)).over(Window.partitionBy("s"))).filter("_df > 1")
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.shiftright("s", 8).bitwiseAND(63).cast("int"))
+    word = F.shiftright("s", 14).bitwiseAND(len(SKETCH) - 1)
+    sketch = [F.coalesce(F.bit_or(F.when(word == i, bit)), F.lit(0)).alias(b) for i, b in enumerate(SKETCH)]
     shared = often.groupBy("fp").agg(
-        F.first("rep").alias("rep"), F.first("n").alias("n"), F.sort_array(F.collect_list("s")).alias("shared")
+        F.first("rep").alias("rep"),
+        F.first("n").alias("n"),
+        F.sort_array(F.collect_list("s")).alias("shared"),
+        *sketch,
     )
-    size = F.size("shared").cast("bigint")
-    return shared.filter(_may_link(percent, F.col("n"), size, size))
+    shared = shared.withColumn("m", F.size("shared").cast("bigint"))
+    return shared.filter(_may_link(percent, F.col("n"), F.col("m"), F.col("m")))
 
 
 def index(shared: DataFrame, percent: int) -> DataFrame:
-    """``s`` and ``fp``: a document under the first of its shared shingles, in hash
-    order, that a partner has at least one of."""
+    """``s``, ``fp`` and ``pos``: a document under the first of its shared shingles, in
+    hash order, that a partner has at least one of."""
     needed = F.ceil(F.col("n") * F.lit(percent) / F.lit(100)).cast("int")
     prefix = F.slice("shared", 1, F.size("shared") - needed + 1)
-    rows = shared.select("fp", F.explode(prefix).alias("s"))
+    rows = shared.select("fp", F.posexplode(prefix).alias("pos", "s"))
     met = rows.groupBy("s").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("s")
     return rows.join(met, "s")
 
@@ -218,79 +228,103 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 
 def link_components(shared: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
     """``fp`` and ``comp``: equal for sets that links connect."""
-    limit = 1.0 - percent / 100.0
     members = shared.select(
-        "fp", "n", F.size("shared").cast("bigint").alias("m"), F.col("fp").alias("comp"),
-        F.lit(False).alias("done"), F.lit(None).cast("binary").alias("cell"), F.lit(None).cast("double").alias("dist"),
+        "fp", "n", "m", *SKETCH, F.col("fp").alias("comp"), F.lit(False).alias("done"),
+        F.lit(None).cast("binary").alias("cell"), F.lit(None).cast("double").alias("dist"),
     )
-    members, per_group = pin(members, "jaccard-members"), 1
+    members, per_group, links = pin(members, "jaccard-members"), 1, []
     while True:
-        state = pin(groups.join(members, "fp"), "jaccard-groups")
+        state = groups.join(members, "fp")
         by_comp = state.groupBy("s", "comp").agg(F.count(F.lit(1)).alias("_n"))
         home = by_comp.groupBy("s").agg(
             F.max(F.struct("_n", "comp"))["comp"].alias("_home"), F.count(F.lit(1)).alias("_comps")
         )
-        open_ = state.join(home.filter("_comps > 1"), "s").filter("comp != _home AND NOT done")
+        # Groups that are one component are finished.
+        state = pin(state.join(home.filter("_comps > 1").drop("_comps"), "s"), "jaccard-groups")
+        open_ = state.filter("comp != _home AND NOT done")
         order = Window.partitionBy("s").orderBy(F.desc(F.col("m") / F.col("n")), F.xxhash64("fp"), "fp")
         pivots = open_.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= per_group)
         pivots = pin(pivots.select("fp").distinct(), "jaccard-pivots")
         if pivots.isEmpty():
-            return members.select("fp", "comp")
-        found = pin(_distances(state, pivots, shared, percent, limit), "jaccard-distances")
-        members = _advance(members, pivots, found, percent)
-        per_group *= GROWTH
+            break
+        found = pin(_distances(state, pivots, shared, percent), "jaccard-distances")
+        union = F.col("n") + F.col("p_n") - F.col("common")
+        close = found.filter(F.lit(100) * F.col("common") >= F.lit(percent) * union)
+        links.append(close.select("fp", "p_fp"))
+        members = _advance(members, pivots, found, close)
+        groups, per_group = state.select("s", "fp", "pos"), per_group * GROWTH
+    return _united(members, links)
+
+
+def _united(members: DataFrame, links: list[DataFrame]) -> DataFrame:
+    """The components of all links, beyond those already in ``comp``."""
+    comp = members.select("fp", "comp")
+    if not links:
+        return comp
+    edges = pin(_edges(comp, reduce(DataFrame.union, links)), "jaccard-edges")
+    nodes = edges.select(F.col("a").alias("v")).union(edges.select("b")).distinct()
+    labels = components(nodes, edges).select(F.col("v").alias("comp"), "label")
+    return comp.join(labels, "comp", "left").select("fp", F.coalesce("label", "comp").alias("comp"))
 
 
-def _distances(
-    state: DataFrame, pivots: DataFrame, shared: DataFrame, percent: int, limit: float
-) -> DataFrame:
+def _edges(comp: DataFrame, links: DataFrame) -> DataFrame:
+    """Links between different components, as pairs ``a``, ``b`` of these."""
+    ends = links.join(comp, "fp").select(F.col("comp").alias("a"), F.col("p_fp").alias("fp"))
+    return ends.join(comp, "fp").select("a", F.col("comp").alias("b")).filter("a != b").distinct()
+
+
+def _distances(state: DataFrame, pivots: DataFrame, shared: DataFrame, percent: int) -> DataFrame:
     """Exact common shingles of the pivots and the documents around them, but for
-    those that sizes or the triangle inequality exclude."""
-    asks = state.join(pivots, "fp").select(
-        "s", *[F.col(c).alias(f"p_{c}") for c in ("fp", "n", "m", "comp", "cell", "dist")]
-    )
-    window = F.coalesce(
-        (F.col("cell") != F.col("p_cell")) | (F.abs(F.col("dist") - F.col("p_dist")) <= limit + SLACK), F.lit(True)
-    )
+    those that cannot link. Shown by the triangle inequality, for documents of one
+    region; by the number of shingles from the common one on; or by sketches."""
+    own = ["fp", "n", "m", "pos", "comp", "cell", "dist", *SKETCH]
+    asks = state.join(pivots, "fp").select("s", *[F.col(c).alias(f"p_{c}") for c in own])
+    sizes = F.col("n") + F.col("p_n")
+    near = F.abs(F.col("dist") - F.col("p_dist")) <= 1.0 - percent / 100.0 + SLACK
+    window = F.coalesce((F.col("cell") != F.col("p_cell")) | near, F.lit(True))
+    rest = F.least(F.col("m") - F.col("pos"), F.col("p_m") - F.col("p_pos"))
+    differ = sizes - F.col("m") - F.col("p_m")
+    for b in SKETCH:
+        differ = differ + F.bit_count(F.col(b).bitwiseXOR(F.col(f"p_{b}")))
     pairs = asks.join(state, "s").filter(
         (F.col("comp") != F.col("p_comp"))
-        & _may_link(percent, F.col("n"), F.col("p_n"), F.least("m", "p_m"))
+        & (F.lit(100 + percent) * rest >= F.lit(percent) * sizes)
+        & (F.lit(100 + percent) * differ <= F.lit(100 - percent) * sizes)
         & window
     )
     pairs = pairs.groupBy("p_fp", "fp").agg(F.first("n").alias("n"), F.first("p_n").alias("p_n"))
     theirs = shared.select("fp", F.col("shared").alias("_theirs"))
-    own = shared.select(F.col("fp").alias("p_fp"), F.col("shared").alias("_own"))
-    both = pairs.join(theirs, "fp").join(own, "p_fp")
+    own_set = shared.select(F.col("fp").alias("p_fp"), F.col("shared").alias("_own"))
+    both = pairs.join(theirs, "fp").join(own_set, "p_fp")
     common = F.size(F.array_intersect("_own", "_theirs")).cast("bigint")
     return both.select("p_fp", "fp", "n", "p_n", common.alias("common"))
 
 
-def _advance(members: DataFrame, pivots: DataFrame, found: DataFrame, percent: int) -> DataFrame:
+def _advance(members: DataFrame, pivots: DataFrame, found: DataFrame, close: DataFrame) -> DataFrame:
     """Unites components over the new links, and moves documents to the region of
-    the nearest pivot."""
+    the nearest pivot.
+
+    Stars, which is what pivots make, unite at once; what takes more steps is left
+    to the end. Until then equal components are surely connected, and only pairs of
+    different ones are compared, so nothing is lost.
+    """
+    edges = pin(_edges(members.select("fp", "comp"), close.select("fp", "p_fp")), "jaccard-edges")
+    both = edges.union(edges.select("b", "a")).distinct()
+    labels = both.groupBy(F.col("a").alias("v")).agg(F.min("b").alias("_b"))
+    labels = labels.select("v", F.least("v", "_b").alias("label"))
+    ahead = labels.select(F.col("v").alias("b"), "label")
+    labels = both.join(ahead, "b").groupBy(F.col("a").alias("comp")).agg(F.min("label").alias("_comp"))
+    labels = labels.select("comp", F.least("comp", "_comp").alias("_comp"))
     union = F.col("n") + F.col("p_n") - F.col("common")
-    links = found.filter(F.lit(100) * F.col("common") >= F.lit(percent) * union)
-    comp = members.select("fp", "comp")
-    edges = (
-        links.select("fp", "p_fp")
-        .join(comp, "fp")
-        .select(F.col("comp").alias("a"), F.col("p_fp").alias("fp"))
-        .join(comp, "fp")
-        .select("a", F.col("comp").alias("b"))
-        .distinct()
-    )
-    edges = pin(edges, "jaccard-edges")
-    nodes = edges.select(F.col("a").alias("v")).union(edges.select("b")).distinct()
-    united = components(nodes, edges).select(F.col("v").alias("comp"), F.col("label").alias("_comp"))
     distance = F.lit(1.0) - F.col("common") / union
     nearest = found.groupBy("fp").agg(F.min(F.struct(distance.alias("d"), F.col("p_fp").alias("p"))).alias("_near"))
     centres = pivots.withColumn("_centre", F.lit(True))
-    rows = members.join(united, "comp", "left").join(nearest, "fp", "left").join(centres, "fp", "left")
+    rows = members.join(labels, "comp", "left").join(nearest, "fp", "left").join(centres, "fp", "left")
     closer = F.col("_near").isNotNull() & (F.col("dist").isNull() | (F.col("_near.d") < F.col("dist")))
     centre = F.col("_centre").isNotNull()
     return pin(
         rows.select(
-            "fp", "n", "m", F.coalesce("_comp", "comp").alias("comp"), (F.col("done") | centre).alias("done"),
+            "fp", "n", "m", *SKETCH, F.coalesce("_comp", "comp").alias("comp"), (F.col("done") | centre).alias("done"),
             F.when(centre, F.col("fp")).when(closer, F.col("_near.p")).otherwise(F.col("cell")).alias("cell"),
             F.when(centre, F.lit(0.0)).when(closer, F.col("_near.d")).otherwise(F.col("dist")).alias("dist"),
         ),
