@@ -70,8 +70,9 @@ def drop_boilerplate(
     # and a hot host is split.
     flagged = pin(boilerplate(pages, host, text, share, min_pages), "boilerplate")
     keep = [c for c in pages.columns if c not in ("n_lines", "n_dropped")]
-    rows = pages.select(*[F.col(f"`{c}`") for c in keep], _host(host).alias("_host"))
-    lines = F.split(F.col(f"`{text}`"), "\n")
+    carried = F.struct(F.lit(0), *[F.col(f"`{c}`") for c in keep if c != text])
+    rows = pages.select(carried.alias("_row"), F.col(f"`{text}`").alias("_text"), _host(host).alias("_host"))
+    lines = F.split("_text", "\n")
 
     def stays(line: Column) -> Column:
         key = F.struct(*key128(_trim(line)))
@@ -81,12 +82,10 @@ def drop_boilerplate(
     rows = rows.join(flagged, "_host", "left").withColumn("_kept", kept)
     rest = F.exists("_kept", lambda line: _trim(line) != "")
     rows = rows.withColumn("_kept", F.when(rest, F.col("_kept")).otherwise(lines))
-    counted = {
-        "n_lines": F.coalesce(F.size(lines), F.lit(0)).cast("bigint"),
-        "n_dropped": F.coalesce(F.size(lines) - F.size("_kept"), F.lit(0)).cast("bigint"),
-    }
-    rows = rows.withColumns(counted)
-    whole = F.when(F.col("n_dropped") == 0, F.col(f"`{text}`")).otherwise(
-        F.array_join("_kept", "\n")
+    dropped = F.coalesce(F.size(lines) - F.size("_kept"), F.lit(0)).cast("bigint")
+    whole = F.when(dropped == 0, F.col("_text")).otherwise(F.array_join("_kept", "\n"))
+    return rows.select(
+        *[whole.alias(c) if c == text else F.col("_row").getField(c).alias(c) for c in keep],
+        F.coalesce(F.size(lines), F.lit(0)).cast("bigint").alias("n_lines"),
+        dropped.alias("n_dropped"),
     )
-    return rows.withColumn(text, whole).drop("_host", "_lines", "_kept")

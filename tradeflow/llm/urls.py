@@ -105,12 +105,15 @@ def filter_urls(
     one are replaced.
     """
     keep = [c for c in pages.columns if c not in ("host", "path", "rule", "listed", "verdict")]
-    rows = pages.select(*[F.col(f"`{c}`") for c in keep])
-    rows = rows.withColumns({"host": url_host(F.col(url)), "path": url_path(F.col(url))})
+    given = F.col(f"`{url}`").cast("string")
+    carried = F.struct(F.lit(0), *[F.col(f"`{c}`") for c in keep])
+    rows = pages.select(
+        carried.alias("_row"), given.alias("_given"), url_host(given).alias("host"), url_path(given).alias("path")
+    )
     text, decision = longest_rule(F.col("host"), F.col("path"), rules)
     rows = rows.withColumns({"rule": text, "_decision": decision})
-    rows = rows.withColumn("_url", F.when(F.col("rule").isNull(), canonical_url(F.col(url))))
-    known = listed.select(canonical_url(F.col(url)).alias("_url")).filter("_url IS NOT NULL")
+    rows = rows.withColumn("_url", F.when(F.col("rule").isNull(), canonical_url(F.col("_given"))))
+    known = listed.select(canonical_url(F.col(f"`{url}`")).alias("_url")).filter("_url IS NOT NULL")
     blooms, blocks = bloom_blocks(known)
     probed = maybe_listed(rows, blooms, blocks)
     exact = known.distinct().withColumn("listed", F.lit(True))
@@ -119,4 +122,6 @@ def filter_urls(
     both = hits.unionByName(rest).withColumn("listed", F.coalesce("listed", F.lit(False)))
     method = F.when(F.col("listed"), F.lit("block")).otherwise(F.lit("allow"))
     verdict = F.coalesce(F.col("_decision"), method)
-    return both.withColumn("verdict", verdict).drop("_url", "_maybe", "_decision")
+    return both.select(
+        *[F.col("_row").getField(c).alias(c) for c in keep], "host", "path", "rule", "listed", verdict.alias("verdict")
+    )
