@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, functions as F
 from tradeflow.session import pin
 
 TREES, SAMPLE, BINS = 100, 256, 4000
-MAX_LOSS = 0.005  # of the rows labelled good
+MAX_LOSS = 0.01  # of the rows labelled good
 SYMBOLS = "#*$%&|<>"
 BLANKS = " \t\n\x0b\x0c\r"
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
