@@ -127,24 +127,26 @@ def parents(parsed: DataFrame) -> DataFrame:
 def trees(nodes: DataFrame) -> DataFrame:
     """``_id``, ``_root`` and ``_depth`` from ``_id`` and ``_parent``.
 
-    Each round every message skips to its ancestor's ancestor, so a thread of
-    depth n takes log2(n) joins; each round is a table in the shared folder.
+    Each round every message that has not reached its root skips to its ancestor's
+    ancestor, so a thread of depth n takes about log2(n) joins of ever fewer rows;
+    each round is a table in the shared folder.
     """
     at = nodes.select(
         "_id",
         F.coalesce("_parent", "_id").alias("_root"),
         F.col("_parent").isNotNull().cast("bigint").alias("_depth"),
+        F.col("_parent").isNotNull().alias("_open"),
     )
     at = pin(at, "thread-round")
-    while True:
-        up = at.select(F.col("_id").alias("_root"), F.col("_root").alias("_up"), F.col("_depth").alias("_more"))
-        step = at.join(up, "_root", "left").select(
-            "_id", F.coalesce("_up", "_root").alias("_root"), (F.col("_depth") + F.coalesce("_more", F.lit(0))).alias("_depth"),
-            F.coalesce(F.col("_up") != F.col("_root"), F.lit(False)).alias("_moved"),
-        )
-        at = pin(step, "thread-round")
-        if at.filter("_moved").isEmpty():
-            return at.drop("_moved")
+    while not (open_ := at.filter("_open")).isEmpty():
+        up = at.select(
+            F.col("_id").alias("_root"), F.col("_root").alias("_up"), F.col("_depth").alias("_more"), F.col("_open").alias("_on")
+        )
+        step = open_.drop("_open").join(up, "_root").select(
+            "_id", F.col("_up").alias("_root"), (F.col("_depth") + F.col("_more")).alias("_depth"), F.col("_on").alias("_open")
+        )
+        at = pin(at.filter("NOT _open").unionByName(step), "thread-round")
+    return at.drop("_open")
 
 
 def link_quotes(
