@@ -43,12 +43,11 @@ ASKED = sorted(
 )
 
 
-@pytest.mark.parametrize("small", [None, False])
-def test_nearest_leaf(spark, small):
+@pytest.mark.parametrize("points", [50_000, 7])
+def test_nearest_leaf(spark, monkeypatch, points):
+    monkeypatch.setattr(forecast, "RANGE_POINTS", points)
     df, means = trades(spark, SEEN)
-    out = forecast.predict_exact(
-        forecast.leaves(df), requests(spark, [*ASKED, 10, 10, None]), small=small
-    )
+    out = forecast.nearest_leaf(forecast.leaves(df), requests(spark, [*ASKED, 10, 10, None]))
     got = out.collect()
     expected = brute(means, ASKED)
     assert len(got) == len(ASKED) + 3
@@ -75,16 +74,35 @@ def test_tree_equals_exact(spark, tmp_path):
                 assert prediction == pytest.approx(expected[volume], rel=1e-9)
 
 
-def test_too_many_leaves_for_a_tree(spark):
+@pytest.mark.parametrize(
+    "kind,price", [("double", "double"), ("decimal(12,3)", "double"), ("bigint", "decimal(12,5)")]
+)
+def test_volumes_of_any_type(spark, tmp_path, kind, price):
+    seen = [3_000_000_000, 10, 20] if kind == "bigint" else [10.25, 10.75, 20.0]
+    data = spark.createDataFrame(
+        [(str(v), str(p)) for v, p in zip(seen, ("0.00004", "1.23456", "2500000"))], "volume string, price string"
+    ).selectExpr(f"CAST(volume AS {kind}) AS volume", f"CAST(price AS {price}) AS price")
+    forecast.save_leaves(forecast.leaves(data), str(tmp_path / "leaves"))
+    asked = data.select("volume", F.lit("x").alias("id"))
+    out = forecast.nearest_leaf(forecast.load_leaves(spark, str(tmp_path / "leaves")), asked)
+    assert out.columns == ["volume", "id", "prediction"]
+    assert sorted(r["prediction"] for r in out.collect()) == [0.00004, 1.23456, 2500000.0]
+    between = spark.createDataFrame([(10.5,), (10.51,), (1e12,), (float("nan"),)], "volume double")
+    if kind == "double":
+        got = forecast.nearest_leaf(forecast.leaves(data), between).collect()
+        assert [r["prediction"] for r in sorted(got, key=lambda r: r["volume"])] == [0.00004, 1.23456, 2500000.0, None]
+
+
+def test_more_leaves_than_a_tree_holds(spark):
+    data = spark.range(20_000).selectExpr("id / 7 AS volume", "pmod(hash(id), 1000) / 4 AS price")
+    assert forecast.fit_predict(data, data).filter("abs(prediction - price) > 1e-9").isEmpty()
+
+
+def test_a_tree_that_is_too_deep(spark, monkeypatch):
     df, _ = trades(spark, range(50))
+    monkeypatch.setattr(forecast, "MAX_DEPTH", 3)
     with pytest.raises(forecast.TreeLimit):
-        forecast.fit_tree(df, max_leaves=10)
-    asked = requests(spark, [0, 25, 60, None]).withColumn("id", F.lit("x"))
-    by_tree = forecast.fit_predict(df, asked)
-    exactly = forecast.fit_predict(df, asked, max_leaves=10)
-    assert by_tree.columns == exactly.columns == ["volume", "id", "prediction"]
-    for a, b in zip(rows(by_tree), rows(exactly)):
-        assert a[:2] == b[:2] and a[2] == pytest.approx(b[2])
+        forecast.fit_tree(df)
 
 
 def test_trees_of_one_leaf_and_of_none(spark):

@@ -50,12 +50,12 @@ def universe(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def train(spark: SparkSession, args: argparse.Namespace) -> None:
-    forecast.save(forecast.fit_tree(read_training(spark, args.trades)), args.model)
+    forecast.save_leaves(forecast.leaves(read_training(spark, args.trades)), args.model)
 
 
 def predict(spark: SparkSession, args: argparse.Namespace) -> None:
     requests = spark.createDataFrame([(v,) for v in args.volume], "volume int")
-    for row in forecast.predict(forecast.load(args.model), requests).collect():
+    for row in forecast.nearest_leaf(forecast.load_leaves(spark, args.model), requests).collect():
         print(row.volume, row.prediction)
 
 

@@ -147,6 +147,22 @@ ORACLES: dict[str, str] = {
     "forecast_saved_model": _predicted(
         "SELECT * FROM trades", "r.symbol, r.ts, r.volume"
     ),
+    "forecast_fractions": """
+        WITH leaves AS (
+            SELECT CAST(value AS DOUBLE) AS volume, avg(CAST(props->>'k' AS INT)) AS mean FROM events
+            WHERE value IS NOT NULL AND (props->>'k') IS NOT NULL GROUP BY 1
+        ), asked AS (
+            SELECT p_partkey, CAST(p_retailprice AS DOUBLE) / 10 AS volume FROM part
+        ), below AS (
+            SELECT p_partkey, a.volume, l.volume AS low, l.mean AS low_mean
+            FROM asked a ASOF LEFT JOIN leaves l ON a.volume >= l.volume
+        ), sided AS (
+            SELECT b.*, l.volume AS high, l.mean AS high_mean
+            FROM below b ASOF LEFT JOIN leaves l ON b.volume <= l.volume
+        )
+        SELECT p_partkey, volume, round(round(CASE WHEN low IS NULL THEN high_mean
+            WHEN high IS NULL OR volume - low <= high - volume THEN low_mean ELSE high_mean END, 11), 6) AS prediction
+        FROM sided""",
     "forecast_lag1": _trades(
         """SELECT price, symbol, ts, volume, lag(price) OVER (PARTITION BY symbol
         ORDER BY ts NULLS FIRST, price NULLS FIRST, volume NULLS FIRST) AS price_lag1 FROM trades"""

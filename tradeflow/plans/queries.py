@@ -302,7 +302,7 @@ def _requests(spark: SparkSession) -> DataFrame:
 def forecast_exact(spark, sf_dir):
     """Customer keys as requested volumes, answered from the leaf means."""
     asked = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("int").alias("volume"))
-    return _rounded(forecast.predict_exact(forecast.leaves(trades(spark, sf_dir)), asked))
+    return _rounded(forecast.nearest_leaf(forecast.leaves(trades(spark, sf_dir)), asked))
 
 
 @query
@@ -315,14 +315,14 @@ def forecast_leaves(spark, sf_dir):
 
 @query
 def forecast_batch(spark, sf_dir):
-    """A tree fitted on the trades, applied to the trades."""
+    """The trades' leaves, applied to the trades."""
     rows = trades(spark, sf_dir)
     return _rounded(forecast.fit_predict(rows, rows))
 
 
 @query
 def forecast_points(spark, sf_dir):
-    """A tree fitted on the trades, applied to single requests."""
+    """The trades' leaves, applied to single requests."""
     return _rounded(forecast.fit_predict(trades(spark, sf_dir), _requests(spark)))
 
 
@@ -335,6 +335,22 @@ def forecast_saved_model(spark, sf_dir):
     return _rounded(forecast.predict(forecast.load(folder), rows.select("symbol", "ts", "volume")))
 
 
+@query
+def forecast_fractions(spark, sf_dir):
+    """Leaves of fractional volumes, of which there are about as many as trades,
+    saved, loaded and applied to prices of parts."""
+    rows = table(spark, sf_dir, "events").select(
+        F.col("value").cast("double").alias("volume"),
+        F.get_json_object("props", "$.k").cast("int").alias("price"),
+    )
+    folder = work_folder(spark, "leaves")
+    forecast.save_leaves(forecast.leaves(rows), folder)
+    asked = table(spark, sf_dir, "part").select(
+        "p_partkey", (F.col("p_retailprice").cast("double") / 10).alias("volume")
+    )
+    return _rounded(forecast.nearest_leaf(forecast.load_leaves(spark, folder), asked))
+
+
 @query
 def forecast_lag1(spark, sf_dir):
     """Trades with the previous price of the symbol."""
