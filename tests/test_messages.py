@@ -118,7 +118,7 @@ def test_stream_goes_on_after_a_restart(spark, tmp_path):
     folder = str(tmp_path / "in")
 
     def run():
-        source = folders.stream_messages(spark, folder)
+        source = folders.stream_messages(spark, folder, False)
         start_flat_trades(
             source, str(tmp_path / "out"), str(tmp_path / "checkpoint"), availableNow=True
         ).awaitTermination()

@@ -199,7 +199,7 @@ def test_stream_upserts_across_epochs_and_restarts(spark, tmp_path):
         folders.land_messages(msg.pack_messages(df.coalesce(1)), folder)
 
     def run():
-        source = folders.stream_messages(spark, folder, clean_source="off")
+        source = folders.stream_messages(spark, folder, False, clean_source="off")
         start_hot_trades(
             source, root, str(tmp_path / "checkpoint"), availableNow=True
         ).awaitTermination()
@@ -219,7 +219,7 @@ def test_stream_replay_after_a_lost_commit(spark, tmp_path):
     folders.land_messages(msg.pack_messages(df), folder)
 
     def run():
-        source = folders.stream_messages(spark, folder, clean_source="off")
+        source = folders.stream_messages(spark, folder, False, clean_source="off")
         start_hot_trades(
             source, root, str(tmp_path / "checkpoint"), availableNow=True
         ).awaitTermination()

@@ -2,7 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from decimal import Decimal
+
+from pyspark.sql import Column, DataFrame, functions as F
+
+
+def arrival(at: Column, no: Column, pos: Column) -> Column:
+    """Order of arrival as one number: landing ms, number of the message, place in
+    it. A decimal has a fixed width, so an aggregate over it stays hash based."""
+    number = F.lit(Decimal(10**25)) * at.cast("decimal(13,0)")
+    number = number.cast("decimal(38,0)") + (F.lit(Decimal(10**6)) * no.cast("decimal(19,0)")).cast("decimal(38,0)")
+    return (number.cast("decimal(38,0)") + pos.cast("decimal(6,0)")).cast("decimal(38,0)")
 
 
 def latest_per_key(

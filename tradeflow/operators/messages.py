@@ -51,7 +51,8 @@ def pack_messages(
 
 def encode(messages: DataFrame) -> DataFrame:
     """Messages to one JSON text per row, in the column ``value``."""
-    return messages.select(F.to_json(F.struct("data", "type")).alias("value"))
+    landed = [c for c in ("at", "no") if c in messages.columns]
+    return messages.select(F.to_json(F.struct("data", "type", *landed)).alias("value"))
 
 
 def parse(texts: DataFrame, column: str = "value") -> DataFrame:

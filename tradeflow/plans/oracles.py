@@ -83,14 +83,14 @@ ORACLES: dict[str, str] = {
         (epoch_us(ts) + 500) // 1000 AS ms_rounded,
         make_timestamp((epoch_us(ts) // 1000) * 1000) AS ts_ms FROM events""",
     # The late row of a key, else its early row, whose price is one too high.
-    "stream_hot_upsert": f"""WITH {_TRADES}, keyed AS (
+    **dict.fromkeys(["stream_hot_upsert", "stream_hot_arrival"], f"""WITH {_TRADES}, keyed AS (
         SELECT *, volume IS NOT NULL AND volume >= 50 AS late FROM trades
         WHERE symbol IS NOT NULL AND ts IS NOT NULL
         QUALIFY row_number() OVER (PARTITION BY symbol, ts
           ORDER BY late DESC, price DESC NULLS LAST, volume DESC NULLS LAST) = 1)
         SELECT symbol, {_TIME} AS ts,
         CAST(price + CASE WHEN late THEN 0 ELSE 1 END AS DECIMAL(10,4)) AS price, volume
-        FROM keyed""",
+        FROM keyed"""),
     "hot_upsert": """SELECT event_type AS symbol, date_trunc('hour', ts) AS ts,
         CAST(value AS DECIMAL(10,4)) AS price, CAST(props->>'$.k' AS INT) AS volume
         FROM events WHERE event_type IS NOT NULL AND ts IS NOT NULL

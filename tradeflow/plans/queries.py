@@ -88,7 +88,7 @@ def stream_trades(spark, sf_dir):
     """A message folder streamed into flat trades."""
     folder = work_folder(spark, "stream-trades")
     folders.land_messages(msg.pack_messages(trades(spark, sf_dir)), f"{folder}/in")
-    source = folders.stream_messages(spark, f"{folder}/in")
+    source = folders.stream_messages(spark, f"{folder}/in", multi_line=False)
     start_flat_trades(
         source, f"{folder}/out", f"{folder}/checkpoint", availableNow=True
     ).awaitTermination()
@@ -108,13 +108,34 @@ def stream_hot_upsert(spark, sf_dir):
     late = exact.filter(F.col("volume") >= 50)
     for part in (early, late):
         folders.land_messages(msg.pack_messages(part), f"{folder}/in")
-        source = folders.stream_messages(spark, f"{folder}/in", clean_source="off")
+        source = folders.stream_messages(spark, f"{folder}/in", False, clean_source="off")
         start_hot_trades(
             source, f"{folder}/store", f"{folder}/checkpoint", availableNow=True
         ).awaitTermination()
     return _zone_less(TradeStore(spark, f"{folder}/store").read_hot())
 
 
+@query
+def stream_hot_arrival(spark, sf_dir):
+    """Corrections that one micro-batch sees together with what they correct.
+
+    The first landing has every trade at a price that is one too high. The second
+    one has the trades of volume 50 and more twice, first two too high, then exact.
+    """
+    folder = work_folder(spark, "stream-arrival")
+    exact = trades(spark, sf_dir)
+    late = exact.filter(F.col("volume") >= 50)
+    wrong = msg.pack_messages(late.withColumn("price", F.col("price") + 2))
+    early = msg.pack_messages(exact.withColumn("price", F.col("price") + 1))
+    folders.land_messages(early, f"{folder}/in")
+    folders.land_messages(wrong.union(msg.pack_messages(late)), f"{folder}/in")
+    source = folders.stream_messages(spark, f"{folder}/in", False, clean_source="off")
+    start_hot_trades(
+        source, f"{folder}/store", f"{folder}/checkpoint", availableNow=True
+    ).awaitTermination()
+    return _zone_less(TradeStore(spark, f"{folder}/store").read_hot())
+
+
 # Hot and cold trades
 
 

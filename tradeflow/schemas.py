@@ -11,10 +11,13 @@ TICK = T.StructType(
     ]
 )
 
+# ``at`` and ``no`` are added on landing: its epoch ms, and the message's number in it.
 MESSAGE = T.StructType(
     [
         T.StructField("data", T.ArrayType(TICK)),
         T.StructField("type", T.StringType()),
+        T.StructField("at", T.LongType()),
+        T.StructField("no", T.LongType()),
     ]
 )
 

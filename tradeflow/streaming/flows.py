@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tradeflow.constants import MOVE_SECONDS, REFRESH_SECONDS
 from tradeflow.functions.time import cutoff_ms, epoch_ms_to_timestamp
+from tradeflow.operators.latest import arrival
 from tradeflow.operators.messages import flatten
 from tradeflow.sources.store import TradeStore
 
@@ -31,7 +32,7 @@ def start_flat_trades(
 def hot_sink(root: str) -> Callable[[DataFrame, int], None]:
     """A per-batch function that appends to the hot table.
 
-    Within a batch the later file wins, then the later place in the message. The
+    Within a batch the later arrival wins: landing, message, place in it. The
     id of the query lives in its checkpoint, so a batch that is run again after
     a restart is recognised, and a query with a new checkpoint is a new writer.
     """
@@ -39,8 +40,9 @@ def hot_sink(root: str) -> Callable[[DataFrame, int], None]:
     def write(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
         writer = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
-        trades = batch.withColumn("ts", epoch_ms_to_timestamp(F.col("ts")))
-        TradeStore(spark, root).append(trades, ["file", "pos"], writer, epoch)
+        rank = arrival(F.col("at"), F.col("no"), F.col("pos"))
+        trades = batch.withColumns({"ts": epoch_ms_to_timestamp(F.col("ts")), "rank": rank})
+        TradeStore(spark, root).append(trades, ["rank"], writer, epoch)
 
     return write
 
@@ -50,7 +52,7 @@ def start_hot_trades(
 ) -> StreamingQuery:
     """Flatten a message stream and upsert it into the hot table under ``root``."""
     return (
-        flatten(messages, keep=("file", "pos"))
+        flatten(messages, keep=("at", "no", "pos"))
         .writeStream.foreachBatch(hot_sink(root))
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": "0 seconds"}))
