@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from tradeflow.session import pin
 
 LENGTH = 2048
-MEMO = 400_000  # cached words of a worker; a full cache is emptied
+MEMO = 500_000  # words of a generation of a worker's memo
 Pattern = list[tuple[int, int]]  # (length, how often), in order of place
 
 
@@ -36,7 +36,9 @@ class Encoder:
 
     Where words are parted by single spaces and newlines only, the ids of a text
     are those of its words in a row (the vocabulary never joins across them), and
-    words are encoded once. Any other text is encoded as it is.
+    words are encoded once. Any other text is encoded as it is. The memo has two
+    generations: when the young one is full it becomes the old one, and words that
+    are met again move on, so the frequent ones stay.
     """
 
     def __init__(self, path: str):
@@ -46,13 +48,16 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.memo: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def _raw(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
     def _units(self, text: str) -> list[str] | None:
-        if "\0" in text or text.replace("\n", " ").split(" ") != text.split():
+        spaced = text.replace("\n", " ")
+        # Of all white space only the plain space counts as printable.
+        if not spaced.isprintable() or "  " in spaced or spaced[0] == " " or spaced[-1] == " ":
             return None
         if any(s in text for s in self.special):
             return None
@@ -65,8 +70,13 @@ class Encoder:
                 yield self._raw([text])[0]
                 continue
             if len(self.memo) > MEMO:
-                self.memo.clear()
-            new = [u for u in dict.fromkeys(units) if u not in self.memo]
+                self.memo, self.old = {}, self.memo
+            new = []
+            for u in set(units).difference(self.memo):
+                if u in self.old:
+                    self.memo[u] = self.old[u]
+                else:
+                    new.append(u)
             for at in range(0, len(new), 10_000):
                 part = new[at : at + 10_000]
                 self.memo.update(zip(part, self._raw(part)))
