@@ -98,3 +98,16 @@ def test_page_reader_needs_no_package_on_the_executors(tmp_path):
         cwd=tmp_path, env=env, capture_output=True, text=True, timeout=120,
     )
     assert out.stdout.strip() == str(len(EXPECTED)), out.stderr
+
+
+def test_a_span_beyond_all_rows(spark):
+    page = "<table><tr><th>A</th><th>B</th></tr><tr><td rowspan=70000>x</td><td>0</td></tr>"
+    page += "".join(f"<tr><td>{i}</td></tr>" for i in range(1, 66000)) + "</table>"
+    out = html_table(spark.createDataFrame([(1, page)], "id int, html string"), "html", "id")
+    assert out.filter("cells['A'] = 'x'").count() == 66000
+
+
+def test_a_very_wide_span(spark):
+    page = f"<table><tr><th>A</th><th>B</th></tr><tr><td colspan={10**30}>x</td></tr></table>"
+    out = html_table(spark.createDataFrame([(1, page)], "id int, html string"), "html", "id")
+    assert out.first()["cells"] == {"A": "x", "B": "x"}

@@ -54,7 +54,7 @@ def test_facts_are_one_row_per_symbol(spark):
 
 
 def test_table_over_a_folder(spark, tmp_path):
-    folder = str(tmp_path / "stocks")
+    folder = str(tmp_path / "an index's stocks")
     tables.overwrite_parquet(stocks(spark).limit(1), folder)
     tables.overwrite_parquet(stocks(spark), folder)
     for _ in range(2):
@@ -67,7 +67,8 @@ def test_table_over_a_folder(spark, tmp_path):
         assert table.join(stocks(spark).distinct(), ["Symbol", "Index"]).count() == 5
         assert "EqualTo(Index,NASDAQ)" in plan(uni.pick_stocks(table, "NASDAQ"))
     finally:
-        spark.sql("DROP TABLE stocks_test")
+        tables.drop_table(spark, "stocks_test")
+        assert not spark.catalog.tableExists("stocks_test")
 
 
 def test_append_parquet(spark, tmp_path):

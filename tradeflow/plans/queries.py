@@ -212,7 +212,9 @@ def universe_table_scan(spark, sf_dir):
     tables.overwrite_parquet(stocks(spark, sf_dir), folder)
     name = "stocks_" + folder[-32:]
     tables.create_stocks_table(spark, name, folder)
-    return tables.scan_table(spark, name)
+    rows = tables.scan_table(spark, name)
+    tables.drop_table(spark, name)  # the rows are bound to the files
+    return rows
 
 
 @query

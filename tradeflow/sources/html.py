@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 _CHUNK = 5000
+_WIDE = 10_000
 
 
 class _Table:
@@ -36,17 +37,16 @@ class _Cell:
     def __init__(self, header: bool, attrs: dict[str, str | None]):
         self.header = header
         self.parts: list[str] = []
-        self.cols = _span(attrs.get("colspan"), 1000)
-        self.rows = _span(attrs.get("rowspan"), 65534)
+        self.cols = _span(attrs.get("colspan"))
+        self.rows = _span(attrs.get("rowspan"))
 
     def text(self) -> str:
         return " ".join("".join(self.parts).split())
 
 
-def _span(value: str | None, most: int) -> int:
-    """A span attribute within the limits of the HTML standard."""
+def _span(value: str | None) -> int:
     digits = (value or "").strip()
-    return min(most, max(1, int(digits))) if digits.isdecimal() else 1
+    return max(1, int(digits[:18])) if digits.isdecimal() else 1
 
 
 class _TableReader(HTMLParser):
@@ -104,7 +104,10 @@ class _TableReader(HTMLParser):
 
 
 def _grid(rows: list[_Row]) -> Iterator[list[str]]:
-    """Row texts with cells that span rows or columns repeated."""
+    """Row texts with cells that span rows or columns repeated. A span of very many
+    columns ends with the widest row of the others: no header names what is beyond."""
+    widths = [sum(c.cols if c.cols <= _WIDE else 1 for c in r.cells) for r in rows]
+    widest = max(widths, default=0)
     pending: dict[int, tuple[str, int]] = {}
     for row in rows:
         texts: dict[int, str] = {}
@@ -114,7 +117,7 @@ def _grid(rows: list[_Row]) -> Iterator[list[str]]:
         for cell in row.cells:
             while at in texts:
                 at += 1
-            for _ in range(cell.cols):
+            for _ in range(cell.cols if cell.cols <= _WIDE else max(1, widest - at)):
                 texts[at] = cell.text()
                 if cell.rows > 1:
                     carried[at] = (texts[at], cell.rows - 1)

@@ -22,14 +22,31 @@ def create_stocks_table(spark: SparkSession, name: str, location: str) -> None:
     The columns are plain strings: fixed-width ones would be padded on read,
     which breaks joins and keeps equality tests away from the scan.
     """
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in STOCKS.fields)
+    create_external_table(spark, name, location, STOCKS)
+
+
+def create_external_table(
+    spark: SparkSession, name: str, location: str, schema: T.StructType
+) -> None:
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    place = location.replace("\\", "\\\\").replace("'", "\\'")
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet LOCATION '{location}'"
+        f"CREATE TABLE IF NOT EXISTS {_quoted(name)} ({columns}) USING parquet LOCATION '{place}'"
     )
 
 
+def _quoted(name: str) -> str:
+    """A table's name, with a database before a dot, as SQL takes it."""
+    return ".".join("`" + part.replace("`", "``") + "`" for part in name.split("."))
+
+
 def scan_table(spark: SparkSession, name: str) -> DataFrame:
-    return spark.sql(f"SELECT * FROM {name}")
+    return spark.sql(f"SELECT * FROM {_quoted(name)}")
+
+
+def drop_table(spark: SparkSession, name: str) -> None:
+    """Takes an external table out of the catalog; its files stay."""
+    spark.sql(f"DROP TABLE IF EXISTS {_quoted(name)}")
 
 
 def read_training(
