@@ -79,6 +79,11 @@ ORACLES: dict[str, str] = {
     "trades_flatten": _FLAT,
     "message_roundtrip": _FLAT,
     "stream_trades": _FLAT,
+    "stream_documents": _FLAT,
+    "event_ages": """SELECT event_id, 5000::BIGINT AS apart, true AS past
+        FROM events WHERE ts IS NOT NULL
+        UNION ALL SELECT event_id, NULL, NULL FROM events WHERE ts IS NULL""",
+    "chart_refresh": f"WITH {_TRADES}, {_KEYED} SELECT symbol, {_TIME} AS ts, price, volume FROM keyed",
     "epoch_ms": """SELECT event_id, epoch_us(ts) // 1000 AS ms,
         (epoch_us(ts) + 500) // 1000 AS ms_rounded,
         make_timestamp((epoch_us(ts) // 1000) * 1000) AS ts_ms FROM events""",

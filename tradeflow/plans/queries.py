@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tradeflow.constants import SUBSCRIPTION_LIMIT
 from tradeflow.functions.time import (
+    cutoff_ms,
     epoch_ms_to_ntz,
+    now_ms,
     ntz_to_epoch_ms,
     ntz_to_epoch_ms_rounded,
     timestamp_to_ntz,
@@ -27,7 +30,7 @@ from tradeflow.session import configure, work_folder
 from tradeflow.sources import messages as folders, tables
 from tradeflow.sources.html import cell_columns, html_table
 from tradeflow.sources.store import TradeStore
-from tradeflow.streaming.flows import start_flat_trades, start_hot_trades
+from tradeflow.streaming.flows import start_flat_trades, start_hot_trades, start_refresh
 
 CUTOFF_MS = 1705276800000  # 2024-01-15 00:00 UTC
 SERIES_END_MS = 1706000000000
@@ -80,9 +83,54 @@ def epoch_ms(spark, sf_dir):
     )
 
 
+@query
+def event_ages(spark, sf_dir):
+    """Ages against the present, as far as they do not depend on it: two times of one
+    query have the same present, and all events lie before it."""
+    ms = ntz_to_epoch_ms(F.col("ts"))
+    later = ntz_to_epoch_ms(F.col("ts") + F.expr("INTERVAL 5 SECONDS"))
+    return table(spark, sf_dir, "events").select(
+        "event_id",
+        ((now_ms() - ms) - (now_ms() - later)).cast("bigint").alias("apart"),
+        (now_ms() > ms).alias("past"),
+    )
+
+
 # Streams
 
 
+@query
+def stream_documents(spark, sf_dir):
+    """As ``stream_trades``, from files of one document each, which may have lines."""
+    folder = work_folder(spark, "stream-documents")
+    folders.land_messages(msg.pack_messages(trades(spark, sf_dir)), f"{folder}/in", per_file=1)
+    source = folders.stream_messages(spark, f"{folder}/in")
+    start_flat_trades(
+        source, f"{folder}/out", f"{folder}/checkpoint", availableNow=True
+    ).awaitTermination()
+    return spark.read.parquet(f"{folder}/out")
+
+
+@query
+def chart_refresh(spark, sf_dir):
+    """The hot table as a chart's refresh sees it."""
+    folder, shown = work_folder(spark, "refresh"), threading.Event()
+    TradeStore(spark, f"{folder}/store").append(timed_trades(spark, sf_dir))
+
+    def show(hot: DataFrame) -> None:
+        if not shown.is_set():
+            hot.write.parquet(f"{folder}/out")
+            shown.set()
+
+    refresh = start_refresh(spark, f"{folder}/store", f"{folder}/checkpoint", show, every_s=1)
+    try:
+        while not shown.wait(1) and refresh.isActive:
+            pass
+    finally:
+        refresh.stop()
+    return _zone_less(spark.read.parquet(f"{folder}/out"))
+
+
 @query
 def stream_trades(spark, sf_dir):
     """A message folder streamed into flat trades."""
@@ -166,7 +214,8 @@ def latest_event(spark, sf_dir):
 def _moved(spark: SparkSession, sf_dir: str) -> TradeStore:
     store = TradeStore(spark, work_folder(spark, "archive"))
     store.append(timed_trades(spark, sf_dir))
-    store.move(CUTOFF_MS)
+    delay_s = 60
+    store.move(cutoff_ms(CUTOFF_MS + 1000 * delay_s, delay_s))
     return store
 
 

@@ -10,18 +10,21 @@ from tradeflow.operators.messages import encode
 from tradeflow.schemas import MESSAGE
 
 
-def land_messages(messages: DataFrame, path: str, at_ms: int | None = None) -> None:
+def land_messages(
+    messages: DataFrame, path: str, at_ms: int | None = None, per_file: int = 0
+) -> None:
     """Append messages to a folder as JSON lines, one document per line.
 
     Each document carries the epoch ms of its landing and its number in it, which
     give the order of arrival; names of files do not. Many documents share a file,
-    so the number of files follows the number of tasks and not of messages.
+    so the number of files follows the number of tasks and not of messages, unless
+    ``per_file`` bounds the documents of a file.
     """
     at_ms = time.time_ns() // 1_000_000 if at_ms is None else at_ms
     numbered = messages.withColumns(
         {"at": F.lit(at_ms).cast("bigint"), "no": F.monotonically_increasing_id()}
     )
-    encode(numbered).write.mode("append").text(path)
+    encode(numbered).write.mode("append").option("maxRecordsPerFile", per_file).text(path)
 
 
 def _with_origin(messages: DataFrame) -> DataFrame:
