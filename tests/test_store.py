@@ -314,3 +314,36 @@ def test_random_history_against_a_model(spark, store, seed, monkeypatch):
             store.vacuum()
         assert content(store.read_hot()) == sorted((*k, *v) for k, v in hot.items())
         assert content(store.read_cold()) == sorted(cold)
+
+
+def test_writers_do_not_harm_each_other(spark, store):
+    """A writer that claimed its version first commits after another one and a move."""
+    other = TradeStore(spark, store.root)
+    early = store._claim()
+    other.append(frame(spark, ("B", 1, 2, 2), ("B", 5000, 2, 2)), writer="b", epoch=0)
+    other.move(1000)
+    frame(spark, ("A", 1, 1, 1), ("A", 5000, 1, 1)).select("symbol", "ts", "price", "volume").write.parquet(
+        f"{store.hot_path}/version={early}/writer=a/epoch=0"
+    )
+    assert content(store.read_hot()) == [("A", 1, 1, 1), ("A", 5000, 1, 1), ("B", 5000, 2, 2)]
+    other.move(1000)
+    assert content(store.read_hot()) == [("A", 5000, 1, 1), ("B", 5000, 2, 2)]
+    assert content(store.read_cold()) == [("A", 1, 1, 1), ("B", 1, 2, 2)]
+    assert store._claim() != other._claim()
+
+
+def test_a_replay_of_an_older_epoch_does_nothing(spark, store):
+    store.append(frame(spark, ("A", 1, 1, 1)), writer="a", epoch=0)
+    store.append(frame(spark, ("A", 1, 2, 2)), writer="b", epoch=0)
+    assert store.append(frame(spark, ("A", 1, 1, 1)), writer="a", epoch=0)["rows"] == 0
+    assert content(store.read_hot()) == [("A", 1, 2, 2)]
+
+
+def test_vacuum_waits_for_readers(spark, store):
+    store.append(frame(spark, ("A", 1, 1, 1)), writer="a", epoch=0)
+    store.append(frame(spark, ("A", 2, 1, 1)), writer="a", epoch=1)
+    store.move(1000)
+    store.vacuum(older_than_s=600)
+    assert len(store._committed()) == 2
+    store.vacuum()
+    assert len(store._committed()) == 1 and content(store.read_hot()) == []

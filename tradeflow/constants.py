@@ -17,3 +17,5 @@ MOVE_SECONDS = 60
 
 # Seconds between two refreshes of a chart.
 REFRESH_SECONDS = 5
+# How long a read of the hot table may take.
+RETENTION_SECONDS = 3600

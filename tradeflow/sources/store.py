@@ -6,7 +6,9 @@ all hot rows older than a cutoff to cold. Layout::
     hot/version=V/writer=W/epoch=E/             one append, distinct keys
     moves/tier=cold/day=D/run=N/                rows that move N archived
     moves/tier=hot/day=none/run=N/              rows that move N left hot
-    commits/block=B/run=N/through=V/            move N covered versions up to V
+    claims/V                                    version V is some append's
+    commits/block=B/run=N/covered=V/            move N covered version V
+    commits/block=B/run=N/through=V/            move N is committed; V is its last
 
 A move writes both tiers in one Spark job, and creating its ``through`` folder
 commits both: before it a reader sees the rows hot, after it each row is in
@@ -16,14 +18,17 @@ Archived rows lie in a folder per day of trade and are sorted by key within it,
 so a read of few symbols in a short time lists and opens few files and skips
 most of their row groups.
 
-One writer appends and one job moves, side by side. An append that died has no
-``_SUCCESS`` and a move that died no ``through`` folder; neither is read, and
-the next attempt replaces it.
+Any number of writers append and one job moves, side by side. A version belongs to
+the writer that created its claim, which the file system grants once; nobody
+removes the folders of others, and a move covers the versions it has read, so one
+that is committed later with a lower number stays hot. An append that died has no
+``_SUCCESS`` and a move that died no ``through`` folder; neither is read.
 """
 
 from __future__ import annotations
 
 import datetime
+import time
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -68,7 +73,9 @@ class TradeStore:
         self.hot_path = f"{self.root}/hot"
         self.moves_path = f"{self.root}/moves"
         self.commits_path = f"{self.root}/commits"
-        for path in (self.hot_path, f"{self.moves_path}/tier=cold", self.commits_path):
+        self.claims_path = f"{self.root}/claims"
+        cold = f"{self.moves_path}/tier=cold"
+        for path in (self.hot_path, cold, self.commits_path, self.claims_path):
             self._create(path)
 
     # Folder listings; the data itself is only touched by Spark jobs.
@@ -102,12 +109,25 @@ class TradeStore:
         """The same as numbers, greatest first."""
         return sorted(map(int, self._values(path, name)), reverse=True)
 
-    def _last_append(self) -> tuple[int, str] | None:
-        for version in self._numbers(self.hot_path, "version"):
-            done = self._match(f"{self.hot_path}/version={version}/writer=*/epoch=*/_SUCCESS")
-            if done:
-                return version, done[0].removesuffix("/_SUCCESS")
-        return None
+    def _committed(self, writer: str = "*", epoch: int | str = "*") -> dict[int, str]:
+        """Committed versions and their folders."""
+        done = self._match(f"{self.hot_path}/version=*/writer={writer}/epoch={epoch}/_SUCCESS")
+        folders = [d.removesuffix("/_SUCCESS") for d in done]
+        return {int(f.rsplit("/", 3)[1].removeprefix("version=")): f for f in folders}
+
+    def _claim(self) -> int:
+        """A version that no other append has or gets."""
+        taken = self._files(self.claims_path).listStatus(self._path(self.claims_path))
+        version = max((int(s.getPath().getName()) for s in taken), default=0) + 1
+        files = self._files(self.claims_path)
+        while not files.createNewFile(self._path(f"{self.claims_path}/{version}")):
+            version += 1
+        return version
+
+    def _covered(self, move: Move) -> set[int]:
+        found = self._match(f"{self.commits_path}/block=*/run=*/covered=*")
+        numbers = [[int(x.split("=")[1]) for x in f.rsplit("/", 2)[1:]] for f in found]
+        return {version for run, version in numbers if run <= move.run}
 
     def _commit_folder(self, run: int) -> str:
         return f"{self.commits_path}/block={run // _BLOCK}/run={run}"
@@ -117,9 +137,14 @@ class TradeStore:
         for block in self._numbers(self.commits_path, "block"):
             yield from self._numbers(f"{self.commits_path}/block={block}", "run")
 
-    def _last_move(self) -> Move | None:
+    def _last_move(self, older_than_s: float = 0) -> Move | None:
         for run in self._runs():
             for through in self._numbers(self._commit_folder(run), "through"):
+                commit = self._path(f"{self._commit_folder(run)}/through={through}")
+                if older_than_s:
+                    at_ms = self._files(self.root).getFileStatus(commit).getModificationTime()
+                    if time.time() * 1000 - at_ms < 1000 * older_than_s:
+                        continue
                 return Move(run, through)
         return None
 
@@ -136,14 +161,12 @@ class TradeStore:
 
         Within one call the row with the greatest ``order`` wins, and across
         calls the later call. Rows without a full key cannot be stored and are
-        counted. An append that repeats the last one by writer and epoch, as
+        counted. An append that repeats one of the same writer and epoch, as
         after a restart, does nothing.
         """
-        last = self._last_append()
-        if epoch is not None and last is not None:
-            if last[1].endswith(f"/writer={writer}/epoch={epoch}"):
-                return {"rows": 0, "without_key": 0}
-        version = last[0] + 1 if last else 1
+        if epoch is not None and self._committed(writer, epoch):
+            return {"rows": 0, "without_key": 0}
+        version = self._claim()
         keyed = F.col("symbol").isNotNull() & F.col("ts").isNotNull()
         seen = Observation()
         unique = latest_per_key(
@@ -157,7 +180,6 @@ class TradeStore:
             VALUES,
         )
         folder = f"{self.hot_path}/version={version}"
-        self._remove(folder)
         (
             unique.select(*TRADES.names)
             .sortWithinPartitions(*KEY)
@@ -167,17 +189,15 @@ class TradeStore:
 
     # Reads.
 
-    def _appended(self, after: int) -> tuple[DataFrame | None, int, int]:
-        """Rows of the committed appends after a version with their version, the
-        number of these appends and the last version."""
-        last = self._last_append()
-        end = last[0] if last else 0
-        live = [v for v in self._numbers(self.hot_path, "version") if after < v <= end]
+    def _appended(self, move: Move | None) -> tuple[DataFrame | None, list[int]]:
+        """Rows of the committed appends that no move has covered, with their
+        version, and these versions."""
+        covered = self._covered(move) if move else set()
+        live = {v: f for v, f in self._committed().items() if v not in covered}
         if not live:
-            return None, 0, max(after, end)
+            return None, []
         reader = self.spark.read.schema(_HOT).option("basePath", self.hot_path)
-        rows = reader.parquet(*[f"{self.hot_path}/version={v}" for v in live])
-        return rows.select(*_HOT.names), len(live), end
+        return reader.parquet(*live.values()).select(*_HOT.names), sorted(live)
 
     def _left(self, move: Move) -> DataFrame | None:
         """Rows that a move left hot. Their version is the one it went through,
@@ -188,17 +208,17 @@ class TradeStore:
         rows = self.spark.read.schema(TRADES).parquet(*folders)
         return rows.select(*TRADES.names, F.lit(move.through).cast("bigint").alias("version"))
 
-    def _latest(self, move: Move | None, by_day: bool = False) -> tuple[DataFrame, int]:
-        """Latest row per key of what ``move`` left hot and of all appends after
-        it, and the last version that is in.
+    def _latest(self, move: Move | None, by_day: bool = False) -> tuple[DataFrame, list[int]]:
+        """Latest row per key of what ``move`` left hot and of all appends that are
+        not in it, and the versions of these.
 
         With ``by_day`` the rows come range partitioned by day and key. Copies of
         a key share a range, so no second shuffle is needed to find the latest,
         and a hot symbol is cut by time. Each append has distinct keys, so a
         single one needs no aggregate, and no pile of copies can build up.
         """
-        appended, parts, end = self._appended(move.through if move else 0)
-        left = self._left(move) if move else None
+        appended, versions = self._appended(move)
+        left, parts = self._left(move) if move else None, len(versions)
         if left is not None:
             rows = left if appended is None else left.unionByName(appended)
             parts += 1
@@ -212,7 +232,7 @@ class TradeStore:
             rows = rows.withColumn("day", F.to_date("ts")).repartitionByRange(*keys)
         if parts > 1:
             rows = latest_per_key(rows, keys, ["version"], VALUES)
-        return rows.select(*keys, *VALUES), end
+        return rows.select(*keys, *VALUES), versions
 
     def read_hot(self) -> DataFrame:
         """The hot table as of now: the latest row of each key."""
@@ -255,11 +275,12 @@ class TradeStore:
     def move(self, cutoff: int) -> dict[str, int]:
         """Take all hot rows with ``ts`` before ``cutoff`` (epoch ms) to cold.
 
-        Rows that come in while this runs have a later version and stay hot.
+        Rows that come in while this runs are not covered and stay hot.
         """
         done = self._last_move()
-        latest, through = self._latest(done, by_day=True)
+        latest, versions = self._latest(done, by_day=True)
         run = done.run + 1 if done else 1
+        through = max([done.through if done else 0, *versions])
         seen = Observation()
         cold = older_than(latest, cutoff)
         tiered = latest.observe(
@@ -275,6 +296,7 @@ class TradeStore:
         if self._exists(commit):
             for folder in self._match(f"{self.moves_path}/tier=*/day=*/run={run}"):
                 self._remove(folder)
+            self._remove(commit)
         self._create(commit)
         (
             tiered.select(*_MOVED.names)
@@ -283,21 +305,27 @@ class TradeStore:
             .partitionBy("tier", "day", "run")
             .parquet(self.moves_path)
         )
+        for version in versions:
+            self._create(f"{commit}/covered={version}")
         self._create(f"{commit}/through={through}")
         return {"run": run, "through": through, **seen.get}
 
-    def vacuum(self) -> None:
-        """Delete hot files the last move has made obsolete.
+    def vacuum(self, older_than_s: float = 0) -> None:
+        """Delete the hot files that moves committed at least ``older_than_s`` seconds
+        ago have made obsolete.
 
-        For when no reader of an older state is left. The last version stays, as
-        the next append takes its number from it.
+        A read that began before must have ended by then. The last version of each
+        writer stays, for a replay of it to be recognised.
         """
-        move, last = self._last_move(), self._last_append()
-        if move is None or last is None:
+        move = self._last_move(older_than_s)
+        if move is None:
             return
-        for version in self._numbers(self.hot_path, "version"):
-            if version <= move.through and version < last[0]:
-                self._remove(f"{self.hot_path}/version={version}")
+        committed = self._committed()
+        last = {folder.rsplit("/", 2)[1]: version for version, folder in sorted(committed.items())}
+        for version in self._covered(move) - set(last.values()):
+            self._remove(f"{self.hot_path}/version={version}")
+            for mark in self._match(f"{self.commits_path}/block=*/run=*/covered={version}"):
+                self._remove(mark)
         for folder in self._match(f"{self.moves_path}/tier=hot/day=*/run=*"):
             if int(folder.rsplit("=", 1)[1]) < move.run:
                 self._remove(folder)

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tradeflow.constants import MOVE_SECONDS, REFRESH_SECONDS
+from tradeflow.constants import MOVE_SECONDS, REFRESH_SECONDS, RETENTION_SECONDS
 from tradeflow.functions.time import cutoff_ms, epoch_ms_to_timestamp
 from tradeflow.operators.latest import arrival
 from tradeflow.operators.messages import flatten
@@ -80,16 +80,17 @@ def start_moves(
     every_s: float = MOVE_SECONDS,
     delay_s: int = MOVE_SECONDS,
     clock: Callable[[], float] = time.time,
+    retention_s: float = RETENTION_SECONDS,
 ) -> StreamingQuery:
     """Move rows older than ``delay_s`` to cold, once per ``every_s``.
 
-    Files that the move before made obsolete are deleted first, so a reader has
-    a full interval to finish.
+    Files that a move made obsolete are deleted ``retention_s`` after it, so a read
+    may take that long.
     """
 
     def move(session: SparkSession) -> None:
         store = TradeStore(session, root)
-        store.vacuum()
+        store.vacuum(retention_s)
         store.move(cutoff_ms(round(clock() * 1000), delay_s))
 
     return _every(spark, every_s, checkpoint, move)
