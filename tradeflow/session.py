@@ -57,3 +57,10 @@ def pin(df: DataFrame, name: str) -> DataFrame:
     path = work_folder(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_work(spark: SparkSession) -> None:
+    """Deletes all work folders and pinned tables below the shared folder, once the
+    results that were made from them have been read."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/tradeflow")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
