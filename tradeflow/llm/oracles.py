@@ -74,3 +74,57 @@ SELECT c.page_id, host, path, rule,
        rule IS NULL AND bad.canonical IS NOT NULL AS listed
 FROM c LEFT JOIN best USING (page_id) LEFT JOIN bad ON c.canonical = bad.canonical
 """
+
+ORACLES["op3_jaccard"] = r"""
+WITH RECURSIVE d AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), s AS (
+    SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+        ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) END) AS g
+    FROM d WHERE len(w) > 0
+), n AS (
+    SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), p AS (
+    SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id
+    GROUP BY a.doc_id, b.doc_id
+), l AS (
+    SELECT x, y FROM p JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * c >= 85 * (nx.n + ny.n - c)
+), r AS (
+    SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT r.a, l.y FROM r JOIN l ON r.b = l.x
+), m AS (
+    SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a
+)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id FROM m LEFT JOIN n USING (doc_id)
+"""
+
+# Texts as hexadecimal digits, two for each byte; substr counts from 1.
+ORACLES["op8_suffixes"] = """
+WITH t AS (
+    SELECT row_number() OVER () AS i, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), b AS (
+    SELECT *, length(h) // 2 AS n FROM t
+), s AS (
+    SELECT i, p, md5_number(substr(h, 2 * p + 1, 800)) AS k FROM b, unnest(range(0, n - 399)) AS u(p) WHERE n >= 400
+), again AS (
+    SELECT k FROM s GROUP BY k HAVING count(*) > 1
+), hits AS (
+    SELECT i, p, p - lag(p) OVER (PARTITION BY i ORDER BY p) AS gap FROM s JOIN again USING (k)
+), numbered AS (
+    SELECT i, p, count(*) FILTER (WHERE gap IS NULL OR gap > 400) OVER (PARTITION BY i ORDER BY p) AS run FROM hits
+), spans AS (
+    SELECT i, min(p) AS a, max(p) + 400 AS z FROM numbered GROUP BY i, run
+), kept AS (
+    SELECT i, substr(h, 2 * coalesce(lag(z) OVER w, 0) + 1, 2 * (a - coalesce(lag(z) OVER w, 0))) AS part, a,
+           z - a AS gone, substr(h, 2 * z + 1) AS tail
+    FROM spans JOIN b USING (i) WINDOW w AS (PARTITION BY i ORDER BY a)
+), cut AS (
+    SELECT i, sum(gone)::BIGINT AS gone, count(*) AS runs,
+           coalesce(string_agg(part, '' ORDER BY a), '') || arg_max(tail, a) AS rest
+    FROM kept GROUP BY i
+)
+SELECT doc_id, n::BIGINT AS n_bytes, coalesce(gone, 0)::BIGINT AS n_removed, coalesce(runs, 0)::BIGINT AS n_spans,
+       sha256(unhex(coalesce(rest, h))) AS kept_sha256
+FROM b LEFT JOIN cut USING (i)
+"""
