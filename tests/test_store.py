@@ -347,3 +347,15 @@ def test_vacuum_waits_for_readers(spark, store):
     assert len(store._committed()) == 2
     store.vacuum()
     assert len(store._committed()) == 1 and content(store.read_hot()) == []
+
+
+def test_a_symbol_lies_in_few_files(spark, store):
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(coalesce, "false")
+    try:
+        store.append(frame(spark, *[(f"S{i % 40:02}", i, 1, 1) for i in range(400)]))
+    finally:
+        spark.conf.unset(coalesce)
+    files = store.read_hot().select("symbol", F.input_file_name().alias("file")).distinct()
+    assert files.select("file").distinct().count() >= 3
+    assert files.filter("symbol = 'S07'").count() <= 2

@@ -181,7 +181,10 @@ class TradeStore:
         )
         folder = f"{self.hot_path}/version={version}"
         (
+            # A read of few symbols opens few files. The ranges are sampled from the
+            # shuffle of the aggregate, so the trades are not read again.
             unique.select(*TRADES.names)
+            .repartitionByRange(*KEY)
             .sortWithinPartitions(*KEY)
             .write.parquet(f"{folder}/writer={writer}/epoch={0 if epoch is None else epoch}")
         )
