@@ -7,7 +7,7 @@ from conftest import plan, rows
 from pyspark.sql import functions as F
 
 from tradeflow.functions import time as ft
-from tradeflow.operators import skew, trades as tr, universe as uni
+from tradeflow.operators import trades as tr, universe as uni
 from tradeflow.operators.latest import latest_per_key
 from tradeflow.schemas import STOCKS
 
@@ -91,18 +91,33 @@ def brute_lag(table):
     return sorted(out, key=lambda r: [(v is not None, v) for v in r])
 
 
-@pytest.mark.parametrize("max_group", [10**9, 300, 100])
-def test_previous_price(spark, max_group):
+@pytest.fixture(params=["coalesced", "all slices", "small batches"])
+def slices(spark, request):
+    conf = {
+        "coalesced": {},
+        "all slices": {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "23"},
+        "small batches": {"spark.sql.execution.arrow.maxRecordsPerBatch": "7"},
+    }[request.param]
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_previous_price(spark, slices):
     df = hot_trades(spark, 1500)
-    out = tr.with_previous_price(df, max_group=max_group)
+    out = tr.with_previous_price(df)
     assert rows(out) == brute_lag([tuple(r) for r in df.collect()])
+    assert tr.with_previous_price(df.limit(0)).count() == 0
 
 
-def test_previous_price_of_copies_only(spark):
+def test_previous_price_of_copies_only(spark, slices):
     df = spark.range(0, 1000, 1, 8).selectExpr(
         "cast(5 as decimal(10,4)) price", "'HOT' symbol", "7L ts", "1 volume"
     )
-    out = tr.with_previous_price(df, max_group=100)
+    out = tr.with_previous_price(df)
     assert out.filter("price_lag1 = 5").count() == 999
     assert out.filter("price_lag1 is null").count() == 1
 
@@ -112,10 +127,20 @@ def facts_of(spark, *symbols):
     return spark.createDataFrame(data, STOCKS)
 
 
-@pytest.mark.parametrize("small", [None, True, False])
-def test_enrich_keeps_every_trade(spark, small):
+@pytest.mark.parametrize("threshold", ["10m", "-1"])
+def test_enrich_keeps_every_trade(spark, threshold):
     df = hot_trades(spark, 800)
-    out = tr.enrich(df, facts_of(spark, "HOT", "A", "Z"), small=small)
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    spark.conf.set(name, threshold)
+    try:
+        out = tr.enrich(df, facts_of(spark, "HOT", "A", "Z"))
+        assert ("BroadcastHashJoin" in plan(out)) == (threshold != "-1")
+        check_enriched(df, out)
+    finally:
+        spark.conf.unset(name)
+
+
+def check_enriched(df, out):
     assert out.count() == 800
     for symbol, found in (("HOT", True), ("A", True), ("B", False)):
         part = out.filter(F.col("symbol") == symbol)
@@ -124,19 +149,6 @@ def test_enrich_keeps_every_trade(spark, small):
     assert rows(out, *df.columns) == rows(df)
 
 
-def test_heavy_keys(spark):
-    df = hot_trades(spark, 1000)
-    assert rows(skew.heavy_keys(df, "symbol", share=3)) == [("HOT",)]
-
-
-def test_fits_broadcast(spark):
-    df = spark.range(100).selectExpr("id", "repeat('x', 100) text")
-    assert skew.fits_broadcast(df)
-    assert not skew.fits_broadcast(df, max_rows=99)
-    assert not skew.fits_broadcast(df, max_bytes=10_000)
-    assert skew.fits_broadcast(df.filter("false"), max_bytes=1)
-
-
 def test_older_than_reaches_the_scan(spark, sf_dir):
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     assert "LessThan(ts" in plan(events.filter(tr.older_than(events, 1705276800000)))

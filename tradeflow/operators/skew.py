@@ -2,59 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from tradeflow.session import pin
 
-BROADCAST_BYTES = 64 * 1024 * 1024
-BROADCAST_ROWS = 1_000_000
-# A key is heavy when it holds more than 1/HEAVY_SHARE of all rows, so there are
-# fewer than HEAVY_SHARE of them whatever the data.
-HEAVY_SHARE = 1000
 
-
-def fits_broadcast(
-    df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
-) -> bool:
-    """Whether the rows, as counted and measured now, are small enough to copy
-    to every executor."""
-    width = F.lit(0).cast("bigint")
-    for field in df.schema.fields:
-        column = F.col(f"`{field.name}`").cast("string")
-        width = width + F.coalesce(F.octet_length(column), F.lit(0)) + F.lit(16)
-    rows, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
-    return rows <= max_rows and size <= max_bytes
-
-
-def heavy_keys(df: DataFrame, key: str, share: int = HEAVY_SHARE) -> DataFrame:
-    """Non-null keys with more than 1/``share`` of the rows, as a local table.
-
-    There are fewer than ``share`` of them, so they pass through the driver.
-    """
-    counts = pin(df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")), "key-counts")
-    floor = (counts.agg(F.sum("_n")).first()[0] or 0) / share
-    heavy = counts.filter((F.col("_n") > floor) & F.col(key).isNotNull()).select(key)
-    return df.sparkSession.createDataFrame(heavy.collect(), heavy.schema)
-
-
-def lookup(rows: DataFrame, facts: DataFrame, key: str, small: bool | None = None) -> DataFrame:
+def lookup(rows: DataFrame, facts: DataFrame, key: str) -> DataFrame:
     """``rows`` left join ``facts`` on ``key``; ``facts`` has one row per key.
 
-    Small facts are broadcast and ``rows`` stays where it is. Unless the caller
-    knows, the facts are written out and measured. Where they are too large, the
-    heavy keys, of which there are few, are looked up by broadcast and only the
-    rest is shuffled, so no task gets more than a small share of the rows. Rows
-    with a null key match nothing and are kept out of the shuffle too.
+    The facts are written out, so their size is known when the join is planned:
+    Spark broadcasts them up to its threshold. Beyond it both sides are shuffled
+    once, and adaptive execution splits the partitions of hot keys, null among
+    them, by the tasks their rows come from. ``rows`` are read once.
     """
-    if not small:
-        facts = pin(facts, "facts")
-    if fits_broadcast(facts) if small is None else small:
-        return rows.join(F.broadcast(facts), key, "left")
-    heavy = heavy_keys(rows, key)
-    known = facts.join(F.broadcast(heavy), key, "left_semi")
-    heavy_facts = heavy.join(F.broadcast(known), key, "left").withColumn("_heavy", F.lit(True))
-    tagged = rows.join(F.broadcast(heavy_facts), key, "left")
-    in_place = F.col("_heavy").isNotNull() | F.col(key).isNull()
-    here = tagged.filter(in_place).drop("_heavy")
-    shuffled = tagged.filter(~in_place).select(*rows.columns).join(facts, key, "left")
-    return here.unionByName(shuffled)
+    return rows.join(pin(facts, "facts"), key, "left")

@@ -2,13 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import sys
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tradeflow.functions.time import bound
 from tradeflow.operators.skew import lookup
 from tradeflow.operators.universe import stock_facts
 from tradeflow.session import pin
 
+# What runs on executors travels with the job.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def symbols(trades: DataFrame) -> DataFrame:
     return trades.select("symbol").distinct()
@@ -19,9 +28,9 @@ def older_than(trades: DataFrame, cutoff: int, column: str = "ts") -> Column:
     return F.col(column) < bound(cutoff, trades.schema[column].dataType)
 
 
-def enrich(trades: DataFrame, stocks: DataFrame, small: bool | None = None) -> DataFrame:
+def enrich(trades: DataFrame, stocks: DataFrame) -> DataFrame:
     """Trades with security, sector and indexes of their stock; none is lost."""
-    return lookup(trades, stock_facts(stocks), "symbol", small)
+    return lookup(trades, stock_facts(stocks), "symbol")
 
 
 def series(
@@ -52,72 +61,68 @@ def series(
     )
 
 
-# Rows of one symbol that a single task may sort.
-LAG_GROUP_ROWS = 20_000_000
-
-
-def with_previous_price(trades: DataFrame, max_group: int = LAG_GROUP_ROWS) -> DataFrame:
+def with_previous_price(trades: DataFrame) -> DataFrame:
     """Trades with ``price_lag1``, the price of the symbol's previous trade.
 
-    Trades are ordered by time, then price, then volume. Symbols of up to
-    ``max_group`` rows use a window over the symbol. Larger ones are cut into
-    balanced slices by ``_previous_by_slice``.
+    Trades are ordered by time, then price, then volume. One range shuffle sorts
+    them all; it cuts anywhere in that order, inside a symbol too, and the source
+    split as the last sort column cuts inside a group of copies. In a sorted slice
+    the previous price is the row before. Only the first row of a slice takes it
+    from another one, so these rows alone are joined with the slices' last rows.
+    The cut points are sampled, so the slices are written out once.
     """
-    order = ["ts", "price", "volume"]
-    small = Window.partitionBy("symbol").orderBy(*order)
-    lagged = F.lag("price").over(small).alias("price_lag1")
-    counts = trades.groupBy("symbol").agg(F.count(F.lit(1)).alias("_n"))
-    # Fewer symbols than all rows / max_group can be large.
-    large = counts.filter(F.col("_n") > max_group).collect()
-    if not large:
-        return trades.select("*", lagged)
-    flags = trades.sparkSession.createDataFrame(
-        [(symbol, True) for symbol, _ in large], "_s string, _large boolean"
-    )
-    same = F.col("symbol").eqNullSafe(F.col("_s"))
-    tagged = trades.join(F.broadcast(flags), same, "left").drop("_s")
-    rest = tagged.filter(F.col("_large").isNull()).drop("_large").select("*", lagged)
-    cut = tagged.filter(F.col("_large").isNotNull()).drop("_large")
-    slices = max(2, -(-2 * sum(n for _, n in large) // max_group))
-    return rest.unionByName(_previous_by_slice(cut, order, slices))
-
-
-def _previous_by_slice(trades: DataFrame, order: list[str], slices: int) -> DataFrame:
-    """The previous price over sorted slices of near equal size.
-
-    Range partitioning cuts anywhere in the sort order, inside a symbol too, and
-    the source split as the last sort column cuts inside a group of copies. The
-    lag inside the slices is written out, with the first and last row of each
-    symbol in a slice marked; a first row then takes the price of the last row
-    in the symbol's slice before. The cut points are sampled, so both must come
-    from one and the same run.
-    """
-    inside = Window.partitionBy("symbol", "_slice").orderBy(*order)
-    lagged = pin(
+    order = ["symbol", "ts", "price", "volume"]
+    more = [T.StructField("price_lag1", trades.schema["price"].dataType)]
+    more += [T.StructField(f"_{c}", T.BooleanType()) for c in ("head", "tail")]
+    slices = pin(
         trades.withColumn("_split", F.spark_partition_id())
-        .repartitionByRange(slices, "symbol", *order, "_split")
+        .repartitionByRange(*order, "_split")
+        .sortWithinPartitions(*order)
         .drop("_split")
-        .withColumn("_slice", F.spark_partition_id())
-        .select(
-            "*",
-            F.lag("price").over(inside).alias("_lag"),
-            (F.row_number().over(inside) == 1).alias("_first"),
-            F.lead(F.lit(1)).over(inside).isNull().alias("_last"),
-        ),
+        .mapInArrow(_lag_in_order, T.StructType([*trades.schema.fields, *more]))
+        .withColumn("_slice", F.spark_partition_id()),
         "slices",
     )
-    # At most one row per slice and per symbol, so a symbol has at most as many
-    # rows here as there are slices.
-    across = Window.partitionBy("symbol").orderBy("_slice")
-    carried = lagged.filter("_last").select(
-        F.col("symbol").alias("_s"),
-        F.col("_slice").alias("_k"),
-        F.lag(F.struct("price")).over(across).alias("_carried"),
-    )
-    same = F.col("symbol").eqNullSafe(F.col("_s")) & (F.col("_slice") == F.col("_k"))
-    return lagged.join(F.broadcast(carried), same, "left").select(
-        *trades.columns,
-        F.when(F.col("_first"), F.col("_carried.price"))
-        .otherwise(F.col("_lag"))
-        .alias("price_lag1"),
-    )
+    # One row per slice.
+    before = Window.orderBy("_slice")
+    last = slices.filter("_tail").select("_slice", F.struct("symbol", "price").alias("_row"))
+    last = last.select("_slice", F.lag("_row").over(before).alias("_before"))
+    same = F.col("_before.symbol").eqNullSafe(F.col("symbol")) & F.col("_before").isNotNull()
+    heads = slices.filter("_head").drop("price_lag1").join(last, "_slice", "left")
+    heads = heads.withColumn("price_lag1", F.when(same, F.col("_before.price")))
+    columns = [*trades.columns, "price_lag1"]
+    return slices.filter("NOT _head").select(*columns).unionByName(heads.select(*columns))
+
+
+def _lag_in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Adds the price of the row before, if it has the same symbol, and whether the
+    row is the first or last of its partition."""
+    before, held = None, None
+    for batch in batches:
+        n = batch.num_rows
+        if not n:
+            continue
+        symbol, price = batch.column("symbol"), batch.column("price")
+        if before is None:
+            before = (pa.nulls(1, symbol.type), pa.nulls(1, price.type))
+        elif held is not None:
+            yield _marked(*held, tail=False)
+        first = held is None
+        symbols, prices = (
+            pa.concat_arrays([b, c.slice(0, n - 1)]) for b, c in zip(before, (symbol, price))
+        )
+        both_null = pc.and_(pc.is_null(symbol), pc.is_null(symbols))
+        same = pc.or_(pc.fill_null(pc.equal(symbol, symbols), False), both_null)
+        lag = pc.if_else(same, prices, pa.nulls(n, price.type))
+        before = (symbol.slice(n - 1), price.slice(n - 1))
+        held = (batch, lag, first)
+    if held is not None:
+        yield _marked(*held, tail=True)
+
+
+def _marked(batch: pa.RecordBatch, lag: pa.Array, first: bool, tail: bool) -> pa.RecordBatch:
+    n = batch.num_rows
+    head = pa.array([first, *[False] * (n - 1)])
+    last = pa.array([*[False] * (n - 1), tail])
+    names = [*batch.schema.names, "price_lag1", "_head", "_tail"]
+    return pa.RecordBatch.from_arrays([*batch.columns, lag, head, last], names)
