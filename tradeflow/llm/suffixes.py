@@ -20,8 +20,9 @@ order of their first ``LENGTH`` bytes. To sort the suffixes of a corpus:
    that position's name, and the bytes after what it covers. Neighbours with equal
    prefixes are the repeats.
 
-A hash with more than ``HOT`` places would fill one bucket; its strings are counted
-by their own 128-bit hashes instead, with partial sums before the shuffle.
+A hash with more than ``HOT`` places would fill one bucket; its strings are compared
+by their own 128-bit hashes instead. Each slice of the texts sends a hash once,
+however often it has it, and places the answers itself.
 """
 
 from __future__ import annotations
@@ -277,43 +278,112 @@ def repeated_texts(scanned: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def _items(texts: DataFrame, buckets: int) -> DataFrame:
-    """Runs of strings whose key occurs again, with their bytes; of hot keys, one
-    128-bit hash for each string."""
+    """Three kinds of rows: runs of strings whose key occurs again, with their bytes;
+    of hot keys, the strings' places in the slice ``part`` and the numbers of their
+    hashes; and these hashes, packed by bucket, each with whether the slice has it
+    more than once."""
+    names = ["fp", "first", "bucket", "count", "phase", "bytes", "part", "hashes", "numbers", "many", "places", "starts"]
+    kinds = [
+        *[pa.binary(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.binary()],
+        *[pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.binary(), pa.binary()],
+    ]
+
+    def record(rows: list[dict]) -> pa.RecordBatch:
+        arrays = [pa.array([r.get(n) for r in rows], t) for n, t in zip(names, kinds)]
+        return pa.RecordBatch.from_arrays(arrays, names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = TaskContext.get().partitionId() << 32
         for batch in batches:
             for rows in batches_of(batch, 1):
                 raw = [(t or "").encode() for t in rows.column(1).to_pylist()]
-                prints = rows.column(0).to_pylist()
-                found = runs_of(raw)
-                keys = [np.frombuffer(k, "<u8") for k in rows.column(2).to_pylist()]
-                states = [np.frombuffer(s, np.uint8) for s in rows.column(3).to_pylist()]
-                out: list[list] = [[] for _ in range(7)]
+                prints, found = rows.column(0).to_pylist(), runs_of(raw)
                 cuts = np.searchsorted(found["text"], np.arange(len(raw) + 1))
-                for i, text in enumerate(raw):
-                    part = slice(cuts[i], cuts[i + 1])
-                    key = found["key"][part]
-                    order = np.argsort(keys[i], kind="stable")
-                    known, state = keys[i][order], states[i][order]
+                cold, hot = [], []
+                packed = zip(raw, rows.column(2).to_pylist(), rows.column(3).to_pylist())
+                for i, (text, keys, states) in enumerate(packed):
+                    known, state = np.frombuffer(keys, "<u8"), np.frombuffer(states, np.uint8)
+                    order = np.argsort(known, kind="stable")
+                    known, state = known[order], state[order]
+                    part_of = slice(cuts[i], cuts[i + 1])
+                    key, first, count, ahead = (found[c][part_of] for c in ("key", "first", "count", "ahead"))
                     at = np.minimum(np.searchsorted(known, key), len(known) - 1)
                     state = np.where(known[at] == key, state[at], 0)
                     for j in np.flatnonzero(state):
-                        first, count = int(found["first"][part][j]), int(found["count"][part][j])
-                        ahead = int(found["ahead"][part][j])
+                        low, n = int(first[j]), int(count[j])
                         if state[j] == 1:
-                            row = (prints[i], first, int(key[j]) % buckets, count, ahead % STEP, text[first : first + count + LENGTH - 1], None)
-                            for c, v in zip(out, row):
-                                c.append(v)
+                            cold.append(
+                                {
+                                    "fp": prints[i], "first": low, "count": n, "bucket": int(key[j]) % buckets,
+                                    "phase": int(ahead[j]) % STEP, "bytes": text[low : low + n + LENGTH - 1],
+                                }
+                            )
                         else:
-                            for p in range(first, first + count):
-                                row = (prints[i], p, None, 1, None, None, _print(text[p : p + LENGTH]))
-                                for c, v in zip(out, row):
-                                    c.append(v)
-                types = [pa.binary(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary()]
-                names = ["fp", "first", "bucket", "count", "phase", "bytes", "hash"]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)], names)
+                            hot += [(i, p, _print(text[p : p + LENGTH])) for p in range(low, low + n)]
+                yield record(cold)
+                if hot:
+                    yield record(_hot_rows(hot, prints, part, buckets))
+                part += 1
+
+    ddl = "fp binary, first bigint, bucket int, count bigint, phase int, bytes binary, part bigint, "
+    return texts.mapInArrow(run, ddl + "hashes binary, numbers binary, many binary, places binary, starts binary")
+
 
-    return texts.mapInArrow(run, "fp binary, first bigint, bucket int, count bigint, phase int, bytes binary, hash binary")
+def _hot_rows(hot: list[tuple[int, int, bytes]], prints: list[bytes], part: int, buckets: int) -> list[dict]:
+    number: dict[bytes, int] = {}
+    own = np.array([number.setdefault(h, len(number)) for _, _, h in hot], "<u4")
+    many = (np.bincount(own) > 1).astype(np.uint8)
+    rows = [
+        {
+            "part": part, "fp": b"".join(prints), "numbers": own.tobytes(),
+            "places": np.array([i for i, _, _ in hot], "<u4").tobytes(),
+            "starts": np.array([p for _, p, _ in hot], "<i8").tobytes(),
+        }
+    ]
+    by_bucket: dict[int, list[bytes]] = {}
+    for h in number:
+        by_bucket.setdefault(int.from_bytes(h[:8], "little") % buckets, []).append(h)
+    for bucket, hashes in by_bucket.items():
+        ids = np.array([number[h] for h in hashes], "<u4")
+        rows.append(
+            {
+                "part": part, "bucket": bucket, "hashes": b"".join(hashes),
+                "numbers": ids.tobytes(), "many": many[ids].tobytes(),
+            }
+        )
+    return rows
+
+
+def _repeated_hashes(blobs: pa.Table) -> pa.Table:
+    """Per slice, the numbers of the hashes that occur again."""
+    packed = [np.frombuffer(h, "<u8").reshape(-1, 2) for h in blobs.column("hashes").to_pylist()]
+    numbers = [np.frombuffer(n, "<u4") for n in blobs.column("numbers").to_pylist()]
+    many = np.concatenate([np.frombuffer(m, np.uint8) for m in blobs.column("many").to_pylist()])
+    rank = _name(*np.concatenate(packed).T)
+    again = (np.bincount(rank, 1 + many) > 1)[rank]
+    parts = np.split(again, np.cumsum([len(n) for n in numbers])[:-1])
+    found = [n[a].tobytes() for n, a in zip(numbers, parts)]
+    return pa.table({"part": blobs.column("part"), "numbers": pa.array(found, pa.binary())})
+
+
+def _place_hashes(local: pa.Table, replies: pa.Table) -> pa.Table:
+    out: tuple[list, list, list] = ([], [], [])
+    again = np.concatenate([np.empty(0, "<u4"), *(np.frombuffer(n, "<u4") for n in replies.column("numbers").to_pylist())])
+    columns = (local.column(c).to_pylist() for c in ("fp", "numbers", "places", "starts"))
+    for prints, numbers, places, starts in zip(*columns):
+        hit = np.isin(np.frombuffer(numbers, "<u4"), again)
+        place, start = np.frombuffer(places, "<u4")[hit].astype(np.int64), np.frombuffer(starts, "<i8")[hit]
+        order = np.lexsort((start, place))
+        place, start = place[order], start[order]
+        head = np.ones(len(place), bool)
+        head[1:] = (place[1:] != place[:-1]) | (start[1:] != start[:-1] + 1)
+        first = np.flatnonzero(head)
+        last = np.append(first[1:], len(place)) - 1 if len(first) else first
+        out[0].extend(prints[16 * i : 16 * i + 16] for i in place[first].tolist())
+        out[1].extend(start[first].tolist())
+        out[2].extend(start[last].tolist())
+    kinds = (pa.binary(), pa.int64(), pa.int64())
+    return pa.table({n: pa.array(c, t) for n, c, t in zip(("fp", "first", "last"), out, kinds)})
 
 
 def _name(*columns: np.ndarray) -> np.ndarray:
@@ -402,10 +472,15 @@ def repeats(texts: DataFrame, buckets: int) -> DataFrame:
     items = pin(_items(texts, buckets), "suffix-items")
     kind = "fp binary, first bigint, last bigint"
     cold = items.filter("bytes IS NOT NULL").groupBy("bucket").applyInArrow(_sorted_bucket, kind)
-    hot = items.filter("hash IS NOT NULL").select("fp", "first", "hash")
-    twice = hot.groupBy("hash").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("hash")
-    found = hot.join(twice, "hash").select("fp", "first", F.col("first").alias("last"))
-    return cold.unionByName(found)
+    replies = (
+        items.filter("hashes IS NOT NULL")
+        .select("part", "bucket", "hashes", "numbers", "many")
+        .groupBy("bucket")
+        .applyInArrow(_repeated_hashes, "part bigint, numbers binary")
+    )
+    local = items.filter("starts IS NOT NULL").select("part", "fp", "numbers", "places", "starts")
+    hot = local.groupBy("part").cogroup(replies.groupBy("part")).applyInArrow(_place_hashes, kind)
+    return cold.unionByName(hot)
 
 
 def spans(firsts: list[int], lasts: list[int]) -> list[tuple[int, int]]:
