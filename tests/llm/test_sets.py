@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from tradeflow.llm import jaccard, mixing, packing, quotes, search, shingles, suffixes
+from tradeflow.llm import jaccard, mixing, packing, queries, quotes, search, shingles, suffixes
 from tradeflow.llm.common import n_words
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -302,6 +302,27 @@ def test_quotes_of_repeated_ids_and_long_threads(spark):
     assert all(r["parent"] is None for r in got if r["msg_id"] == "n")
 
 
+TURNS = [
+    (1, 0, "first of one"), (1, 1, "second of one"), (1, 2, "third of one"),
+    (2, 0, "first of two"), (2, 1, "apples"), (2, 1, "pears"), (2, 1, "pears"), (2, 2, "third of two"),
+    (None, 0, "lost"), (3, None, "no turn"), (4, 1, "> lost\nfound"), (5, 0, None),
+]
+
+
+def test_every_turn_is_a_mail(spark):
+    turns = spark.createDataFrame(TURNS, "conv_id long, turn long, text string")
+    rows = queries.linked_mails(turns).collect()
+    assert len(rows) == len({r["msg_id"] for r in rows}) == len(TURNS)
+    by_body = {r["body_md5"]: r for r in rows}
+    got = {t: by_body[hashlib.md5((t or "").encode()).hexdigest()] for _, _, t in TURNS if t != TURNS[10][2]}
+    assert (got["third of one"]["root"], got["third of one"]["depth"], got["third of one"]["place"]) == ("1:0", 2, 2)
+    assert got["third of two"]["parent"] == got["apples"]["msg_id"] and got["pears"]["root"] == "2:0"
+    assert sorted(r["place"] for r in rows if r["root"] == "2:0") == [0, 1, 2, 3, 4]
+    found = next(r for r in rows if r["msg_id"] == "4:1")
+    assert found["parent"] == got["lost"]["msg_id"] and not found["root_in_scope"] and got["third of two"]["root_in_scope"]
+    assert got["no turn"]["parent"] is None and got["no turn"]["sent"] is None
+
+
 def test_quote_levels():
     body, held = quotes.split_quotes("a\n>b\n> > c\n  >>> d\n    > code\n>")
     assert body == "a\n    > code" and held == [(1, "b"), (2, "c"), (3, "d"), (1, "")]

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tradeflow.llm.common import n_words, table
 from tradeflow.llm import jaccard, langid, lines, mixing, packing, quality, quotes, search, suffixes, urls
-from tradeflow.session import configure
+from tradeflow.session import configure, pin
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 VOCABULARY = "byte_bpe_50k.json"
@@ -62,32 +62,49 @@ def op3_jaccard(spark, sf_dir):
 
 
 def mails(turns: DataFrame) -> DataFrame:
-    """Conversations as mails that quote: each turn carries the one before it with
-    ``>`` and the one before that with ``>>``, under a line that introduces them."""
-    turns = turns.filter("conv_id IS NOT NULL AND turn IS NOT NULL")
-    own = turns.groupBy("conv_id", "turn").agg(F.min("text").alias("own"))
+    """Conversations as mails that quote, one for each row: each turn carries the one
+    before it with ``>`` and the one before that with ``>>``, under a line that
+    introduces them.
+
+    A mail is named by its conversation and turn, and by its row too where one of
+    them is null or the turn is repeated. Of a repeated turn the smallest text is
+    quoted; without conversation or turn nothing is.
+    """
+    turns = turns.select("conv_id", "turn", "text").withColumn("_row", F.monotonically_increasing_id())
+    own = turns.filter("conv_id IS NOT NULL AND turn IS NOT NULL").groupBy("conv_id", "turn")
+    own = own.agg(F.min("text").alias("own"), F.count(F.lit(1)).alias("_rows"))
 
     def earlier(back: int, mark: str) -> DataFrame:
         quoted = F.regexp_replace(F.concat(F.lit("\n"), "own"), "\n", "\n" + mark + " ")
         return own.select("conv_id", (F.col("turn") + back).alias("turn"), quoted.alias(f"q{back}"))
 
-    rows = own.join(earlier(1, ">"), ["conv_id", "turn"], "left")
+    rows = turns.join(own.select("conv_id", "turn", "_rows"), ["conv_id", "turn"], "left")
+    rows = rows.join(earlier(1, ">"), ["conv_id", "turn"], "left")
     rows = rows.join(earlier(2, ">>"), ["conv_id", "turn"], "left")
     head = F.when(F.col("q1").isNotNull(), F.lit("\nA reader wrote:"))
+    names = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("conv_id", "turn", "text")]
+    of_row = F.concat_ws(":", *names[:2], F.md5(names[2]), "_row")
     return rows.select(
-        F.concat_ws(":", "conv_id", "turn").alias("msg_id"), "conv_id", "turn",
-        F.concat_ws("", "own", head, "q2", "q1").alias("text"),
+        F.when(F.col("_rows") == 1, F.concat_ws(":", *names[:2])).otherwise(of_row).alias("msg_id"),
+        "conv_id", "turn", F.concat_ws("", "text", head, "q2", "q1").alias("text"),
     )
 
 
+def linked_mails(turns: DataFrame) -> DataFrame:
+    """``scope`` is the conversation; no link looks at it, ``root_in_scope`` says
+    whether the root found is of the same one."""
+    linked = quotes.link_quotes(mails(turns), sent="turn", scope="conv_id", apart=False)
+    linked = pin(linked.withColumn("body", F.md5("body")).withColumnRenamed("body", "body_md5"), "mails-linked")
+    roots = linked.filter("msg_id = root").select("root", F.col("scope").alias("_of"))
+    linked = linked.join(roots, "root").withColumn("root_in_scope", F.col("scope").eqNullSafe(F.col("_of")))
+    return quotes.placed(linked.drop("_of"))
+
+
 @query
 def op4_quotes(spark, sf_dir):
-    """Mails made of all conversations, linked by what they quote."""
-    linked = quotes.link_quotes(
-        mails(table(spark, sf_dir, "conversations")), sent="turn", scope="conv_id"
-    )
-    return linked.select(
-        "msg_id", "scope", "sent", F.md5("body").alias("body_md5"), "n_quotes", "n_linked", "parent", "root", "depth"
+    """Mails made of all conversations, linked by what they quote, in reply order."""
+    return linked_mails(table(spark, sf_dir, "conversations")).select(
+        "msg_id", "scope", "sent", "body_md5", "n_quotes", "n_linked", "parent", "root", "depth", "root_in_scope", "place"
     )
 
 

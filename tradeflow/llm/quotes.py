@@ -15,7 +15,7 @@ from collections.abc import Iterator
 from itertools import groupby
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tradeflow.session import pin
 
@@ -95,10 +95,11 @@ def parse(messages: DataFrame) -> DataFrame:
     return messages.mapInArrow(run, f"_id string, _scope string, _sent bigint, {PARSED}")
 
 
-def parents(parsed: DataFrame) -> DataFrame:
+def parents(parsed: DataFrame, apart: bool = True) -> DataFrame:
     """``_id``, ``_parent`` and ``_linked``: the original that the outermost linked
     passages come from, and how many passages were found."""
     known = parsed.filter("_id IS NOT NULL AND _sent IS NOT NULL")
+    known = known if apart else known.withColumn("_scope", F.lit(""))
     # One time per id, so that links always lead to an earlier one.
     first = known.groupBy("_id").agg(F.min("_sent").alias("_sent"))
     known = known.drop("_sent").join(first, "_id")
@@ -155,6 +156,7 @@ def link_quotes(
     sent: str = "sent",
     text: str = "text",
     scope: str | None = None,
+    apart: bool = True,
 ) -> DataFrame:
     """``msg_id``, ``scope``, ``sent``, ``body``, ``n_quotes``, ``n_linked``, ``parent``,
     ``root`` and ``depth`` of every message.
@@ -163,7 +165,8 @@ def link_quotes(
     A passage links to the earliest message, sent before this one and in the same
     scope, whose own text has it as a paragraph or line. ``parent`` is the message
     of the outermost linked passages; ``root`` and ``depth`` follow from the parents.
-    A reply comes after its original in the order of ``depth`` and ``sent``.
+    A reply comes after its original in the order of ``depth`` and ``sent``. Unless
+    ``apart``, passages are looked up in all scopes.
 
     A null text has a null body and no quotes. Messages with a null id or time are
     linked with nothing and are their own root; a null scope is a scope of its
@@ -178,7 +181,7 @@ def link_quotes(
         F.col(f"`{text}`").cast("string"),
     )
     parsed = pin(parse(rows), "quotes-parsed")
-    links = pin(parents(parsed), "quotes-links")
+    links = pin(parents(parsed, apart), "quotes-links")
     ids = parsed.filter("_id IS NOT NULL").select("_id").distinct()
     placed = trees(ids.join(links, "_id", "left")).join(links, "_id", "left")
     out = parsed.select("_id", "_scope", "_sent", "_body", "_n").join(placed, "_id", "left")
@@ -192,6 +195,23 @@ def link_quotes(
     )
 
 
+def placed(linked: DataFrame) -> DataFrame:
+    """Adds ``place``, the number of a message in the reply order of its conversation,
+    from 0; a message without a root has 0."""
+    order = ["root", "depth", "sent", "msg_id"]
+    # The cut points are sampled, so the slices are written out once.
+    rows = linked.repartitionByRange(*order).withColumn("_slice", F.spark_partition_id())
+    rows = pin(rows, "quotes-places")
+    inside = F.row_number().over(Window.partitionBy("_slice", "root").orderBy(*order[1:]))
+    earlier = Window.partitionBy("root").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    base = rows.filter("root IS NOT NULL").groupBy("root", "_slice").agg(F.count(F.lit(1)).alias("_n"))
+    base = base.select("root", "_slice", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_base"))
+    rows = rows.withColumn("_inside", inside - 1).join(base, ["root", "_slice"], "left")
+    place = F.coalesce(F.col("_base") + F.col("_inside"), F.lit(0))
+    return rows.select(*linked.columns, place.alias("place"))
+
+
 def conversations(linked: DataFrame) -> DataFrame:
-    """The messages of each conversation in reply order, by one range sort."""
-    return linked.orderBy("root", "depth", "sent", "msg_id")
+    """The messages of each conversation in reply order, by range sorts, with their
+    ``place``."""
+    return placed(linked).orderBy("root", "depth", "sent", "msg_id")
