@@ -302,6 +302,44 @@ def test_quotes_of_repeated_ids_and_long_threads(spark):
     assert all(r["parent"] is None for r in got if r["msg_id"] == "n")
 
 
+def test_quotes_come_from_the_message_that_holds_them_all(spark):
+    thread = [("a", 1, "line one\nof a"), ("b", 2, "line three\nof b"), ("c", 3, "line one\nline two\nline three")]
+    table = spark.createDataFrame([*thread, ("r", 4, "yes\n> line one\nno\n> line three")], "msg_id string, sent long, text string")
+    got = {r["msg_id"]: r for r in quotes.link_quotes(table).collect()}
+    assert (got["r"]["parent"], got["r"]["root"], got["r"]["n_linked"]) == ("c", "c", 1)
+
+
+def brute_parents(mails):
+    out, own = {}, {i: {p[2] for p in quotes.passages([(0, x) for x in quotes.split_quotes(t)[0].split("\n")])} for i, _, t in mails}
+    for i, sent, t in mails:
+        votes, linked = {}, set()
+        for level, number, h, chars in quotes.passages(quotes.split_quotes(t)[1]):
+            for j, earlier, _ in mails:
+                if (earlier, j) < (sent, i) and h in own[j]:
+                    total, held = votes.get((level, earlier, j), (0, frozenset()))
+                    votes[level, earlier, j] = total + chars, held | {h}
+                    linked.add(number)
+        first = {}
+        for (level, *by), same in sorted(votes.items()):
+            first.setdefault((level, *same), by)
+        best = max(first, key=lambda v: (-v[0], v[1], first[v]), default=None)
+        out[i] = best and first[best][1], len(linked)
+    return out
+
+
+@pytest.mark.parametrize("hot", [1, 3, 1000])
+def test_parents_equal_brute_force(spark, monkeypatch, hot):
+    monkeypatch.setattr(quotes, "HOT", hot)
+    rng = random.Random(12)
+    lines = lambda k: [f"line {min(rng.randrange(1, 30), rng.randrange(1, 30))}" for _ in range(k)]
+    mails = []
+    for i in range(120):
+        text = lines(rng.randint(0, 4)) + [f"{'>' * rng.randint(1, 2)} {x}" for x in lines(rng.randint(0, 4))]
+        mails.append((f"m{i:03}", rng.randrange(60), "\n".join(text)))
+    got = quotes.link_quotes(spark.createDataFrame(mails, "msg_id string, sent long, text string")).collect()
+    assert {r["msg_id"]: (r["parent"], r["n_linked"]) for r in got} == brute_parents(mails)
+
+
 TURNS = [
     (1, 0, "first of one"), (1, 1, "second of one"), (1, 2, "third of one"),
     (2, 0, "first of two"), (2, 1, "apples"), (2, 1, "pears"), (2, 1, "pears"), (2, 2, "third of two"),

@@ -2,9 +2,15 @@
 
 A quoted passage is a paragraph of lines with equally many ``>``. Its text, without
 line breaks and case, is hashed, and so is each of its lines; originals are indexed
-by the same hashes of their own paragraphs and lines. Of all messages that hold a
-passage the index keeps the earliest, by partial minima before the shuffle, so a
-passage common to a third of all messages stays one row and no pairs arise.
+by the same hashes of their own paragraphs and lines, and the index counts the
+messages that hold each.
+
+A reply's original is chosen among all earlier messages that hold something of what
+it quotes. Passages of up to ``HOT`` holders are joined with every holder. For the
+frequent ones holders are put together that hold the same set of them, and replies
+that quote the same: these classes are compared once, and a reply meets the earliest
+message for each set that it can have in common with one. So a passage common to a
+third of all messages makes one row per message, and no holder is left out.
 """
 
 from __future__ import annotations
@@ -15,7 +21,7 @@ from collections.abc import Iterator
 from itertools import groupby
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tradeflow.session import pin
 
@@ -23,6 +29,8 @@ QUOTED = re.compile(r"^ {0,3}((?:>[ \t]?)+)(.*)$", re.S)
 # Lines that introduce a quotation.
 INTRODUCES = re.compile(r"\b(?:wrote|writes|said|schrieb|a écrit|escribió)\b[^\n]{0,20}:\s*$", re.I)
 
+HOT = 8  # holders, one at least, beyond which a passage is matched by classes
+
 Passage = tuple[int, str]
 
 
@@ -99,30 +107,80 @@ def parents(parsed: DataFrame, apart: bool = True) -> DataFrame:
     """``_id``, ``_parent`` and ``_linked``: the original that the outermost linked
     passages come from, and how many passages were found."""
     known = parsed.filter("_id IS NOT NULL AND _sent IS NOT NULL")
-    known = known if apart else known.withColumn("_scope", F.lit(""))
     # One time per id, so that links always lead to an earlier one.
     first = known.groupBy("_id").agg(F.min("_sent").alias("_sent"))
     known = known.drop("_sent").join(first, "_id")
-    index = (
-        known.select("_id", "_scope", "_sent", F.explode("_own").alias("_hash"))
-        .groupBy("_scope", "_hash")
-        .agg(F.min(F.struct("_sent", "_id")).alias("_first"))
+    key = F.concat(F.unhex(F.md5("_scope")), "_hash") if apart else F.col("_hash")
+    own = known.select("_id", "_sent", "_scope", F.explode("_own").alias("_hash")).select(
+        "_id", "_sent", key.alias("_key")
+    )
+    index = own.groupBy("_key").agg(
+        F.min(F.struct("_sent", "_id")).alias("_first"), F.count(F.lit(1)).alias("_holders")
     )
-    asked = known.select("_id", "_scope", "_sent", F.explode("_quoted").alias("q")).select(
-        "_id", "_scope", "_sent", "q.level", "q.passage", "q.chars", F.col("q.hash").alias("_hash")
+    asked = known.select("_id", "_sent", "_scope", F.explode("_quoted").alias("q")).select(
+        "_id", "_sent", "_scope", "q.level", "q.passage", "q.chars", F.col("q.hash").alias("_hash")
     )
-    hits = asked.join(index, ["_scope", "_hash"]).filter(
-        F.col("_first") < F.struct("_sent", "_id")
+    asked = asked.select("_id", "_sent", "level", "passage", "chars", key.alias("_key"))
+    hits = asked.join(index, "_key").filter(F.col("_first") < F.struct("_sent", "_id"))
+    hits = pin(hits, "quotes-hits")
+    # The outermost level; there, the message that most of the text comes from. Of
+    # those that hold the same passages the earliest, among other equals the latest.
+    outer = hits.groupBy("_id").agg(
+        F.min("level").alias("level"), F.size(F.collect_set("passage")).alias("_linked")
     )
-    votes = hits.groupBy("_id", "level", "_first").agg(
-        F.sum("chars").alias("_chars"), F.collect_set("passage").alias("_found")
+    wanted = hits.join(outer.select("_id", "level"), ["_id", "level"]).groupBy("_id", "_sent", "_key")
+    wanted = wanted.agg(
+        F.sum("chars").alias("_chars"), F.first("_first").alias("_from"), F.first("_holders").alias("_holders")
     )
-    # The outermost level; there, the message that most of the text comes from;
-    # among equals the latest.
-    best = F.max(F.struct(-F.col("level"), "_chars", "_first")).alias("_best")
-    return votes.groupBy("_id").agg(
-        best, F.size(F.array_distinct(F.flatten(F.collect_list("_found")))).alias("_linked")
-    ).select("_id", F.col("_best._first._id").alias("_parent"), "_linked")
+    votes = _votes(pin(wanted, "quotes-wanted"), own)
+    best = votes.groupBy("_id", "_chars", "_set").agg(F.min("_from").alias("_from"))
+    best = best.groupBy("_id").agg(F.max(F.struct("_chars", "_from")).alias("_best"))
+    return outer.join(best, "_id").select("_id", F.col("_best._from._id").alias("_parent"), "_linked")
+
+
+def _votes(wanted: DataFrame, own: DataFrame) -> DataFrame:
+    """``_id``, ``_from``, ``_chars`` and ``_set``: earlier messages (time and id), how many
+    of the wanted characters each holds, and a hash of the passages. Of messages that
+    have the same frequent passages and none of the others, the earliest is there."""
+    keys = wanted.filter("_holders > 1").select("_key", "_holders").distinct()
+    held = pin(own.join(keys, "_key"), "quotes-held").distinct()
+    holder = F.struct(F.col("h._sent").alias("_sent"), F.col("h._id").alias("_id"))
+    rare = wanted.filter(f"_holders > 1 AND _holders <= {HOT}").alias("w").join(held.alias("h"), "_key")
+    rare = rare.filter(holder < F.struct("w._sent", "w._id"))
+    rare = rare.select("w._id", "_key", holder.alias("_from"), "w._chars")
+    single = wanted.filter("_holders = 1").select("_id", "_key", "_from", "_chars")
+    same = [F.sum("_chars").alias("_chars"), F.bit_xor(F.xxhash64("_key")).alias("_set")]
+    votes = single.unionByName(rare).groupBy("_id", "_from").agg(*same)
+    often = F.col("_holders") > HOT
+    if wanted.filter(often).isEmpty():
+        return votes
+
+    asks = wanted.filter(often).groupBy("_id", "_sent")
+    asks = asks.agg(F.sort_array(F.collect_list(F.struct("_key", "_chars"))).alias("_all"))
+    asks = pin(asks.withColumn("_asks", _name("_all")), "quotes-asks")
+    holds = held.filter(often).groupBy("_id", "_sent").agg(F.sort_array(F.collect_list("_key")).alias("_all"))
+    holds = pin(holds.withColumn("_holds", _name("_all")), "quotes-holds")
+    ask = asks.groupBy("_asks").agg(F.first("_all").alias("_all"))
+    ask = ask.select("_asks", F.explode("_all").alias("_p")).select("_asks", "_p._key", "_p._chars")
+    hold = holds.groupBy("_holds").agg(F.first("_all").alias("_all"), F.min(F.struct("_sent", "_id")).alias("_from"))
+    hold = hold.select("_holds", "_from", F.explode("_all").alias("_key"))
+    common = pin(ask.join(hold, "_key").groupBy("_asks", "_holds", "_from").agg(*same), "quotes-common")
+
+    more = common.select("_asks", "_holds", F.col("_chars").alias("_more"), F.col("_set").alias("_with"))
+    votes = votes.join(asks.select("_id", "_asks"), "_id", "left").withColumn("_by", F.col("_from._id"))
+    votes = votes.join(holds.select(F.col("_id").alias("_by"), "_holds"), "_by", "left")
+    votes = votes.join(more, ["_asks", "_holds"], "left").select(
+        "_id", "_from", (F.col("_chars") + F.coalesce("_more", F.lit(0))).alias("_chars"),
+        F.col("_set").bitwiseXOR(F.coalesce("_with", F.lit(0))).alias("_set"),
+    )
+    earliest = common.groupBy("_asks", "_chars", "_set").agg(F.min("_from").alias("_from"))
+    met = asks.join(earliest, "_asks").filter(F.col("_from") < F.struct("_sent", "_id"))
+    return votes.unionByName(met.select("_id", "_from", "_chars", "_set"))
+
+
+def _name(column: str) -> Column:
+    """A set's hash."""
+    return F.md5(F.to_json(F.struct(column)))
 
 
 def trees(nodes: DataFrame) -> DataFrame:
@@ -162,9 +220,10 @@ def link_quotes(
     ``root`` and ``depth`` of every message.
 
     ``body`` is the text without quoted lines and the lines that introduce them.
-    A passage links to the earliest message, sent before this one and in the same
-    scope, whose own text has it as a paragraph or line. ``parent`` is the message
-    of the outermost linked passages; ``root`` and ``depth`` follow from the parents.
+    A passage is linked when a message, sent before this one and in the same scope,
+    has it as a paragraph or line of its own text. ``parent`` is, of all these
+    messages, the one that holds most characters of the outermost linked passages: of
+    several with the same ones the earliest, among other equals the latest; ``root`` and ``depth`` follow from the parents.
     A reply comes after its original in the order of ``depth`` and ``sent``. Unless
     ``apart``, passages are looked up in all scopes.
 
