@@ -9,7 +9,7 @@ that they name. An empty table passes through all stages.
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tradeflow.llm import jaccard, langid, lines, mixing, packing
 from tradeflow.llm.common import n_words, table
@@ -44,27 +44,52 @@ def site_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return found.withColumn("n_chars", n_chars).select(*COLUMNS)
 
 
+def _key(*columns: str) -> list[Column]:
+    """Two hashes of the columns that tell nulls from texts and from each other."""
+    parts = [x for c in columns for x in (F.col(c), F.col(c).isNull(), F.coalesce(F.length(c), F.lit(0)))]
+    return [F.xxhash64(*parts), F.xxhash64(F.lit("second"), *parts)]
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of the documents that links of five-word shingles with a similarity of at
-    least 0.8 connect, the one with the smallest id stays; so do all that link with
-    none, texts without words and null ids among them."""
+    """Of the rows that links of five-word shingles with a similarity of at least 0.8
+    connect, one stays: of the smallest id, null being the largest, and of its texts
+    the one with the smallest hash. All rows that link with none stay, texts without
+    words among them."""
     docs = docs.select(*COLUMNS)
-    found = jaccard.jaccard_join(docs, words=WORDS, percent=PERCENT)
-    goes = found.filter(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    kept = docs.join(goes, "doc_id", "left_anti")
-    if not docs.groupBy("doc_id").count().filter("count > 1").isEmpty():
-        kept = kept.dropDuplicates(["doc_id", "text"])
-    return kept.select(*COLUMNS)
+    # Judged by id and text, so rows that share an id are judged apart.
+    row = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), *[h.alias(f"h{i}") for i, h in enumerate(_key("text"))])
+    keyed = docs.withColumn("_row", row)
+    found = jaccard.jaccard_join(keyed.select(F.col("_row").alias("doc_id"), "text"), words=WORDS, percent=PERCENT)
+    found = found.filter("n_shingles > 0").groupBy(F.col("doc_id").alias("_row")).agg(
+        F.first(F.col("doc_id") != F.col("component_id")).alias("_goes"), F.count(F.lit(1)).alias("_rows")
+    )
+    found = pin(found.filter("_goes OR _rows > 1"), "near-verdicts")
+    kept = keyed.join(found.select("_row"), "_row", "left_anti").select(*COLUMNS)
+    twice = found.filter("NOT _goes").select("_row")
+    if not twice.isEmpty():  # one of rows equal in id and text
+        ones = keyed.join(twice, "_row", "left_semi").groupBy("_row").agg(F.min(F.struct(*COLUMNS)).alias("_one"))
+        kept = kept.unionByName(ones.select("_one.*"))
+    return kept
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix of sources takes it, up to three times."""
-    docs = docs.select(*COLUMNS).withColumn("_size", n_words(F.col("text")))
-    sized = docs.select("doc_id", "source", F.col("_size").alias("size"))
-    taken = mixing.mix(sized).filter("copies > 0")
-    taken = taken.groupBy(F.col("doc_id").alias("_id"), F.col("size").alias("_n")).agg(F.max("copies").alias("_copies"))
-    rows = docs.join(taken, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_size") == F.col("_n")))
-    return rows.select(*COLUMNS, F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("_copy")).select(*COLUMNS)
+    docs = docs.select(*COLUMNS)
+    name = F.concat_ws(":", F.coalesce(F.concat(F.lit("i"), F.col("doc_id").cast("string")), F.lit("n")), *[F.hex(h) for h in _key("text", "source")])
+    docs = docs.withColumn("_name", name).withColumn("_size", n_words(F.col("text")))
+    taken = mixing.mix(docs.select(F.col("_name").alias("doc_id"), "source", F.col("_size").alias("size")))
+    taken = taken.groupBy(F.col("doc_id").alias("_name")).agg(
+        F.sum("copies").alias("_copies"), F.count(F.lit(1)).alias("_rows")
+    )
+    taken = pin(taken.filter("_copies > 0"), "mix-taken")
+    out = docs.join(taken.filter("_rows = 1").drop("_rows"), "_name")
+    same = taken.filter("_rows > 1")
+    if not same.isEmpty():  # rows equal in id, source and text share their copies
+        place = F.row_number().over(Window.partitionBy("_name").orderBy("lang", "n_chars"))
+        share = F.floor(F.col("_copies") / F.col("_rows")) + (F.col("_place") <= F.col("_copies") % F.col("_rows")).cast("bigint")
+        again = docs.join(same, "_name").withColumn("_place", place).withColumn("_copies", share)
+        out = out.unionByName(again.filter("_copies > 0").select(*out.columns))
+    return out.select(*COLUMNS, F.explode(F.sequence(F.lit(1).cast("bigint"), "_copies")).alias("_copy")).select(*COLUMNS)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

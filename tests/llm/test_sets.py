@@ -385,6 +385,24 @@ def test_pipeline(spark, docs):
     assert set(kept["mix"]) <= set(kept["near_duplicates"]) and kept["pack"] == kept["mix"]
 
 
+def test_pipeline_judges_rows_and_not_ids(spark, docs):
+    text = lambda name, n=40: " ".join(f"{name}{i}" for i in range(n))
+    table = [(3, text("a"), "s"), (5, text("a"), "s"), (5, text("b"), "s"), (7, text("c"), "s"), (7, text("c") + " end", "s")]
+    table += [(None, text("d"), "s"), (None, text("d") + " end", "s"), (8, text("e"), "s"), (8, text("e"), "t"), (9, None, "s"), (9, None, "s")]
+    kept = corpus_pipeline.near_duplicates(spark, docs(table), None).collect()
+    got = sorted((r["doc_id"] or 0, (r["text"] or "")[:1]) for r in kept)
+    assert got == [(0, "d"), (3, "a"), (5, "b"), (7, "c"), (8, "e"), (9, ""), (9, "")]
+
+
+def test_pipeline_mixes_rows_and_not_ids(spark, docs):
+    rng = random.Random(5)
+    table = [(i % 50, f"{rng.randrange(10**6)} b c", "xyz"[i % 3]) for i in range(600)] + [(1, "q r s", "x")] * 5
+    taken = corpus_pipeline.mix(spark, docs(table), None).groupBy("source").count().collect()
+    sizes = {s: sum(x == s for _, _, x in table) for s in "xyz"}
+    goal = water(sizes)
+    assert all(abs(r["count"] - goal[r["source"]]) <= 1 for r in taken) and len(taken) == 3
+
+
 def test_pipeline_over_an_empty_table(spark, docs):
     frame = docs([])
     for _, stage in corpus_pipeline.STAGES:
