@@ -83,6 +83,12 @@ def test_jaccard_takes_null_and_repeated_ids(docs):
     assert jaccard.jaccard_join(docs([])).count() == 0
 
 
+def test_jaccard_links_over_a_set_without_ids(docs):
+    words = [f"w{i}" for i in range(72)]
+    got = jaccard.jaccard_join(docs([(i, " ".join(words[:n]), "s") for i, n in [(1, 60), (None, 66), (2, 72)]]))
+    assert sorted((r[0] or 0, r[2]) for r in got.collect()) == [(0, 1), (1, 1), (2, 1)]
+
+
 def test_shingles_of_odd_words():
     long_word = "x" * 5000
     a, b = shingles.shingle_sets([long_word + "y a b c", "X" * 5000 + "z a b c"], 4)

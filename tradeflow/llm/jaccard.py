@@ -176,7 +176,9 @@ def _sets(docs: DataFrame, words: int) -> DataFrame:
 def shared_sets(docs: DataFrame, found: DataFrame, words: int, percent: int) -> DataFrame:
     """``fp``, ``rep``, ``n`` and ``shared``: the candidates' shingles that other
     candidates have too, for those that have enough of them."""
-    texts = docs.join(found.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    # Null ids too: a set may have no other; rows of other sets go with the join on fp.
+    reps = found.select(F.col("rep").alias("_rep")).distinct()
+    texts = docs.join(reps, F.col("doc_id").eqNullSafe(F.col("_rep")), "left_semi")
     sets = pin(_sets(texts, words).dropDuplicates(["fp"]).join(found, "fp"), "jaccard-sets")
     each = sets.select("fp", "n", "rep", F.explode("shingles").alias("s"))
     often = each.withColumn("_df", F.count(F.lit(1)).over(Window.partitionBy("s"))).filter("_df > 1")
