@@ -16,7 +16,7 @@ from tradeflow.llm.oracles import ORACLES  # noqa: E402
 
 def test_each_operator_has_one_query():
     names = sorted(n for n in driver.queries() if n.startswith("op"))
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in driver.queries()
 
 

@@ -128,3 +128,76 @@ SELECT doc_id, n::BIGINT AS n_bytes, coalesce(gone, 0)::BIGINT AS n_removed, coa
        sha256(unhex(coalesce(rest, h))) AS kept_sha256
 FROM b LEFT JOIN cut USING (i)
 """
+
+_TERMS = r"""regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
+
+ORACLES["op12_lexical"] = f"""
+WITH t AS (
+    SELECT row, doc_id, unnest({_TERMS}) AS term FROM (SELECT *, row_number() OVER () AS row FROM documents)
+), p AS (
+    SELECT row, doc_id, term, count(*)::BIGINT AS tf FROM t GROUP BY row, doc_id, term
+), l AS (
+    SELECT row, sum(tf)::BIGINT AS n FROM p GROUP BY row
+), g AS (
+    SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS terms FROM l
+), f AS (
+    SELECT term, count(*)::BIGINT AS df FROM p GROUP BY term
+), w AS (
+    SELECT item_id, term, floor(1000 * ln((2 * docs + 2) / (2 * df + 1)))::BIGINT AS w
+    FROM (SELECT DISTINCT item_id, unnest({_TERMS}) AS term FROM benchmark) JOIN f USING (term), g
+), s AS (
+    SELECT item_id, row, doc_id,
+           sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // terms))))::BIGINT AS score
+    FROM w JOIN p USING (term) JOIN l USING (row), g GROUP BY item_id, row, doc_id
+)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM (
+    SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0
+) WHERE rank <= 50
+"""
+
+# The table of the 32-bit checksum follows from its polynomial.
+ORACLES["op11_variants"] = r"""
+WITH RECURSIVE tab AS (
+    SELECT list(c ORDER BY b) AS t FROM (
+        SELECT b, list_reduce([b, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x:
+            CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) AS c
+        FROM (SELECT unnest(range(256))::BIGINT AS b))
+), r AS (
+    SELECT doc_id, run, count(*) AS n, hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || run)) AS h FROM (
+        SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+            'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{C0}-\x{FF}]+')) AS run FROM documents
+    ) WHERE length(run) >= 5 GROUP BY doc_id, run
+), c AS (
+    SELECT run, n, xor(list_reduce([4294967295::BIGINT] || list_transform(range(0, length(h) // 2),
+        lambda i: ('0x' || substr(h, 2 * i + 1, 2))::BIGINT),
+        lambda s, b: xor(s // 256, t[(xor(s, b) & 255) + 1])), 4294967295) AS crc
+    FROM r, tab
+), v AS (
+    SELECT word, sum(n)::BIGINT AS n FROM (
+        SELECT CASE WHEN crc % 97 = 0 THEN left(run, (crc % length(run))::INT) || substr(run, (crc % length(run))::INT + 2)
+               ELSE run END AS word, n FROM c
+    ) WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3
+), k AS (
+    SELECT word, left(word, i::INT) || '*' || substr(word, i::INT + 2) AS masked,
+           left(word, i::INT) || substr(word, i::INT + 2) AS shorter
+    FROM v, unnest(range(length(word))) AS u(i)
+), near AS (
+    SELECT a.word AS x, b.word AS y FROM k a JOIN k b ON a.masked = b.masked AND a.word <> b.word
+    UNION SELECT k.word, v.word FROM k JOIN v ON k.shorter = v.word
+    UNION SELECT v.word, k.word FROM k JOIN v ON k.shorter = v.word
+), best AS (
+    SELECT x, y, n AS form_n, count(*) OVER (PARTITION BY x) AS n_near,
+           row_number() OVER (PARTITION BY x ORDER BY n DESC, encode(y)) AS place
+    FROM near JOIN v ON v.word = y
+), f AS (
+    SELECT word, n, coalesce(n_near, 0)::BIGINT AS n_near,
+           CASE WHEN form_n >= 2 * n THEN y END AS form, CASE WHEN form_n >= 2 * n THEN form_n END AS form_n
+    FROM v LEFT JOIN best ON x = word AND place = 1
+), way AS (
+    SELECT word, word AS here FROM f UNION SELECT way.word, f.form FROM way JOIN f ON f.word = way.here WHERE f.form IS NOT NULL
+), ends AS (
+    SELECT way.word, here AS root FROM way JOIN f ON f.word = way.here WHERE f.form IS NULL
+)
+SELECT word, form, root, n, n_near, form_n FROM f JOIN ends USING (word)
+"""

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tradeflow.llm.common import n_words, table
-from tradeflow.llm import jaccard, langid, lines, mixing, packing, quality, quotes, search, suffixes, urls
+from tradeflow.llm import bpe, jaccard, langid, lexical, lines, mixing, packing, quality, quotes, search, suffixes, urls, variants
 from tradeflow.session import configure, pin
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -155,3 +155,24 @@ def op10_urls(spark, sf_dir):
     listed = pages.filter(F.col("html").rlike(JUNK_TITLE)).select("url")
     found = urls.filter_urls(pages.select("page_id", "url"), listed, RULES)
     return found.select("page_id", "host", "path", "rule", "verdict", "listed")
+
+
+@query
+def op11_variants(spark, sf_dir):
+    """Frequent words of all documents with their near words, forms and roots."""
+    return variants.group_variants(documents(spark, sf_dir))
+
+
+@query
+def op12_lexical(spark, sf_dir):
+    """The 50 best documents of every benchmark item."""
+    return lexical.search(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op13_bpe(spark, sf_dir):
+    """Ids of all documents and the texts decoded from them."""
+    found = bpe.encode_decode(documents(spark, sf_dir), public_tokenizers.path(VOCABULARY))
+    n_tokens = (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens")
+    digests = [F.sha2(F.col(c).cast("binary"), 256).alias(f"{c}_sha256") for c in ("ids", "decoded")]
+    return found.select("doc_id", n_tokens, *digests)
