@@ -186,7 +186,8 @@ def test_variants_equal_brute_force(docs, sliced, letters):
     rows += [(None, "aabab-aabab aabab AABAB"), (3, None), (3, ""), (3, "baaba " * 300)]
     rows += [(None, " ".join(["abab" * 300, "abab" * 300 + "a"] * 4))]
     expected = brute_variants(brute_words(rows))
-    assert sum(r[4] > 0 for r in expected) > 5 and any(r[1] and r[2] != r[1] for r in expected)
+    assert sum(r[4] > 0 for r in expected) > 5
+    assert letters != "ab" or any(r[1] and r[2] != r[1] for r in expected)
     assert words_of(variants.group_variants(docs([(i, t, "s") for i, t in rows]))) == expected
 
 

@@ -255,23 +255,29 @@ def sequences(rows: DataFrame, path: str, buckets: int) -> DataFrame:
             flat = np.concatenate(found) if found else np.empty(0, np.int32)
             del found
             block = Block(list(place), np.bincount(flat, minlength=len(place)), buckets)
-            rank = np.empty(len(place), np.int64)
+            rank = np.empty(len(place), np.int32)
             rank[block.order] = np.arange(len(place))
-            data, size = varints(rank[flat])
-            ends = np.concatenate([[0], np.cumsum(size)])[np.cumsum([0, *lengths])].tolist()
-            at = 0
             names = ["block", "mark", "bucket", "doc_id", "data", "sizes"]
+            at = low = 0
             for s in slices:
-                n = s.num_rows
-                cut = [data[a:b].tobytes() for a, b in zip(ends[at : at + n], ends[at + 1 : at + n + 1])]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.repeat(number, n), pa.repeat(block.mark, n), pa.repeat(pa.scalar(TEXTS, pa.int32()), n),
-                        s.column(0), pa.array(cut, pa.binary()), pa.nulls(n, pa.list_(pa.int32())),
-                    ],
-                    names,
-                )
-                at += n
+                # Texts of about a million words at a time.
+                own = lengths[at : at + s.num_rows]
+                groups = np.cumsum(own) // 1_000_000
+                for rows_of in np.split(np.arange(len(own)), np.flatnonzero(np.diff(groups)) + 1):
+                    part, n = s.slice(int(rows_of[0]), len(rows_of)), len(rows_of)
+                    words_in = np.cumsum([0, *own[rows_of[0] : rows_of[0] + n]])
+                    data, size = varints(rank[flat[low : low + words_in[-1]]])
+                    ends = np.concatenate([[0], np.cumsum(size)])[words_in].tolist()
+                    low += int(words_in[-1])
+                    cut = [data[a:b].tobytes() for a, b in zip(ends, ends[1:])]
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.repeat(number, n), pa.repeat(block.mark, n), pa.repeat(pa.scalar(TEXTS, pa.int32()), n),
+                            part.column(0), pa.array(cut, pa.binary()), pa.nulls(n, pa.list_(pa.int32())),
+                        ],
+                        names,
+                    )
+                at += s.num_rows
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([number]), pa.array([block.mark]), pa.array([BUCKETS], pa.int32()),
@@ -284,24 +290,38 @@ def sequences(rows: DataFrame, path: str, buckets: int) -> DataFrame:
     return rows.mapInArrow(run, f"block bigint, mark bigint, bucket int, doc_id {kind}, data binary, sizes array<int>")
 
 
-def _by_number(buckets: np.ndarray, found: dict[int, tuple[np.ndarray, np.ndarray]]) -> list[np.ndarray]:
-    """The ids of each word of a block, by its number."""
-    out: list = [None] * len(buckets)
-    by = np.argsort(buckets, kind="stable")
-    for at in np.split(by, np.flatnonzero(np.diff(buckets[by])) + 1) if len(by) else []:
-        bucket = int(buckets[at[0]])
-        if bucket not in found or len(found[bucket][1]) != len(at):
-            raise ValueError("the texts changed between two reads; write them to a table first")
-        ids, sizes = found[bucket]
-        for i, own in zip(at.tolist(), np.split(ids, np.cumsum(sizes)[:-1])):
-            out[i] = own
-    return out
+class Found:
+    """The ids and the bytes of each word of a block, by its number."""
+
+    def __init__(self, buckets: np.ndarray, ids: dict[int, tuple[np.ndarray, np.ndarray]], piece: dict[int, bytes]):
+        self.ids: list = [b""] * len(buckets)
+        self.bytes: list = [b""] * len(buckets)
+        by = np.argsort(buckets, kind="stable")
+        for at in np.split(by, np.flatnonzero(np.diff(buckets[by])) + 1) if len(by) else []:
+            bucket = int(buckets[at[0]])
+            if bucket not in ids or len(ids[bucket][1]) != len(at):
+                raise ValueError("the texts changed between two reads; write them to a table first")
+            flat, sizes = ids[bucket]
+            raw, pieces = flat.astype("<u4").tobytes(), list(map(piece.__getitem__, flat.tolist()))
+            ends = np.cumsum(sizes).tolist()
+            for i, a, b in zip(at.tolist(), [0, *ends], ends):
+                self.ids[i] = raw[4 * a : 4 * b]
+                self.bytes[i] = pieces[a] if b - a == 1 else b"".join(pieces[a:b])
+
+
+def _text(raw: bytes) -> bytes:
+    """As it is, or with U+FFFD for what is no UTF-8."""
+    try:
+        raw.decode()
+        return raw
+    except UnicodeDecodeError:
+        return raw.decode("utf-8", "replace").encode()
 
 
 def placed(table: pa.Table) -> pa.Table:
     """``doc_id``, ``ids`` and ``decoded`` of the texts of one block."""
     kinds = table.column("bucket").combine_chunks().to_numpy()
-    found, piece, buckets = {}, {}, np.empty(0, np.int32)
+    ids, piece, buckets = {}, {}, np.empty(0, np.int32)
     for i in np.flatnonzero(kinds != TEXTS).tolist():
         row = {c: table.column(c)[i] for c in ("ids", "sizes", "pieces")}
         lists = {c: np.asarray(row[c].values.to_numpy()) for c in ("ids", "sizes") if row[c].is_valid}
@@ -310,18 +330,24 @@ def placed(table: pa.Table) -> pa.Table:
         elif kinds[i] == BUCKETS:
             buckets = lists["sizes"]
         else:
-            found[int(kinds[i])] = (lists["ids"], lists["sizes"])
-    ids = _by_number(buckets, found)
-    decoded = [b"".join(map(piece.__getitem__, own.tolist())) for own in ids]
-    ids = [own.astype("<u4").tobytes() for own in ids]
-    texts = table.filter(pa.array(kinds == TEXTS))
-    out: tuple[list, list] = ([], [])
-    for data in texts.column("data"):
-        numbers = numbers_of(data.as_py()).tolist()
-        out[0].append(b"".join(map(ids.__getitem__, numbers)))
-        out[1].append(b"".join(map(decoded.__getitem__, numbers)).decode("utf-8", "replace"))
-    columns = [texts.column("doc_id").combine_chunks(), pa.array(out[0], pa.binary()), pa.array(out[1], pa.string())]
-    return pa.Table.from_arrays(columns, ["doc_id", "ids", "decoded"])
+            ids[int(kinds[i])] = (lists["ids"], lists["sizes"])
+    found = Found(buckets, ids, piece)
+    texts = table.filter(pa.array(kinds == TEXTS)).select(["doc_id", "data"])
+    kind = [("doc_id", texts.schema.field(0).type), ("ids", pa.binary()), ("decoded", pa.string())]
+    out = []
+    for batch in texts.to_batches(max_chunksize=500):
+        data = batch.column("data").to_pylist()
+        numbers = numbers_of(b"".join(data)).tolist()
+        raw = np.concatenate([np.frombuffer(d, np.uint8) for d in data])
+        ends = np.cumsum(raw < 128)
+        ends = [0, *np.concatenate([[0], ends])[np.cumsum([len(d) for d in data])].tolist()]
+        own = [numbers[a:b] for a, b in zip(ends, ends[1:])]
+        columns = [
+            pa.array([b"".join(map(found.ids.__getitem__, n)) for n in own], pa.binary()),
+            pa.array([_text(b"".join(map(found.bytes.__getitem__, n))) for n in own], pa.binary()).cast(pa.string()),
+        ]
+        out.append(pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], schema=pa.schema(kind)))
+    return pa.Table.from_batches(out, pa.schema(kind))
 
 
 def encode_decode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
@@ -340,8 +366,9 @@ def encode_decode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     rows = docs.select("doc_id", F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"))
     found = pin(encoded_words(asked_words(rows, path, buckets), path, buckets), "bpe-words")
     pieces = pin(vocabulary(spark, path), "bpe-vocabulary")  # so that its size is known to the join
-    used = found.select("block", "mark", F.explode(F.array_distinct("ids")).alias("id")).distinct()
-    # At most the vocabulary for each block.
+    # Of each block as many as it has words at most, and as the vocabulary has ids.
+    used = found.groupBy("block", "mark").agg(F.flatten(F.collect_list(F.array_distinct("ids"))).alias("_ids"))
+    used = used.select("block", "mark", F.explode(F.array_distinct("_ids")).alias("id"))
     used = used.join(pieces, "id").groupBy("block", "mark").agg(F.collect_list(F.struct("id", "piece")).alias("_all"))
     used = used.select(
         "block", "mark", F.lit(BUCKETS).alias("bucket"), F.col("_all.id").alias("ids"), F.col("_all.piece").alias("pieces")
