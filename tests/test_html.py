@@ -2,7 +2,7 @@ import os
 import subprocess
 import sys
 
-from conftest import rows
+from helpers import rows
 from pyspark import cloudpickle
 
 from tradeflow.sources import html
@@ -111,3 +111,25 @@ def test_a_very_wide_span(spark):
     page = f"<table><tr><th>A</th><th>B</th></tr><tr><td colspan={10**30}>x</td></tr></table>"
     out = html_table(spark.createDataFrame([(1, page)], "id int, html string"), "html", "id")
     assert out.first()["cells"] == {"A": "x", "B": "x"}
+
+
+def test_spans_of_any_width_keep_the_columns_in_place(spark):
+    for width in (10_000, 10_001, 20_000):
+        page = f"<table><tr><th>A</th></tr><tr><td colspan={width}>x</td><td>y</td></tr></table>"
+        (cells,) = read(spark, page)
+        assert len(cells) == width + 1 and cells["A"] == "x" and cells[str(width - 1)] == "x"
+        assert cells[str(width)] == "y"
+    page = f"<table><tr><td colspan={10**9} rowspan=2>x</td><td>y</td></tr><tr><td>z</td></tr></table>"
+    assert read(spark, page) == [{"0": "x", str(10**9): "y"}, {"0": "x", str(10**9): "z"}]
+
+
+def test_spans_that_cross(spark):
+    page = (
+        "<table><tr><th>a</th><th>b</th><th>c</th><th>d</th></tr>"
+        "<tr><td>1</td><td rowspan=3>2</td><td rowspan=2>3</td><td>4</td></tr>"
+        "<tr><td>5</td><td>6</td></tr><tr><td colspan=3>7</td><td>8</td></tr><tr><td>9</td></tr></table>"
+    )
+    assert read(spark, page) == [
+        {"a": "1", "b": "2", "c": "3", "d": "4"}, {"a": "5", "b": "2", "c": "3", "d": "6"},
+        {"a": "7", "b": "7", "c": "7", "d": "8"}, {"a": "9"},
+    ]

@@ -1,4 +1,4 @@
-from conftest import rows
+from helpers import rows
 
 from tradeflow.__main__ import main
 from tradeflow.sources.store import TradeStore
@@ -12,13 +12,24 @@ def test_hot_and_move(spark, tmp_path, capsys):
         '{"p":2.5,"s":"A","t":99999999999999,"v":20}],"type":"trade"}'
     )
     main(
-        ["hot", "--messages", str(folder), "--store", store, "--multi-line", "--once"]
+        ["hot", "--messages", str(folder), "--store", store, "--once"]
         + ["--checkpoint", str(tmp_path / "checkpoint"), "--max-bytes", "1000000"]
     )
     assert TradeStore(spark, store).read_hot().count() == 2
     main(["move", "--store", store])
     assert "'moved': 1, 'left': 1" in capsys.readouterr().out
     assert rows(TradeStore(spark, store).read_cold(), "volume") == [(10,)]
+    main(["compact", "--store", store])
+    assert "'days': 0" in capsys.readouterr().out
+
+
+def test_hot_reads_messages_a_line_each(spark, tmp_path):
+    folder, store = tmp_path / "in", str(tmp_path / "store")
+    folder.mkdir()
+    line = '{"data":[{"p":1.5,"s":"A","t":%d,"v":10}],"type":"trade"}\n'
+    (folder / "landed").write_text(line % 1 + line % 2)
+    main(["hot", "--messages", str(folder), "--store", store, "--lines", "--once", "--checkpoint", str(tmp_path / "c")])
+    assert TradeStore(spark, store).read_hot().count() == 2
 
 
 def page(position, header, *lines):

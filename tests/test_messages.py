@@ -2,7 +2,7 @@ import os
 from decimal import Decimal as D
 
 import pytest
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 
 from tradeflow.operators import messages as msg
@@ -171,7 +171,7 @@ def test_roundtrip_keeps_nulls(spark, tmp_path):
 
 
 def test_text_is_parsed_once(spark, sf_dir):
-    from conftest import plan
+    from helpers import plan
 
     texts = msg.encode(msg.pack_messages(trades(spark, sf_dir)))
     assert plan(msg.flatten(msg.parse(texts))).count("from_json") == 1

@@ -32,3 +32,16 @@ def test_a_cluster_needs_a_shared_folder(master, allowed):
     else:
         with pytest.raises(ValueError):
             session.shared_folder(Session())
+
+
+def test_tables_made_meanwhile_can_be_dropped(spark):
+    kept = session.pin(spark.range(2), "kept")
+    with session.noted() as made:
+        session.pin(spark.range(3), "gone")
+        with session.noted() as inner:
+            session.pin(spark.range(4), "inner")
+    after = session.pin(spark.range(5), "after")
+    assert [len(made), len(inner)] == [1, 1] and "gone" in made[0]
+    session.drop_tables(spark, made + inner)
+    assert not os.path.exists(made[0]) and not os.path.exists(inner[0])
+    assert (kept.count(), after.count()) == (2, 5)

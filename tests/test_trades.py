@@ -3,7 +3,7 @@ import random
 from decimal import Decimal as D
 
 import pytest
-from conftest import plan, rows
+from helpers import plan, rows
 from pyspark.sql import functions as F
 
 from tradeflow.functions import time as ft

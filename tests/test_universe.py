@@ -1,4 +1,4 @@
-from conftest import plan, rows
+from helpers import plan, rows
 
 from tradeflow.operators import universe as uni
 from tradeflow.schemas import STOCKS

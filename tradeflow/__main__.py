@@ -1,7 +1,8 @@
 """Jobs for ``spark-submit`` or ``python -m tradeflow``.
 
-    hot       --messages DIR --store DIR --checkpoint DIR [--multi-line] [--once]
+    hot       --messages DIR --store DIR --checkpoint DIR [--lines] [--once]
     move      --store DIR [--checkpoint DIR --every S] [--delay S]
+    compact   --store DIR [--before MS]
     universe  --pages DIR --out DIR
     train     --trades CSV --model DIR
     predict   --model DIR --volume N [--volume N ..]
@@ -31,7 +32,7 @@ from tradeflow.streaming.flows import start_hot_trades, start_moves
 
 def hot(spark: SparkSession, args: argparse.Namespace) -> None:
     messages = stream_messages(
-        spark, args.messages, multi_line=args.multi_line, max_bytes=args.max_bytes
+        spark, args.messages, multi_line=not args.lines, max_bytes=args.max_bytes
     )
     trigger = {"availableNow": True} if args.once else {}
     start_hot_trades(messages, args.store, args.checkpoint, **trigger).awaitTermination()
@@ -45,6 +46,11 @@ def move(spark: SparkSession, args: argparse.Namespace) -> None:
         print(TradeStore(spark, args.store).move(cutoff))
 
 
+def compact(spark: SparkSession, args: argparse.Namespace) -> None:
+    before = round(time.time() * 1000) if args.before is None else args.before
+    print(TradeStore(spark, args.store).compact(before))
+
+
 def universe(spark: SparkSession, args: argparse.Namespace) -> None:
     overwrite_parquet(universe_from_pages(read_pages(spark, args.pages)), args.out)
 
@@ -71,13 +77,16 @@ def parse(argv: list[str] | None) -> argparse.Namespace:
         return sub
 
     one = job(hot, "messages", "store", "checkpoint")
-    one.add_argument("--multi-line", action="store_true")
+    one.add_argument(
+        "--lines", action="store_true", help="files hold one message a line, not one message"
+    )
     one.add_argument("--once", action="store_true")
     one.add_argument("--max-bytes", type=int, help="bound of one micro-batch")
     one = job(move, "store")
     one.add_argument("--checkpoint")
     one.add_argument("--every", type=float, default=MOVE_SECONDS)
     one.add_argument("--delay", type=int, default=MOVE_SECONDS)
+    job(compact, "store").add_argument("--before", type=int, help="epoch ms")
     job(universe, "pages", "out")
     job(train, "trades", "model")
     job(predict, "model").add_argument("--volume", type=int, action="append", required=True)

@@ -19,3 +19,4 @@ MOVE_SECONDS = 60
 REFRESH_SECONDS = 5
 # How long a read of the hot table may take.
 RETENTION_SECONDS = 3600
+DAY_MS = 86_400_000

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import Column, functions as F
 from pyspark.sql import types as T
 
-from tradeflow.constants import MOVE_SECONDS
+from tradeflow.constants import DAY_MS, MOVE_SECONDS
 
 _EPOCH_NTZ = "timestamp_ntz'1970-01-01 00:00:00'"
 
@@ -44,6 +46,11 @@ def cutoff_ms(now: int, delay_s: int = MOVE_SECONDS) -> int:
     return now - 1000 * delay_s
 
 
+def day_of(ms: int) -> str:
+    """The UTC day of an epoch ms, as ``yyyy-mm-dd``."""
+    return (datetime.date(1970, 1, 1) + datetime.timedelta(days=ms // DAY_MS)).isoformat()
+
+
 def bound(ms: int, dtype: T.DataType) -> Column:
     """Epoch ms as a constant of the given time column's own type.
 

@@ -8,11 +8,19 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 
 def arrival(at: Column, no: Column, pos: Column) -> Column:
-    """Order of arrival as one number: landing ms, number of the message, place in
-    it. A decimal has a fixed width, so an aggregate over it stays hash based."""
-    number = F.lit(Decimal(10**25)) * at.cast("decimal(13,0)")
-    number = number.cast("decimal(38,0)") + (F.lit(Decimal(10**6)) * no.cast("decimal(19,0)")).cast("decimal(38,0)")
-    return (number.cast("decimal(38,0)") + pos.cast("decimal(6,0)")).cast("decimal(38,0)")
+    """Order of arrival as one number: landing ms, number of the message, place in it.
+
+    A decimal has a fixed width, so an aggregate over it stays hash based. Its 38 digits
+    are 13 for the time, 16 for the number, which is one of a million tasks of a landing
+    above and a row of the task below (33 bits), and 9 for the place: a message is one
+    text, and a text of the greatest size has fewer ticks.
+    """
+    row = no.bitwiseAND(F.lit((1 << 33) - 1)).cast("decimal(10,0)")
+    task = F.shiftrightunsigned(no, 33).cast("decimal(6,0)")
+    number = (at.cast("decimal(13,0)") * F.lit(Decimal(10**6))).cast("decimal(19,0)") + task
+    number = (number.cast("decimal(19,0)") * F.lit(Decimal(10**10))).cast("decimal(29,0)") + row
+    number = (number.cast("decimal(29,0)") * F.lit(Decimal(10**9))).cast("decimal(38,0)")
+    return (number + pos.cast("decimal(9,0)")).cast("decimal(38,0)")
 
 
 def latest_per_key(

@@ -45,6 +45,21 @@ def _archived(test: str) -> str:
     )
 
 
+# A part's trades are archived once for each key; a key comes again from a later part
+# only if the earlier one was archived before, and else the later part wins.
+def _stepwise(test: str) -> str:
+    return f"""WITH {_TRADES}, parts AS (
+        SELECT *, coalesce(volume % 4, 0) AS part FROM trades WHERE symbol IS NOT NULL AND ts IS NOT NULL
+        QUALIFY row_number() OVER (PARTITION BY symbol, ts, coalesce(volume % 4, 0)
+          ORDER BY price DESC NULLS LAST, volume DESC NULLS LAST) = 1),
+    timed AS (
+        SELECT *, greatest(part, CASE WHEN ts < 1705276800000 - 2 * 86400000 THEN 0
+          WHEN ts < 1705276800000 - 86400000 THEN 1 WHEN ts < 1705276800000 THEN 2 END) AS move FROM parts
+        WHERE ts < 1705276800000)
+    SELECT symbol, {_TIME} AS ts, price, volume FROM timed WHERE {test}
+    QUALIFY row_number() OVER (PARTITION BY symbol, ts, move ORDER BY part DESC) = 1"""
+
+
 def _picked(index: str) -> str:
     return _stocks(
         'SELECT DISTINCT "Symbol", "Security", "Symbol" || \'(\' || "Security" || \')\' AS label '
@@ -88,7 +103,7 @@ ORACLES: dict[str, str] = {
         (epoch_us(ts) + 500) // 1000 AS ms_rounded,
         make_timestamp((epoch_us(ts) // 1000) * 1000) AS ts_ms FROM events""",
     # The late row of a key, else its early row, whose price is one too high.
-    **dict.fromkeys(["stream_hot_upsert", "stream_hot_arrival"], f"""WITH {_TRADES}, keyed AS (
+    **dict.fromkeys(["stream_hot_upsert", "stream_hot_arrival", "stream_live"], f"""WITH {_TRADES}, keyed AS (
         SELECT *, volume IS NOT NULL AND volume >= 50 AS late FROM trades
         WHERE symbol IS NOT NULL AND ts IS NOT NULL
         QUALIFY row_number() OVER (PARTITION BY symbol, ts
@@ -105,6 +120,8 @@ ORACLES: dict[str, str] = {
         QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id DESC) = 1""",
     "archive_cold": _archived("<"),
     "archive_hot_left": _archived(">="),
+    **dict.fromkeys(["archive_compacted", "archive_recompacted"], _stepwise("ts < 1705276800000")),
+    "archive_table": _stepwise("ts >= 1704412800000 AND ts < 1705276800000"),
     "hot_symbols": _trades("SELECT DISTINCT symbol FROM trades"),
     "universe_union": _UNIVERSE,
     "universe_reload": _UNIVERSE,
@@ -133,6 +150,15 @@ ORACLES: dict[str, str] = {
         SELECT symbol AS id, CAST(price AS DOUBLE) AS value, {_TIME} AS time FROM keyed
         WHERE symbol IN ('U7', 'U8') AND ts > 1705276800000 - 10 * 86400000
         AND ts < 1705276800000 - 5 * 86400000""",
+    "editor_days": f"""WITH {_TRADES}, {_KEYED}
+        SELECT symbol, round(round(sum(price)::DOUBLE / count(price), 11), 6) AS mean,
+               date_trunc('day', {_TIME}) AS day, max(price) AS high, min(price) AS low,
+               sum(volume)::BIGINT AS volume, count(*) AS trades
+        FROM keyed WHERE ts > 1705276800000 - 5 * 86400000 AND ts < 1705276800007 AND volume >= 20
+        GROUP BY symbol, date_trunc('day', {_TIME})""",
+    "editor_series": """SELECT event_type AS id, count(*)::DOUBLE AS value, max(ts) AS time FROM events
+        WHERE ts > make_timestamp(1705276800000000) AND ts < make_timestamp(1706000000000000)
+        AND user_id IN (7, 8, 9) GROUP BY event_type""",
     "trades_enriched": f"""WITH {_TRADES}, {_STOCKS}, facts AS (
         SELECT "Symbol" AS symbol, min("Security") AS security, min("Sector") AS sector,
                string_agg(DISTINCT "Index", ',' ORDER BY "Index") AS indexes
@@ -174,3 +200,5 @@ ORACLES: dict[str, str] = {
     ),
     "csv_training_scan": _trades("SELECT volume, CAST(price AS DOUBLE) AS price FROM trades"),
 }
+ORACLES["stream_enriched"] = ORACLES["trades_enriched"]
+ORACLES["stream_lag1"] = ORACLES["forecast_lag1"]

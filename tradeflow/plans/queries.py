@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tradeflow.constants import SUBSCRIPTION_LIMIT
+from tradeflow.constants import DAY_MS, SUBSCRIPTION_LIMIT
 from tradeflow.functions.time import (
     cutoff_ms,
     epoch_ms_to_ntz,
@@ -16,7 +16,7 @@ from tradeflow.functions.time import (
     ntz_to_epoch_ms_rounded,
     timestamp_to_ntz,
 )
-from tradeflow.operators import forecast, messages as msg, trades as tr, universe as uni
+from tradeflow.operators import editor, forecast, messages as msg, trades as tr, universe as uni
 from tradeflow.operators.latest import latest_per_key
 from tradeflow.plans.tables import (
     customer_pages,
@@ -26,15 +26,23 @@ from tradeflow.plans.tables import (
     timed_trades,
     trades,
 )
-from tradeflow.session import configure, work_folder
+from tradeflow.session import configure, pin, work_folder
 from tradeflow.sources import messages as folders, tables
 from tradeflow.sources.html import cell_columns, html_table
 from tradeflow.sources.store import TradeStore
-from tradeflow.streaming.flows import start_flat_trades, start_hot_trades, start_refresh
+from tradeflow.streaming.flows import (
+    enrich_sink,
+    lag_sink,
+    start_flat_trades,
+    start_hot_trades,
+    start_live_trades,
+    start_refresh,
+    start_sink,
+    write_epoch,
+)
 
 CUTOFF_MS = 1705276800000  # 2024-01-15 00:00 UTC
 SERIES_END_MS = 1706000000000
-DAY_MS = 86_400_000
 REQUESTS = (10, 1200, -5)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -184,6 +192,51 @@ def stream_hot_arrival(spark, sf_dir):
     return _zone_less(TradeStore(spark, f"{folder}/store").read_hot())
 
 
+def _landed(spark: SparkSession, folder: str, parts: list[DataFrame], start) -> None:
+    """Lands the parts one after the other, each followed by a run of the stream that
+    ``start`` makes, from the same checkpoint."""
+    for part in parts:
+        folders.land_messages(msg.pack_messages(part), f"{folder}/in")
+        start(folders.stream_messages(spark, f"{folder}/in", False, clean_source="off")).awaitTermination()
+
+
+@query
+def stream_live(spark, sf_dir):
+    """The hot table put together from the changes that keyed state hands to a chart:
+    first every trade at a price that is one too high, then corrections."""
+    folder, exact = work_folder(spark, "stream-live"), trades(spark, sf_dir)
+    parts = [exact.withColumn("price", F.col("price") + 1), exact.filter(F.col("volume") >= 50)]
+    show = lambda batch, epoch: write_epoch(batch, f"{folder}/changes", epoch)
+    _landed(spark, folder, parts, lambda m: start_live_trades(m, show, f"{folder}/checkpoint", availableNow=True))
+    changes = spark.read.parquet(f"{folder}/changes")
+    return _zone_less(latest_per_key(changes, ["symbol", "ts"], ["epoch"], ["price", "volume"]))
+
+
+@query
+def stream_enriched(spark, sf_dir):
+    """Trades with the facts on their stock, joined batch by batch."""
+    folder, rows = work_folder(spark, "stream-enriched"), trades(spark, sf_dir)
+    late = F.coalesce(F.col("volume") >= 50, F.lit(False))
+    tables.overwrite_parquet(stocks(spark, sf_dir), f"{folder}/stocks")
+    sink = enrich_sink(f"{folder}/out", lambda session: session.read.parquet(f"{folder}/stocks"))
+    start = lambda m: start_sink(m, sink, f"{folder}/checkpoint", availableNow=True)
+    _landed(spark, folder, [rows.filter(~late), rows.filter(late)], start)
+    return spark.read.parquet(f"{folder}/out").drop("epoch")
+
+
+@query
+def stream_lag1(spark, sf_dir):
+    """Trades with the previous price of the symbol, over three batches in the order
+    of time, with the last trade of each symbol as state."""
+    folder, rows = work_folder(spark, "stream-lag"), trades(spark, sf_dir)
+    cuts = [CUTOFF_MS - 7 * DAY_MS, CUTOFF_MS]
+    number = sum((F.coalesce(F.col("ts") >= c, F.lit(False)).cast("int") for c in cuts), F.lit(0))
+    sink = lag_sink(folder)
+    start = lambda m: start_sink(m, sink, f"{folder}/checkpoint", availableNow=True)
+    _landed(spark, folder, [rows.filter(number == i) for i in range(3)], start)
+    return spark.read.parquet(f"{folder}/priced").drop("epoch")
+
+
 # Hot and cold trades
 
 
@@ -231,6 +284,53 @@ def archive_hot_left(spark, sf_dir):
     return _zone_less(_moved(spark, sf_dir).read_hot())
 
 
+def _moved_in_steps(spark: SparkSession, sf_dir: str) -> TradeStore:
+    """Three appends by the remainder of the volume, each followed by a move to a later
+    cutoff, so most days lie in three pieces; then the days before the last cutoff but
+    one are compacted, and one more append comes with late trades for them."""
+    store, rows = TradeStore(spark, work_folder(spark, "archive")), timed_trades(spark, sf_dir)
+    rest = F.coalesce(F.pmod("volume", F.lit(4)), F.lit(0))
+    for part in range(3):
+        store.append(rows.filter(rest == part))
+        store.move(CUTOFF_MS - (2 - part) * DAY_MS)
+    store.compact(CUTOFF_MS - DAY_MS)
+    store.append(rows.filter(rest == 3))
+    store.move(CUTOFF_MS)
+    return store
+
+
+@query
+def archive_compacted(spark, sf_dir):
+    """Archived trades after moves, a compaction of closed days, and late trades."""
+    return _zone_less(_moved_in_steps(spark, sf_dir).read_cold()).drop("run")
+
+
+@query
+def archive_recompacted(spark, sf_dir):
+    """The same after another compaction and a vacuum of what was replaced."""
+    store = _moved_in_steps(spark, sf_dir)
+    store.compact(CUTOFF_MS)
+    store.vacuum()
+    return _zone_less(store.read_cold()).drop("run")
+
+
+@query
+def archive_table(spark, sf_dir):
+    """Ten days of the external table over the archive, by its partitions."""
+    store = _moved_in_steps(spark, sf_dir)
+    name = "archive_" + store.root[-32:]
+    tables.sync_archive_table(spark, name, store)
+    store.compact(CUTOFF_MS)
+    tables.sync_archive_table(spark, name, store)
+    rows = spark.sql(
+        f"SELECT symbol, ts, price, volume FROM {name} WHERE day >= :first AND day < :last",
+        args={"first": "2024-01-05", "last": "2024-01-15"},
+    )
+    rows = pin(rows, "archive-rows")  # the catalog is asked for partitions when they are read
+    tables.drop_table(spark, name)
+    return _zone_less(rows)
+
+
 @query
 def hot_symbols(spark, sf_dir):
     return tr.symbols(trades(spark, sf_dir))
@@ -350,6 +450,36 @@ def series_archive(spark, sf_dir):
     return rows.withColumn("time", timestamp_to_ntz(F.col("time")))
 
 
+EDITOR = """
+SELECT symbol, CAST(sum(price) AS DOUBLE) / count(price) AS mean, date_trunc('DAY', ts) AS day,
+       max(price) AS high, min(price) AS low, sum(volume) AS volume, count(*) AS trades
+FROM trades
+WHERE ts > $__timeFrom AND ts < $__timeTo AND volume >= :least -- not '$__timeTo
+GROUP BY symbol, date_trunc('DAY', ts)
+"""
+
+
+@query
+def editor_days(spark, sf_dir):
+    """A dashboard's own SQL over the hot table: figures of each symbol and day."""
+    store = TradeStore(spark, work_folder(spark, "editor"))
+    store.append(timed_trades(spark, sf_dir))
+    bounds = (CUTOFF_MS - 5 * DAY_MS, CUTOFF_MS + 7)
+    rows = editor.run_sql(spark, EDITOR, {"trades": store.read_hot()}, *bounds, {"least": 20})
+    mean = F.round(F.round("mean", 11), 6).alias("mean")
+    return rows.select("symbol", mean, timestamp_to_ntz(F.col("day")).alias("day"), "high", "low", "volume", "trades")
+
+
+@query
+def editor_series(spark, sf_dir):
+    """Chart points of an editor's query, from events with a time without zone."""
+    text = """SELECT event_type, count(*), max(ts), min(user_id) FROM events
+        WHERE ts > $__timeFrom AND ts < $__timeTo AND user_id IN (7, 8, :other) GROUP BY event_type"""
+    given = {"events": table(spark, sf_dir, "events")}
+    rows = editor.run_sql(spark, text, given, CUTOFF_MS, SERIES_END_MS, {"other": 9}, "timestamp_ntz")
+    return editor.chart_points(rows)
+
+
 @query
 def trades_enriched(spark, sf_dir):
     """Trades with security, sector and indexes of their stock."""

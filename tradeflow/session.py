@@ -5,6 +5,9 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,6 +51,20 @@ def work_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/tradeflow/{name}-{uuid.uuid4().hex}"
 
 
+_made: ContextVar[list[str] | None] = ContextVar("made", default=None)
+
+
+@contextmanager
+def noted() -> Iterator[list[str]]:
+    """Lists the tables that ``pin`` makes meanwhile, to be dropped once what was made
+    from them is stored."""
+    token = _made.set([])
+    try:
+        yield _made.get()
+    finally:
+        _made.reset(token)
+
+
 def pin(df: DataFrame, name: str) -> DataFrame:
     """The rows as a Parquet table in the shared folder.
 
@@ -55,12 +72,20 @@ def pin(df: DataFrame, name: str) -> DataFrame:
     table outlives any executor, and later reads take only the columns they use.
     """
     path = work_folder(df.sparkSession, name)
+    if _made.get() is not None:
+        _made.get().append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drop_tables(spark: SparkSession, folders: list[str]) -> None:
+    """Deletes work folders, once the results that were made from them are stored."""
+    for folder in folders:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def drop_work(spark: SparkSession) -> None:
     """Deletes all work folders and pinned tables below the shared folder, once the
     results that were made from them have been read."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/tradeflow")
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    drop_tables(spark, [f"{shared_folder(spark)}/tradeflow"])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import bisect
 import sys
 from collections.abc import Iterator
 from html.parser import HTMLParser
@@ -16,7 +17,9 @@ from pyspark.sql import types as T
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 _CHUNK = 5000
-_WIDE = 10_000
+_REPEATS = 1_000_000  # columns that a cell may be repeated in
+
+_Run = tuple[int, int, str, int]  # from, to, text, rows that it still goes on
 
 
 class _Table:
@@ -103,27 +106,45 @@ class _TableReader(HTMLParser):
                 cell[0].parts.append(data)
 
 
-def _grid(rows: list[_Row]) -> Iterator[list[str]]:
-    """Row texts with cells that span rows or columns repeated. A span of very many
-    columns ends with the widest row of the others: no header names what is beyond."""
-    widths = [sum(c.cols if c.cols <= _WIDE else 1 for c in r.cells) for r in rows]
-    widest = max(widths, default=0)
-    pending: dict[int, tuple[str, int]] = {}
+def _put(runs: list[_Run], new: _Run) -> None:
+    """Adds a run to ordered ones that do not overlap; it replaces what it covers."""
+    start, end = new[:2]
+    low = bisect.bisect_right(runs, start, key=lambda r: r[1])
+    high = bisect.bisect_left(runs, end, key=lambda r: r[0])
+    cut = []
+    for a, b, text, rows in runs[low:high]:
+        cut += [(a, start, text, rows)] if a < start else []
+        cut += [(end, b, text, rows)] if b > end else []
+    runs[low:high] = sorted([*cut, new])
+
+
+def _grid(rows: list[_Row]) -> Iterator[list[_Run]]:
+    """Row texts as runs of columns: a cell that spans columns is one run, whatever
+    its width, and one that spans rows goes on in the rows below."""
+    carried: list[_Run] = []
     for row in rows:
-        texts: dict[int, str] = {}
-        at = 0
-        carried = {c: (t, n - 1) for c, (t, n) in pending.items() if n > 1}
-        texts.update({c: t for c, (t, _) in pending.items()})
+        runs, at = list(carried), 0
+        carried = [(a, b, text, n - 1) for a, b, text, n in carried if n > 1]
         for cell in row.cells:
-            while at in texts:
-                at += 1
-            for _ in range(cell.cols if cell.cols <= _WIDE else max(1, widest - at)):
-                texts[at] = cell.text()
-                if cell.rows > 1:
-                    carried[at] = (texts[at], cell.rows - 1)
-                at += 1
-        pending = carried
-        yield [texts.get(c, "") for c in range(max(texts, default=-1) + 1)]
+            k = bisect.bisect_right(runs, at, key=lambda r: r[1])
+            while k < len(runs) and runs[k][0] <= at:
+                at, k = runs[k][1], k + 1
+            end, text = at + cell.cols, cell.text()
+            _put(runs, (at, end, text, 0))
+            if cell.rows > 1:
+                _put(carried, (at, end, text, cell.rows - 1))
+            at = end
+        yield runs
+
+
+def _columns(runs: list[_Run], named: dict[int, str]) -> Iterator[tuple[int, str]]:
+    """Column and text of the runs; one of great width counts for its first column and
+    for those that a header names."""
+    for start, end, text, _ in runs:
+        if end - start <= _REPEATS:
+            yield from ((c, text) for c in range(start, end))
+        else:
+            yield from ((c, text) for c in sorted({start, *(c for c in named if start < c < end)}))
 
 
 def _header_length(rows: list[_Row]) -> int:
@@ -136,14 +157,17 @@ def _header_length(rows: list[_Row]) -> int:
     return n
 
 
-def _names(header: list[str]) -> list[str]:
-    """Header texts, made distinct by a running number."""
+def _names(header: list[_Run]) -> dict[int, str]:
+    """Header texts by column, made distinct by a running number."""
     seen: dict[str, int] = {}
-    names = []
-    for text in header:
-        n = seen.get(text, 0)
-        seen[text] = n + 1
-        names.append(f"{text}.{n}" if n else text)
+    names, at = {}, 0
+    for start, end, text, _ in header:
+        texts = [(c, "") for c in range(at, min(start, at + _REPEATS))]
+        for c, t in [*texts, *_columns([(start, end, text, 0)], {})]:
+            n = seen.get(t, 0)
+            seen[t] = n + 1
+            names[c] = f"{t}.{n}" if n else t
+        at = end
     return names
 
 
@@ -157,12 +181,11 @@ def _rows(page: str, index: int | None, columns: tuple[str, ...]) -> Iterator[di
         rows = sorted((r for r in table.rows if r.cells), key=lambda r: not r.in_head)
         grid = list(_grid(rows))
         head = _header_length(rows)
-        names = _names(grid[head - 1]) if head else []
-        if index is None and not set(columns) <= set(names):
+        names = _names(grid[head - 1]) if head else {}
+        if index is None and not set(columns) <= set(names.values()):
             continue
-        for texts in grid[head:]:
-            keys = names + [str(i) for i in range(len(names), len(texts))]
-            yield {k: t for k, t in zip(keys, texts) if t}
+        for runs in grid[head:]:
+            yield {names.get(c, str(c)): t for c, t in _columns(runs, names) if t}
         return
 
 

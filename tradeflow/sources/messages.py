@@ -31,7 +31,7 @@ def _with_origin(messages: DataFrame) -> DataFrame:
     """Files that others landed tell the order by the time they were written; their
     messages have no number, so a number of the file stands for it."""
     written = F.unix_millis("_metadata.file_modification_time")
-    other = F.pmod(F.xxhash64("_metadata.file_name"), F.lit(10**18))
+    other = F.pmod(F.xxhash64("_metadata.file_name"), F.lit(1 << 52))
     return messages.select(
         "data",
         "type",

@@ -1,334 +1,211 @@
-"""Hot and cold trades under one root folder.
-
-The hot table is keyed by ``(symbol, ts)`` and the last write wins. A move takes
-all hot rows older than a cutoff to cold. Layout::
-
-    hot/version=V/writer=W/epoch=E/             one append, distinct keys
-    moves/tier=cold/day=D/run=N/                rows that move N archived
-    moves/tier=hot/day=none/run=N/              rows that move N left hot
-    claims/V                                    version V is some append's
-    commits/block=B/run=N/covered=V/            move N covered version V
-    commits/block=B/run=N/through=V/            move N is committed; V is its last
-
-A move writes both tiers in one Spark job, and creating its ``through`` folder
-commits both: before it a reader sees the rows hot, after it each row is in
-exactly one tier. The hot table is the hot tier of the last committed move plus
-the appends after it; the cold table is the cold tier of all committed moves.
-Archived rows lie in a folder per day of trade and are sorted by key within it,
-so a read of few symbols in a short time lists and opens few files and skips
-most of their row groups.
-
-Any number of writers append and one job moves, side by side. A version belongs to
-the writer that created its claim, which the file system grants once; nobody
-removes the folders of others, and a move covers the versions it has read, so one
-that is committed later with a lower number stays hot. An append that died has no
-``_SUCCESS`` and a move that died no ``through`` folder; neither is read.
+"""Hot and cold trades under one root folder, as partitioned Parquet.
+
+The hot table is keyed by ``(symbol, ts)`` and the last write wins. A move takes all
+hot rows older than a cutoff to cold; compaction rewrites the days of cold::
+
+    hot/writer=W/epoch=E/                  one append, distinct keys
+    moves/tier=cold/day=D/run=N/           rows of day D that run N archived or rewrote
+    moves/tier=hot/day=none/run=N/         rows that move N left hot
+    state/run=N/                           run N is committed: one row
+
+Every write overwrites its own partitions only (dynamic partition overwrite), so an
+epoch that a stream runs again replaces itself. A run's row of state commits it: the
+last epoch of each writer that moves have taken, the run whose hot rows are left, and
+the run from which a compacted day is valid. All are tests on partition columns.
+
+Any number of writers append, each in the order of its epochs; one job at a time moves
+and compacts.
 """
 
 from __future__ import annotations
 
-import datetime
+import re
 import time
-from collections.abc import Iterator
-from typing import NamedTuple
+import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, functions as F
 from pyspark.sql import types as T
 
-from tradeflow.functions.time import bound
+from tradeflow.functions.time import bound, day_of
 from tradeflow.operators.latest import latest_per_key
 from tradeflow.operators.trades import older_than
 from tradeflow.schemas import TRADES
+from tradeflow.sources import upkeep
+from tradeflow.sources.upkeep import FILE_BYTES
 
 KEY = ["symbol", "ts"]
-VALUES = ["price", "volume"]
+VALUES = ["price", "volume", "at"]
 
-_HOT = T.StructType([*TRADES.fields, T.StructField("version", T.LongType())])
-_MOVED = T.StructType(
-    [
-        *TRADES.fields,
-        T.StructField("tier", T.StringType()),
-        T.StructField("day", T.StringType()),
-        T.StructField("run", T.LongType()),
-    ]
-)
+_AT = T.StructField("at", T.LongType())  # when the append began, ns
+_HOT = T.StructType([*TRADES.fields, _AT]).add("writer", "string").add("epoch", "long")
+_LEFT = T.StructType([*TRADES.fields, _AT])
+_COLD = T.StructType([*TRADES.fields]).add("day", "string").add("run", "long")
+_NUMBERS = T.MapType(T.StringType(), T.LongType())
+# Of a run: the run that holds the rows left hot; the last epoch taken of each writer;
+# the pieces of each day since it was compacted; the run from which a day is valid.
+_STATE = T.StructType().add("left", "long").add("writers", _NUMBERS).add("pieces", _NUMBERS)
+_STATE = _STATE.add("bases", _NUMBERS).add("at_ms", "long").add("run", "long")
 
-_DAY_MS = 86_400_000
-_EPOCH = datetime.date(1970, 1, 1)
-# Commits per folder, so that finding the last one stays cheap.
-_BLOCK = 1000
 
-
-class Move(NamedTuple):
-    """A committed move: its number and the last version it covered."""
-
-    run: int
-    through: int
+def _known(values: dict[str, int], name: str) -> Column:
+    """The value for the name in a column, -1 where there is none."""
+    if not values:
+        return F.lit(-1).cast("bigint")
+    pairs = [F.lit(x) for name_value in values.items() for x in name_value]
+    return F.coalesce(F.try_element_at(F.create_map(*pairs), F.col(name)).cast("bigint"), F.lit(-1))
 
 
 class TradeStore:
     def __init__(self, spark: SparkSession, root: str):
-        self.spark = spark
-        self.root = root.rstrip("/")
-        self.hot_path = f"{self.root}/hot"
-        self.moves_path = f"{self.root}/moves"
-        self.commits_path = f"{self.root}/commits"
-        self.claims_path = f"{self.root}/claims"
-        cold = f"{self.moves_path}/tier=cold"
-        for path in (self.hot_path, cold, self.commits_path, self.claims_path):
-            self._create(path)
-
-    # Folder listings; the data itself is only touched by Spark jobs.
-
-    def _path(self, path: str):
-        return self.spark._jvm.org.apache.hadoop.fs.Path(path)
-
-    def _files(self, path: str):
-        return self._path(path).getFileSystem(self.spark._jsc.hadoopConfiguration())
-
-    def _exists(self, path: str) -> bool:
-        return self._files(path).exists(self._path(path))
-
-    def _create(self, path: str) -> None:
-        self._files(path).mkdirs(self._path(path))
-
-    def _remove(self, path: str) -> None:
-        self._files(path).delete(self._path(path), True)
-
-    def _match(self, pattern: str) -> list[str]:
-        found = self._files(self.root).globStatus(self._path(pattern)) or []
-        return [status.getPath().toString() for status in found]
-
-    def _values(self, path: str, name: str) -> list[str]:
-        """The values in the folder names ``name=..``."""
-        found = self._files(path).listStatus(self._path(path))
-        names = [status.getPath().getName() for status in found]
-        return [n.split("=", 1)[1] for n in names if n.startswith(f"{name}=")]
-
-    def _numbers(self, path: str, name: str) -> list[int]:
-        """The same as numbers, greatest first."""
-        return sorted(map(int, self._values(path, name)), reverse=True)
-
-    def _committed(self, writer: str = "*", epoch: int | str = "*") -> dict[int, str]:
-        """Committed versions and their folders."""
-        done = self._match(f"{self.hot_path}/version=*/writer={writer}/epoch={epoch}/_SUCCESS")
-        folders = [d.removesuffix("/_SUCCESS") for d in done]
-        return {int(f.rsplit("/", 3)[1].removeprefix("version=")): f for f in folders}
-
-    def _claim(self) -> int:
-        """A version that no other append has or gets."""
-        taken = self._files(self.claims_path).listStatus(self._path(self.claims_path))
-        version = max((int(s.getPath().getName()) for s in taken), default=0) + 1
-        files = self._files(self.claims_path)
-        while not files.createNewFile(self._path(f"{self.claims_path}/{version}")):
-            version += 1
-        return version
-
-    def _covered(self, move: Move) -> set[int]:
-        found = self._match(f"{self.commits_path}/block=*/run=*/covered=*")
-        numbers = [[int(x.split("=")[1]) for x in f.rsplit("/", 2)[1:]] for f in found]
-        return {version for run, version in numbers if run <= move.run}
-
-    def _commit_folder(self, run: int) -> str:
-        return f"{self.commits_path}/block={run // _BLOCK}/run={run}"
-
-    def _runs(self) -> Iterator[int]:
-        """Moves that were begun, last first."""
-        for block in self._numbers(self.commits_path, "block"):
-            yield from self._numbers(f"{self.commits_path}/block={block}", "run")
-
-    def _last_move(self, older_than_s: float = 0) -> Move | None:
-        for run in self._runs():
-            for through in self._numbers(self._commit_folder(run), "through"):
-                commit = self._path(f"{self._commit_folder(run)}/through={through}")
-                if older_than_s:
-                    at_ms = self._files(self.root).getFileStatus(commit).getModificationTime()
-                    if time.time() * 1000 - at_ms < 1000 * older_than_s:
-                        continue
-                return Move(run, through)
-        return None
-
-    # Appends.
+        self.spark, self.root = spark, root.rstrip("/")
+        self.hot_path, self.moves_path, self.state_path = (f"{self.root}/{x}" for x in ("hot", "moves", "state"))
+        self.cold_path = f"{self.moves_path}/tier=cold"
+        self.writer, self.epoch = f"batch-{uuid.uuid4().hex}", 0
+        path = spark._jvm.org.apache.hadoop.fs.Path
+        self._files = path(self.root).getFileSystem(spark._jsc.hadoopConfiguration())
+        for folder in (self.hot_path, self.cold_path, self.state_path):
+            self._files.mkdirs(path(folder))
+
+    def found(self, pattern: str) -> list[str]:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(pattern)
+        return [s.getPath().toString() for s in self._files.globStatus(path) or []]
+
+    def drop(self, folder: str) -> None:
+        self._files.delete(self.spark._jvm.org.apache.hadoop.fs.Path(folder), True)
+
+    def write(self, rows: DataFrame, path: str, *partitions: str) -> None:
+        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(*partitions).parquet(path)
+
+    def states(self) -> list[Row]:
+        """Committed runs, first one first; ``vacuum`` keeps them few."""
+        return sorted(self.spark.read.schema(_STATE).parquet(self.state_path).collect(), key=lambda s: s.run)
+
+    def state(self) -> Row:
+        return (self.states() or [Row(left=None, writers={}, pieces={}, bases={}, at_ms=0, run=0)])[-1]
+
+    def commit(self, state: Row, **changes) -> None:
+        row = {**state.asDict(), "run": state.run + 1, "at_ms": time.time_ns() // 1_000_000, **changes}
+        rows = self.spark.createDataFrame([tuple(row[f] for f in _STATE.names)], _STATE)
+        self.write(rows.coalesce(1), self.state_path, "run")
 
     def append(
-        self,
-        trades: DataFrame,
-        order: list[str] | None = None,
-        writer: str = "batch",
-        epoch: int | None = None,
+        self, trades: DataFrame, order: list[str] | None = None, writer: str | None = None, epoch: int = 0
     ) -> dict[str, int]:
         """Write trades ``symbol, ts (timestamp), price, volume`` over the table.
 
-        Within one call the row with the greatest ``order`` wins, and across
-        calls the later call. Rows without a full key cannot be stored and are
-        counted. An append that repeats one of the same writer and epoch, as
-        after a restart, does nothing.
+        Within one call the row with the greatest ``order`` wins, and across calls the
+        one that began later. Rows without a full key cannot be stored and are counted.
+        A named writer numbers its calls by ``epoch``, upwards: an epoch that comes
+        again replaces itself, and has no effect once a move has taken it.
         """
-        if epoch is not None and self._committed(writer, epoch):
-            return {"rows": 0, "without_key": 0}
-        version = self._claim()
-        keyed = F.col("symbol").isNotNull() & F.col("ts").isNotNull()
-        seen = Observation()
-        unique = latest_per_key(
-            trades.observe(
-                seen,
-                F.count(F.lit(1)).alias("rows"),
-                F.count_if(~keyed).alias("without_key"),
-            ).filter(keyed),
-            KEY,
-            order or [],
-            VALUES,
-        )
-        folder = f"{self.hot_path}/version={version}"
-        (
-            # A read of few symbols opens few files. The ranges are sampled from the
-            # shuffle of the aggregate, so the trades are not read again.
-            unique.select(*TRADES.names)
-            .repartitionByRange(*KEY)
-            .sortWithinPartitions(*KEY)
-            .write.parquet(f"{folder}/writer={writer}/epoch={0 if epoch is None else epoch}")
-        )
+        if writer is None:
+            writer, epoch, self.epoch = self.writer, self.epoch, self.epoch + 1
+        if not re.fullmatch(r"[\w.-]+", writer):
+            raise ValueError(f"a writer's name has letters, digits, _, . and - only: {writer}")
+        keyed, seen = F.col("symbol").isNotNull() & F.col("ts").isNotNull(), Observation()
+        counts = [F.count(F.lit(1)).alias("rows"), F.count_if(~keyed).alias("without_key")]
+        unique = latest_per_key(trades.observe(seen, *counts).filter(keyed), KEY, order or [], VALUES[:2])
+        own = {"at": F.lit(time.time_ns()), "writer": F.lit(writer), "epoch": F.lit(epoch).cast("bigint")}
+        # A read of few symbols opens few files. The ranges are sampled from the
+        # shuffle of the aggregate, so the trades are not read again.
+        rows = unique.withColumns(own).select(*_HOT.names).repartitionByRange(*KEY)
+        self.write(rows.sortWithinPartitions("writer", "epoch", *KEY), self.hot_path, "writer", "epoch")
         return dict(seen.get)
 
-    # Reads.
-
-    def _appended(self, move: Move | None) -> tuple[DataFrame | None, list[int]]:
-        """Rows of the committed appends that no move has covered, with their
-        version, and these versions."""
-        covered = self._covered(move) if move else set()
-        live = {v: f for v, f in self._committed().items() if v not in covered}
-        if not live:
-            return None, []
-        reader = self.spark.read.schema(_HOT).option("basePath", self.hot_path)
-        return reader.parquet(*live.values()).select(*_HOT.names), sorted(live)
-
-    def _left(self, move: Move) -> DataFrame | None:
-        """Rows that a move left hot. Their version is the one it went through,
-        which is below that of any later append."""
-        folders = self._match(f"{self.moves_path}/tier=hot/day=*/run={move.run}")
-        if not folders:
-            return None
-        rows = self.spark.read.schema(TRADES).parquet(*folders)
-        return rows.select(*TRADES.names, F.lit(move.through).cast("bigint").alias("version"))
-
-    def _latest(self, move: Move | None, by_day: bool = False) -> tuple[DataFrame, list[int]]:
-        """Latest row per key of what ``move`` left hot and of all appends that are
-        not in it, and the versions of these.
-
-        With ``by_day`` the rows come range partitioned by day and key. Copies of
-        a key share a range, so no second shuffle is needed to find the latest,
-        and a hot symbol is cut by time. Each append has distinct keys, so a
-        single one needs no aggregate, and no pile of copies can build up.
+    def _appended(self, state: Row) -> DataFrame:
+        rows = self.spark.read.schema(_HOT).parquet(self.hot_path)
+        return rows.filter(F.col("epoch") > _known(state.writers, "writer"))
+
+    def _latest(self, appended: DataFrame, state: Row, by_day: bool = False) -> DataFrame:
+        """Latest row per key of what the last move left hot and of later appends.
+
+        With ``by_day`` the rows come range partitioned by day and key. Copies of a key
+        share a range, so no second shuffle is needed to find the latest, and a hot
+        symbol is cut by time. Each append has distinct keys, so no pile of copies
+        can build up.
         """
-        appended, versions = self._appended(move)
-        left, parts = self._left(move) if move else None, len(versions)
-        if left is not None:
-            rows = left if appended is None else left.unionByName(appended)
-            parts += 1
-        elif appended is not None:
-            rows = appended
-        else:
-            rows = self.spark.createDataFrame([], _HOT)
-        keys = KEY
+        rows, keys = appended.select(*_LEFT.names), KEY
+        if state.left is not None:
+            left = f"{self.moves_path}/tier=hot/day=none/run={state.left}"
+            rows = rows.unionByName(self.spark.read.schema(_LEFT).parquet(left))
         if by_day:
             keys = ["day", *KEY]
             rows = rows.withColumn("day", F.to_date("ts")).repartitionByRange(*keys)
-        if parts > 1:
-            rows = latest_per_key(rows, keys, ["version"], VALUES)
-        return rows.select(*keys, *VALUES), versions
+        return latest_per_key(rows, keys, ["at"], VALUES)
 
     def read_hot(self) -> DataFrame:
         """The hot table as of now: the latest row of each key."""
-        return self._latest(self._last_move())[0].select(*TRADES.names)
-
-    def _days(self, start_ms: int | None, end_ms: int | None) -> Iterator[str]:
-        """The days of the archive that can hold times within the bounds."""
-        for day in self._values(f"{self.moves_path}/tier=cold", "day"):
-            try:
-                number = (datetime.date.fromisoformat(day) - _EPOCH).days
-            except ValueError:
-                yield day  # a year beyond four digits
-                continue
-            after_start = start_ms is None or number >= start_ms // _DAY_MS
-            if after_start and (end_ms is None or number <= end_ms // _DAY_MS):
-                yield day
+        state = self.state()
+        return self._latest(self._appended(state), state).select(*TRADES.names)
+
+    def cold_rows(self, state: Row, folders: list[str]) -> DataFrame:
+        if not folders:
+            return self.spark.createDataFrame([], _COLD)
+        rows = self.spark.read.schema(_COLD).option("basePath", self.cold_path).parquet(*folders)
+        return rows.filter((F.col("run") <= state.run) & (F.col("run") >= _known(state.bases, "day")))
 
     def read_cold(self, start_ms: int | None = None, end_ms: int | None = None) -> DataFrame:
-        """Archived rows as of now, with the run that moved them.
+        """Archived rows as of now, with the run that wrote them there.
 
-        With bounds, ``start_ms <= ts < end_ms``, other days are not even listed.
+        With bounds, ``start_ms <= ts < end_ms``, the files of other days are not listed.
         """
-        move = self._last_move()
-        cold = f"{self.moves_path}/tier=cold"
-        folders = [cold]
+        folders, time_type = [self.cold_path], T.TimestampType()
         if start_ms is not None or end_ms is not None:
-            folders = [f"{cold}/day={day}" for day in self._days(start_ms, end_ms)]
-        if move is None or not folders:
-            return self.spark.createDataFrame([], _MOVED).select(*TRADES.names, "run")
-        reader = self.spark.read.schema(_MOVED).option("basePath", self.moves_path)
-        rows = reader.parquet(*folders).filter(F.col("run") <= move.run)
+            first, last = (None if ms is None else day_of(ms) for ms in (start_ms, end_ms))
+            folders = [
+                f for f in self.found(f"{self.cold_path}/day=*") for day in [f.rsplit("day=", 1)[1]]
+                # A year beyond four digits is not compared.
+                if len(day) > 10 or ((not first or first <= day) and (not last or day <= last))
+            ]
+        rows = self.cold_rows(self.state(), folders)
         if start_ms is not None:
-            rows = rows.filter(F.col("ts") >= bound(start_ms, T.TimestampType()))
+            rows = rows.filter(F.col("ts") >= bound(start_ms, time_type))
         if end_ms is not None:
-            rows = rows.filter(F.col("ts") < bound(end_ms, T.TimestampType()))
+            rows = rows.filter(F.col("ts") < bound(end_ms, time_type))
         return rows.select(*TRADES.names, "run")
 
-    # Moves.
+    def cold_partitions(self) -> list[tuple[str, int]]:
+        """Day and run of the folders that hold the archive as of now."""
+        state, names = self.state(), [f.rsplit("/", 2)[1:] for f in self.found(f"{self.cold_path}/day=*/run=*")]
+        found = [(day.removeprefix("day="), int(run.removeprefix("run="))) for day, run in names]
+        return sorted((day, run) for day, run in found if state.bases.get(day, 0) <= run <= state.run)
+
+    def begin(self, state: Row) -> int:
+        """The number of a new run; what one that died has left under it goes."""
+        for folder in self.found(f"{self.moves_path}/tier=*/day=*/run={state.run + 1}"):
+            self.drop(folder)
+        return state.run + 1
 
     def move(self, cutoff: int) -> dict[str, int]:
         """Take all hot rows with ``ts`` before ``cutoff`` (epoch ms) to cold.
 
-        Rows that come in while this runs are not covered and stay hot.
+        Rows that come in while this runs are not taken and stay hot.
         """
-        done = self._last_move()
-        latest, versions = self._latest(done, by_day=True)
-        run = done.run + 1 if done else 1
-        through = max([done.through if done else 0, *versions])
-        seen = Observation()
+        state = self.state()
+        run, appended, taken = self.begin(state), self._appended(state), {}
+        # The epochs that the rows above are read from; the listing is theirs.
+        for name, epoch in re.findall(r"/writer=([^/]+)/epoch=(\d+)/", "\n".join(appended.inputFiles())):
+            taken[name] = max(int(epoch), taken.get(name, -1), state.writers.get(name, -1))
+        # A batch without epochs here was taken and vacuumed, and never comes again.
+        kept = {w: e for w, e in state.writers.items() if not w.startswith("batch-")}
+        latest, seen = self._latest(appended, state, by_day=True), Observation()
         cold = older_than(latest, cutoff)
-        tiered = latest.observe(
-            seen, F.count_if(cold).alias("moved"), F.count_if(~cold).alias("left")
-        ).withColumns(
-            {
-                "tier": F.when(cold, F.lit("cold")).otherwise(F.lit("hot")),
-                "day": F.when(cold, F.col("day").cast("string")).otherwise(F.lit("none")),
-                "run": F.lit(run).cast("bigint"),
-            }
-        )
-        commit = self._commit_folder(run)
-        if self._exists(commit):
-            for folder in self._match(f"{self.moves_path}/tier=*/day=*/run={run}"):
-                self._remove(folder)
-            self._remove(commit)
-        self._create(commit)
-        (
-            tiered.select(*_MOVED.names)
-            .sortWithinPartitions("tier", "day", "run", *KEY)
-            .write.mode("append")
-            .partitionBy("tier", "day", "run")
-            .parquet(self.moves_path)
-        )
-        for version in versions:
-            self._create(f"{commit}/covered={version}")
-        self._create(f"{commit}/through={through}")
-        return {"run": run, "through": through, **seen.get}
+        counts = [F.count_if(cold).alias("moved"), F.count_if(~cold).alias("left")]
+        place = {
+            "tier": F.when(cold, F.lit("cold")).otherwise(F.lit("hot")),
+            "day": F.when(cold, F.col("day").cast("string")).otherwise(F.lit("none")),
+            "run": F.lit(run).cast("bigint"),
+        }
+        rows = latest.observe(seen, *counts).withColumns(place).sortWithinPartitions(*place, *KEY)
+        self.write(rows, self.moves_path, *place)
+        days = [f.rsplit("/", 2)[1].removeprefix("day=") for f in self.found(f"{self.cold_path}/day=*/run={run}")]
+        pieces = state.pieces | {day: state.pieces.get(day, 0) + 1 for day in days}
+        self.commit(state, left=run if seen.get["left"] else None, writers=kept | taken, pieces=pieces)
+        return {"run": run, **seen.get}
+
+    def compact(self, before: int, file_bytes: int = FILE_BYTES) -> dict[str, int]:
+        return upkeep.compact(self, before, file_bytes)
 
     def vacuum(self, older_than_s: float = 0) -> None:
-        """Delete the hot files that moves committed at least ``older_than_s`` seconds
-        ago have made obsolete.
-
-        A read that began before must have ended by then. The last version of each
-        writer stays, for a replay of it to be recognised.
-        """
-        move = self._last_move(older_than_s)
-        if move is None:
-            return
-        committed = self._committed()
-        last = {folder.rsplit("/", 2)[1]: version for version, folder in sorted(committed.items())}
-        for version in self._covered(move) - set(last.values()):
-            self._remove(f"{self.hot_path}/version={version}")
-            for mark in self._match(f"{self.commits_path}/block=*/run=*/covered={version}"):
-                self._remove(mark)
-        for folder in self._match(f"{self.moves_path}/tier=hot/day=*/run=*"):
-            if int(folder.rsplit("=", 1)[1]) < move.run:
-                self._remove(folder)
+        upkeep.vacuum(self, older_than_s)
