@@ -74,6 +74,18 @@ def test_site_lines(spark, docs):
     assert lines.drop_boilerplate(docs([])).count() == 0
 
 
+def test_site_lines_of_small_hosts(docs):
+    small = [(i, f"menu\nown {i}", "four") for i in range(4)] + [(9, "menu\nx", "one")]
+    got = {r["doc_id"]: r["text"] for r in lines.drop_boilerplate(docs(small)).collect()}
+    assert got == {0: "own 0", 1: "own 1", 2: "own 2", 3: "own 3", 9: "menu\nx"}
+
+
+def test_site_lines_of_a_very_long_text(docs):
+    long = "\n".join(f"line {i} " + "x" * 1000 for i in range(2_000))
+    got = lines.drop_boilerplate(docs([(i, f"{long}\nown {i}", "s") for i in range(3)])).collect()
+    assert {(r["text"], r["n_dropped"]) for r in got} == {(f"own {i}", 2_000) for i in range(3)}
+
+
 def brute_counts(text):
     import re
 
@@ -149,6 +161,56 @@ def test_language(spark, docs):
     assert langid.identify(frame.limit(0), F.lit(True)).count() == 0
 
 
+def test_language_of_null_and_repeated_ids(spark, docs):
+    rng = random.Random(4)
+    texts = [(invented(rng, lang, 40), lang) for lang in ["en", "fr", "de"] * 20]
+    hot = [texts[0]] * 200  # one row makes three quarters of the table
+    rows_ = [(None, t, lang, "s", 1, "e", "e", 9.0) for t, lang in texts + hot]
+    rows_ += [(7, *r[1:]) for r in rows_[:3]] * 2
+    frame = spark.createDataFrame(rows_, docs([]).schema)
+    got = langid.identify(frame, F.lit(True)).collect()
+    assert len(got) == len(rows_) and np.mean([r["lang_pred"] == r["lang"] for r in got]) > 0.95
+    learned = langid.sample(frame, F.lit(True), "doc_id", "text", "lang", 150)
+    assert len(learned) == 63 and {t for t, _ in learned} == {t for t, _ in texts}
+    assert len(langid.sample(frame, F.lit(True), "doc_id", "text", "lang", 5)) == 15
+
+
+def test_excerpts_cover_whole_texts():
+    words = [f"w{i}" for i in range(30_000)]
+    cut = langid.excerpt(" ".join(words)).split()
+    assert len(cut) == langid.SPAN * langid.SPANS and cut[0] == "w0" and cut[-1] == "w29999"
+    assert langid.excerpt("a  b\n c") == "a  b\n c"
+
+
+def test_language_by_brute_force(spark, docs):
+    """The result of the query is the labels' letters, counted word by word."""
+    rng = random.Random(6)
+    known = [(i, invented(rng, lang, 30), lang, "s", 1, "e", "e", 9.0) for i, lang in enumerate(["en", "fr", "de"] * 20)]
+    frame = spark.createDataFrame(known, docs([]).schema)
+    model = langid.fit(langid.sample(frame, F.lit(True), "doc_id", "text", "lang", langid.SAMPLE))
+    for r in langid.identify(frame, F.lit(True)).collect():
+        words = langid.words_of(r["text"])
+        emissions, letters = model.emissions(words)
+        emissions[letters == 0] = 0.0
+        shares = np.zeros(len(model.langs))
+        best = []
+        for k, n in enumerate(letters):  # the marginals of each word by messages from both sides
+            left = np.ones(len(model.langs))
+            for e in emissions[:k]:
+                left = (left * np.exp(e - e.max())) @ np.exp(model.moves)
+                left /= left.sum()
+            right = np.ones(len(model.langs))
+            for e in emissions[:k:-1]:
+                right = np.exp(model.moves) @ (right * np.exp(e - e.max()))
+                right /= right.sum()
+            p = left * right * np.exp(emissions[k] - emissions[k].max())
+            best.append(model.langs[int(p.argmax())])
+            shares += n * p / p.sum()
+        assert r["lang_pred"] == model.langs[int(shares.argmax())]
+        assert abs(r["score"] - shares.max() / shares.sum()) < 1e-4
+        assert [x["lang"] for x in r["runs"] for _ in range(x["words"])] == best
+
+
 def test_code_switches_are_found():
     rng = random.Random(2)
     model = langid.fit([(invented(rng, lang, 60), lang) for lang in SOUNDS for _ in range(30)], 200, 40)

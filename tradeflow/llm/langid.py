@@ -6,8 +6,8 @@ Weights and the transitions between the languages of neighbouring words are fitt
 together by the gradient of the likelihood, on sequences that switch between
 sentences of several languages. Words are labelled by forward-backward.
 
-The model is fitted on a bounded sample, ``SAMPLE`` documents per language; every
-document is then labelled over its whole text where it lies, without a shuffle.
+The model is fitted on a bounded sample, ``SAMPLE`` documents per language and of
+each at most ``SPANS`` spans of ``SPAN`` words; every document is then labelled over its whole text where it lies, without a shuffle.
 """
 
 from __future__ import annotations
@@ -21,7 +21,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tradeflow.session import pin
+
 SAMPLE, SEQUENCES, STEPS = 150, 1000, 60
+SPAN, SPANS = 40, 50  # words of a span; spans of a document that the model may learn from
 BUCKETS = 1 << 16
 BLOCK = 64
 CHARS = 1_000_000  # of a batch labelled at once
@@ -171,8 +174,8 @@ def sequences(texts: list[tuple[str, int]], count: int, rng) -> tuple[list[bytes
     spans: dict[int, list[list[bytes]]] = {}
     for text, lang in texts:
         found = words_of(text)
-        for at in range(0, len(found), 40):
-            spans.setdefault(lang, []).append(found[at : at + 40])
+        for at in range(0, len(found), SPAN):
+            spans.setdefault(lang, []).append(found[at : at + SPAN])
     langs = sorted(k for k, v in spans.items() if v)
     words: list[bytes] = []
     gold: list[int] = []
@@ -182,7 +185,7 @@ def sequences(texts: list[tuple[str, int]], count: int, rng) -> tuple[list[bytes
         for lang in rng.choice(langs, int(rng.integers(1, 4))):
             span = spans[lang][int(rng.integers(len(spans[lang])))]
             low = int(rng.integers(0, max(1, len(span) - 5)))
-            part = span[low : low + int(rng.integers(5, 41))]
+            part = span[low : low + int(rng.integers(5, SPAN + 1))]
             words += part
             gold += [int(lang)] * len(part)
         lengths.append(len(words) - before)
@@ -300,10 +303,12 @@ class Labeller:
     def label(self, texts: list[str]) -> list[tuple[str, float, list[tuple[str, int]]]]:
         """Per text its language, that language's share, and runs of (language, words)."""
         langs = self.model.langs
+        if not langs:
+            return [(UNKNOWN, 0.0, [])] * len(texts)
         split = [words_of(t) for t in texts]
         lengths = np.array([len(ws) for ws in split], np.int64)
         ids = self.ids([w for ws in split for w in ws])
-        if not len(ids) or not langs:
+        if not len(ids):
             return [(UNKNOWN, 0.0, [])] * len(texts)
         full = np.flatnonzero(lengths)
         marginals = forward_backward(self.emissions[ids], lengths[full], self.model.moves)
@@ -323,26 +328,48 @@ class Labeller:
         return out
 
 
+def excerpt(text: str) -> str:
+    """A text of at most ``SPANS`` spans, and of a longer one that many spans, spread
+    evenly over the whole text."""
+    words = text.split()
+    if len(words) <= SPANS * SPAN:
+        return text
+    starts = [i * (len(words) - SPAN) // (SPANS - 1) for i in range(SPANS)]
+    return "\n".join(" ".join(words[s : s + SPAN]) for s in starts)
+
+
 def sample(docs: DataFrame, learn: Column, doc_id: str, text: str, lang: str, per_lang: int):
-    """Texts of up to ``per_lang`` documents of each language, by the smallest hash.
+    """Excerpts of up to ``per_lang`` different rows of each language, by the smallest
+    hash of id, language and text.
 
-    Only ids are ranked; each task keeps the first of each language before the
-    shuffle. Then the chosen texts are read.
+    Only hashes are ranked; each task keeps the first of each language before the
+    shuffle. Then the excerpts are cut where the chosen texts lie, so what comes to
+    the driver has a bound in rows and in words.
     """
     usable = docs.filter(learn & F.col(f"`{lang}`").isNotNull() & F.col(f"`{text}`").isNotNull())
+    row = [F.col(f"`{c}`").cast("string") for c in (doc_id, lang, text)]
     usable = usable.select(
-        F.col(f"`{doc_id}`").alias("_id"), F.col(f"`{lang}`").cast("string").alias("_lang"), F.col(f"`{text}`").alias("_text")
+        row[1].alias("_lang"), row[2].alias("_text"), F.xxhash64(*row).alias("_h1"), F.xxhash64(F.lit("second"), *row).alias("_h2")
     )
-    order = Window.partitionBy("_lang").orderBy(F.xxhash64(F.col("_id").cast("string")), "_id")
-    ids = (
-        usable.select("_id", "_lang")
+    order = Window.partitionBy("_lang").orderBy("_h1", "_h2")
+    chosen = (
+        usable.groupBy("_lang", "_h1", "_h2")
+        .agg(F.count(F.lit(1)).alias("_rows"))
         .withColumn("_rank", F.row_number().over(order))
         .filter(F.col("_rank") <= per_lang)
-        .select("_id")
-        .collect()
+        .select("_h1", "_h2")
     )
-    rows = usable.filter(F.col("_id").isin([r[0] for r in ids])).select("_text", "_lang").collect()
-    return sorted((r[0], r[1]) for r in rows)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = pa.array([excerpt(t.as_py()) for t in batch.column("_text")], pa.string())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], texts], batch.schema.names)
+
+    # A table, so that its size is known to the join.
+    rows = usable.join(pin(chosen, "language-sample"), ["_h1", "_h2"]).select("_h1", "_h2", "_lang", "_text")
+    rows = rows.mapInArrow(cut, "_h1 bigint, _h2 bigint, _lang string, _text string")
+    rows = rows.groupBy("_h1", "_h2").agg(F.first("_text"), F.first("_lang")).collect()
+    return sorted((r[2], r[3]) for r in rows)
 
 
 def identify(
