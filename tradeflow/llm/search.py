@@ -78,7 +78,8 @@ def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def pivot_table(vectors: DataFrame, pivots: np.ndarray, pivot_ids: np.ndarray, k: int) -> DataFrame:
     """``v`` and ``dist`` (to each pivot) packed, ``norm``, and ``seed``: a query's k-th
-    best score among the pivots other than itself, null if there are fewer."""
+    best score among the pivots other than itself, null if there are fewer. Of pivots
+    equal to the query in id and vector one counts as itself."""
 
     def run(batches):
         for batch in batches:
@@ -87,8 +88,10 @@ def pivot_table(vectors: DataFrame, pivots: np.ndarray, pivot_ids: np.ndarray, k
             rows, ids = _matrix(batch.column(1)), batch.column(0).to_numpy()
             asks = batch.column(2).to_numpy(zero_copy_only=False)
             seeds: list = [None] * len(rows)
+            wide, known = _align(rows, pivots)
             for i, scores in zip(np.flatnonzero(asks), products(rows[asks], pivots)):
-                others = np.sort(scores[pivot_ids != ids[i]])[::-1]
+                own = np.flatnonzero((pivot_ids == ids[i]) & (known == wide[i]).all(1))
+                others = np.sort(np.delete(scores, own[:1]))[::-1]
                 seeds[i] = int(others[k - 1]) if len(others) >= k else None
             arrays = [
                 *[batch.column(0), pa.array([r.tobytes() for r in rows], pa.binary()), batch.column(2)],
@@ -96,22 +99,22 @@ def pivot_table(vectors: DataFrame, pivots: np.ndarray, pivot_ids: np.ndarray, k
                 pa.array([d.tobytes() for d in distances(rows, pivots)], pa.binary()),
                 pa.array(seeds, pa.int64()),
             ]
-            names = ["vec_id", "v", "is_query", "norm", "dist", "seed"]
-            yield pa.RecordBatch.from_arrays(arrays, names)
+            names = ["vec_id", "v", "is_query", "norm", "dist", "seed", "row"]
+            yield pa.RecordBatch.from_arrays([*arrays, batch.column(3)], names)
 
-    kinds = "vec_id bigint, v binary, is_query boolean, norm double, dist binary, seed bigint"
+    kinds = "vec_id bigint, v binary, is_query boolean, norm double, dist binary, seed bigint, row bigint"
     return vectors.mapInArrow(run, kinds)
 
 
 def best_of_block(query: tuple, block: tuple, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Ids and scores of the up to k best candidates that reach the query's seed."""
-    q_id, q, q_norm, q_dist, seed = query
-    ids, rows, norms, dists = block
+    own_row, q, q_norm, q_dist, seed = query
+    places, ids, rows, norms, dists = block
     lower = np.zeros(len(ids), np.float32)
     for to_pivot, own in zip(dists, q_dist):
         np.maximum(lower, np.abs(to_pivot - own), out=lower)
     upper = (q_norm + norms - lower.astype(float) ** 2) / 2.0 + SLACK * (q_norm + norms) + 0.5
-    able = np.flatnonzero((upper >= seed) & (ids != q_id))
+    able = np.flatnonzero((upper >= seed) & (places != own_row))
     if not len(able):
         return ids[:0], ids[:0]
     able = able[np.argsort(-upper[able], kind="stable")]
@@ -134,9 +137,9 @@ def _search(k: int):
         if queries.num_rows and block.num_rows:
             q_rows, rows = exact(_packed(queries.column("v"), np.int64), _packed(block.column("v"), np.int64))
             by_pivot = np.ascontiguousarray(_packed(block.column("dist"), np.float32).T)
-            found = (block.column("vec_id").to_numpy(), rows, block.column("norm").to_numpy(), by_pivot)
+            found = (block.column("row").to_numpy(), block.column("vec_id").to_numpy(), rows, block.column("norm").to_numpy(), by_pivot)
             asked = zip(
-                queries.column("vec_id").to_numpy(),
+                queries.column("row").to_numpy(),
                 q_rows,
                 queries.column("norm").to_numpy(),
                 _packed(queries.column("dist"), np.float32),
@@ -145,7 +148,7 @@ def _search(k: int):
             parts = [(q[0], *best_of_block(q, found, k)) for q in asked]
             parts = [(np.full(len(ids), q), ids, scores) for q, ids, scores in parts]
             out = [np.concatenate(p) for p in zip(*parts)]
-        return pa.table({n: pa.array(c, pa.int64()) for n, c in zip(("query_id", "vec_id", "score"), out)})
+        return pa.table({n: pa.array(c, pa.int64()) for n, c in zip(("query", "vec_id", "score"), out)})
 
     return run
 
@@ -164,9 +167,10 @@ def top_k(
     Components count as ``floor(1024 * x)``; the score is the inner product, ties
     go to the smaller id. Rows with a null id take no part, nor do vectors that are
     null or hold a null or non-finite component; a shorter vector counts as filled
-    up with zeros. A query's own row is the rows of its id; of several query rows
-    of one id the smallest vector asks. Equal vectors all stay candidates. No
-    query, or an empty table, gives an empty result.
+    up with zeros. Each row is a vector of its own, also where ids repeat: every query
+    row asks, and only its own row is no candidate, so a repeated id may have several
+    rows of a rank. Equal vectors all stay candidates. No query, or an empty table,
+    gives an empty result.
     """
     scaled = F.transform(
         F.col(f"`{embedding}`"), lambda x: F.floor(F.lit(float(SCALE)) * x.cast("double")).cast("bigint")
@@ -176,6 +180,7 @@ def top_k(
         F.col(f"`{vec_id}`").cast("bigint").alias("vec_id"),
         scaled.alias("v"),
         F.coalesce(is_query, F.lit(False)).alias("is_query"),
+        F.monotonically_increasing_id().alias("row"),
     )
     chosen = rows.orderBy(F.xxhash64("vec_id"), "vec_id", "v").limit(pivots).select("vec_id", "v").collect()
     width = max((len(r["v"]) for r in chosen), default=0)
@@ -185,15 +190,14 @@ def top_k(
 
     n, n_queries = known.agg(F.count(F.lit(1)), F.count_if("is_query")).first()
     blocks, query_blocks = max(1, -(-n // block)), max(1, -(-n_queries // block))
-    asked = known.filter("is_query").groupBy("vec_id").agg(F.min(F.struct("v", "norm", "dist", "seed")).alias("s"))
-    place = F.xxhash64("vec_id", F.lit("block"))
-    asked = asked.select("vec_id", "s.*").withColumns(
+    place = F.xxhash64("row", F.lit("block"))
+    asked = known.filter("is_query").drop("is_query").withColumns(
         {
             "_qb": F.pmod(place, F.lit(query_blocks)).cast("int"),
             "_cb": F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))),
         }
     )
-    stored = known.select("vec_id", "v", "norm", "dist", F.lit(None).cast("bigint").alias("seed")).withColumns(
+    stored = known.drop("is_query", "seed").withColumns(
         {
             "_qb": F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))),
             "_cb": F.pmod(place, F.lit(blocks)).cast("int"),
@@ -202,8 +206,9 @@ def top_k(
     found = (
         asked.groupBy("_qb", "_cb")
         .cogroup(stored.groupBy("_qb", "_cb"))
-        .applyInArrow(_search(k), "query_id bigint, vec_id bigint, score bigint")
+        .applyInArrow(_search(k), "query bigint, vec_id bigint, score bigint")
     )
-    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    order = Window.partitionBy("query").orderBy(F.col("score").desc(), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+    names = known.filter("is_query").select(F.col("row").alias("query"), F.col("vec_id").alias("query_id"))
+    return ranked.join(names, "query").select("query_id", "rank", "vec_id", "score")
