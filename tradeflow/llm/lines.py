@@ -15,7 +15,7 @@ from tradeflow.llm.common import key128
 from tradeflow.session import pin
 
 SHARE = 0.1
-MIN_PAGES = 5
+MIN_PAGES = 2  # a line of one page is no frame
 TRIM = "\t\n\x0b\x0c\r "
 
 

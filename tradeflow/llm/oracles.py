@@ -4,16 +4,16 @@ ORACLES: dict[str, str] = {}
 
 ORACLES["op5_top_k"] = """
 WITH v AS (
-    SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS e
+    SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS e
     FROM embeddings
     WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: isfinite(x))) = len(embedding)
 ), s AS (
-    SELECT q.vec_id AS query_id, c.vec_id,
+    SELECT q.row, q.vec_id AS query_id, c.vec_id,
            list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2]))::BIGINT AS score
-    FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id
+    FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.row <> c.row
 )
 SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (
-    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s
+    SELECT *, row_number() OVER (PARTITION BY row ORDER BY score DESC, vec_id) AS rank FROM s
 ) WHERE rank <= 10
 """
 
@@ -27,7 +27,7 @@ WITH d AS (
     SELECT host, doc_id, unnest(list_distinct(list_transform(ls, lambda x: trim(x, {_BLANK})))) AS line FROM d
 ), often AS (
     SELECT l.host, line FROM l JOIN (SELECT host, count(*) AS pages FROM d GROUP BY host) USING (host)
-    WHERE line <> '' GROUP BY l.host, line, pages HAVING count(*) >= 5 AND count(*) > 0.1 * pages
+    WHERE line <> '' GROUP BY l.host, line, pages HAVING count(*) >= 2 AND count(*) > 0.1 * pages
 ), flagged AS (
     SELECT host, list(line) AS bad FROM often GROUP BY host
 ), k AS (
