@@ -1,6 +1,7 @@
 """Near copies, repeated strings, search, packing, mixing, quotes and the pipeline."""
 
 import hashlib
+import os
 import random
 import zlib
 
@@ -13,6 +14,7 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from tradeflow.llm import jaccard, mixing, packing, queries, quotes, search, shingles, suffixes
 from tradeflow.llm.common import n_words
+from tradeflow.session import pin
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -89,6 +91,30 @@ def test_jaccard_links_over_a_set_without_ids(docs):
     assert sorted((r[0] or 0, r[2]) for r in got.collect()) == [(0, 1), (1, 1), (2, 1)]
 
 
+def test_a_passage_of_many_texts_makes_no_group_of_them(docs):
+    """Pairs of near copies that all hold one passage meet under their own shingles."""
+    passage = [f"p{i}" for i in range(40)]
+    texts = [" ".join([f"t{i}w{k}" for k in range(60)] + passage + ["end"] * copy) for i in range(30) for copy in (0, 1)]
+    rows_ = docs([(i, t, "s") for i, t in enumerate(texts)])
+    found = jaccard.candidates(jaccard._scan(rows_.select("doc_id", "text"), 4, 16), 85)
+    shared = jaccard.shared_sets(rows_.select("doc_id", "text"), found, 4, 85)
+    groups = jaccard.index(shared, 85).groupBy("s").count()
+    assert groups.count() > 0 and groups.agg(F.max("count")).first()[0] == 2
+    got = jaccard.jaccard_join(rows_)
+    assert sorted(tuple(r) for r in got.collect()) == brute_components(texts, 4, 85)
+
+
+def test_packed_shingles_do_not_grow_with_the_buckets(docs):
+    texts = [" ".join(f"t{i}w{k}" for k in range(80)) for i in range(200)]
+    rows_ = docs([(i, t, "s") for i, t in enumerate(texts)]).select("doc_id", "text").coalesce(1)
+
+    def size(buckets):
+        packed = jaccard._scan(rows_, 4, buckets).filter("keys IS NOT NULL")
+        return packed.agg(sum(F.sum(F.octet_length(c)) for c in ("keys", "at", "owners", "places"))).first()[0]
+
+    assert size(100_000) < 3 * size(16)
+
+
 def test_shingles_of_odd_words():
     long_word = "x" * 5000
     a, b = shingles.shingle_sets([long_word + "y a b c", "X" * 5000 + "z a b c"], 4)
@@ -162,6 +188,15 @@ def test_top_k_equals_brute_force(spark):
     assert few.count() == 2
 
 
+def test_top_k_takes_rows_and_not_ids(spark):
+    rows_ = [(100, [1.0, 1.0]), (100, [2.0, 2.0]), (1, [3.0, 0.0]), (100, [1.0, 1.0]), (2, None)]
+    table = spark.createDataFrame(rows_, "vec_id long, embedding array<float>")
+    got = search.top_k(table, F.col("vec_id") == 100, k=2, pivots=3, block=2)
+    m = 1024 * 1024
+    expected = [(100, 1, 100, 4 * m), (100, 2, 1, 3 * m)] * 2 + [(100, 1, 1, 6 * m), (100, 2, 100, 4 * m)]
+    assert sorted(tuple(r) for r in got.collect()) == sorted(expected)
+
+
 def check_packing(rows, texts):
     tokenizer = Tokenizer.from_file(VOCABULARY)
     by_doc = {}
@@ -409,6 +444,16 @@ def test_pipeline_mixes_rows_and_not_ids(spark, docs):
     assert all(abs(r["count"] - goal[r["source"]]) <= 1 for r in taken) and len(taken) == 3
 
 
+def test_pipeline_drops_the_tables_of_the_stage_before(spark, docs):
+    frame, folders = docs([(i, f"the {i} of {i} and w{i}", "a") for i in range(8)]), []
+    for _, stage in corpus_pipeline.STAGES:
+        frame = pin(stage(spark, frame, None), "stage")
+        held = [f for made in vars(corpus_pipeline._tables)["held"].values() for f in made]
+        assert all(os.path.isdir(f) for f in held) and not any(os.path.exists(f) for f in folders if f not in held)
+        folders += held
+    assert len(folders) > 10 and frame.count() > 0
+
+
 def test_pipeline_over_an_empty_table(spark, docs):
     frame = docs([])
     for _, stage in corpus_pipeline.STAGES:

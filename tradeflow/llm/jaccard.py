@@ -8,8 +8,9 @@ anything. So the join runs in three steps.
    distance allows has no partner; most texts end here. Shingles travel as packed
    arrays of 4 bytes each; a hot one costs each task no more than any other.
 2. *Candidates.* The sets left over, one per group of equal sets, are indexed by
-   the shingles that they share with others, in hash order and only as many as a
-   partner cannot avoid. Two sets within the distance meet in one of these groups.
+   the shingles that they share with others, rare ones first and only as many as a
+   partner cannot avoid. Two sets within the distance meet in one of these groups,
+   and a shingle of very many texts makes a group of few of them.
 3. *Regions.* In each group, documents with the most shared shingles become pivots
    and get their exact distances to the documents around them. Those within the
    distance join the pivot's component; each document stays in the region of its
@@ -43,7 +44,7 @@ SKETCH = [f"b{i}" for i in range(16)]
 
 KINDS = (
     "doc_id {id}, n bigint, fp binary, part bigint, place int, "
-    "bucket int, keys binary, owners binary, places binary"
+    "bucket int, keys binary, at binary, owners binary, places binary"
 )
 
 
@@ -51,11 +52,13 @@ def _scan(docs: DataFrame, words: int, buckets: int) -> DataFrame:
     """One row per document, and packed sampled shingles by bucket.
 
     ``part`` numbers the slices of about a megabyte that the tasks work on, and
-    ``place`` the documents in one. A packed row has the shingles' low 32 bits, the
-    places of their documents, and 64 bits of each document's fingerprint.
+    ``place`` the documents in one. A packed row has the shingles' low 32 bits and,
+    for the documents that they are of, the place and 64 bits of the fingerprint;
+    ``at`` says which of these a shingle is of. So a row's size follows its shingles,
+    however many buckets there are.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
-    names = ["doc_id", "n", "fp", "part", "place", "bucket", "keys", "owners", "places"]
+    names = ["doc_id", "n", "fp", "part", "place", "bucket", "keys", "at", "owners", "places"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId() << 32
@@ -67,9 +70,9 @@ def _scan(docs: DataFrame, words: int, buckets: int) -> DataFrame:
                 yield _record(
                     names,
                     rows.column(0),
-                    [[len(s) for s in sets], prints, [part] * m, range(m), *[[None] * m] * 4],
+                    [[len(s) for s in sets], prints, [part] * m, range(m), *[[None] * m] * 5],
                 )
-                owners = b"".join(p[:8] for p in prints)
+                owners = np.frombuffer(b"".join(p[:8] for p in prints), "<u8")
                 chosen = [s[s % np.uint64(OF) < SAMPLED] for s in sets]
                 keys = np.concatenate(chosen) if m else np.empty(0, np.uint64)
                 places = np.repeat(np.arange(m, dtype="<u4"), [len(c) for c in chosen])
@@ -79,14 +82,16 @@ def _scan(docs: DataFrame, words: int, buckets: int) -> DataFrame:
                 found, at = np.unique(bucket, return_index=True)
                 ends = [*at[1:].tolist(), len(keys)]
                 k = len(found)
+                used = [np.unique(places[a:b], return_inverse=True) for a, b in zip(at, ends)]
                 yield _record(
                     names,
                     pa.nulls(k, rows.column(0).type),
                     [
                         [m] * k, [None] * k, [part] * k, [None] * k, found,
                         [keys[a:b].tobytes() for a, b in zip(at, ends)],
-                        [owners] * k,
-                        [places[a:b].tobytes() for a, b in zip(at, ends)],
+                        [own.astype("<u4").tobytes() for _, own in used],
+                        [owners[place].tobytes() for place, _ in used],
+                        [place.tobytes() for place, _ in used],
                     ],
                 )
                 part += 1
@@ -94,7 +99,7 @@ def _scan(docs: DataFrame, words: int, buckets: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, KINDS.format(id=kind))
 
 
-TYPES = [pa.int64(), pa.binary(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
+TYPES = [pa.int64(), pa.binary(), pa.int64(), pa.int32(), pa.int32(), *[pa.binary()] * 4]
 
 
 def _record(names, ids, columns) -> pa.RecordBatch:
@@ -105,13 +110,13 @@ def _record(names, ids, columns) -> pa.RecordBatch:
 def _lone_counts(blobs: pa.Table) -> pa.Table:
     """Per slice, how many of each document's shingles in this bucket occur in no
     other set."""
-    keys, owners, places, sizes = [], [], [], []
-    for k, o, p in zip(*(blobs.column(c).to_pylist() for c in ("keys", "owners", "places"))):
-        place = np.frombuffer(p, "<u4")
+    keys, owners, own, sizes = [], [], [], []
+    for k, a, o in zip(*(blobs.column(c).to_pylist() for c in ("keys", "at", "owners"))):
+        at = np.frombuffer(a, "<u4")
         keys.append(np.frombuffer(k, "<u4"))
-        owners.append(np.frombuffer(o, "<u8")[place])
-        places.append(place)
-        sizes.append(len(place))
+        owners.append(np.frombuffer(o, "<u8")[at])
+        own.append(at)
+        sizes.append(len(o) // 8)
     key, owner = np.concatenate(keys), np.concatenate(owners)
     order = np.argsort(key, kind="stable")
     first = np.flatnonzero(np.diff(key[order], prepend=-1) != 0) if len(key) else np.empty(0, int)
@@ -119,19 +124,20 @@ def _lone_counts(blobs: pa.Table) -> pa.Table:
     lone = np.empty(len(key), bool)
     lone[order] = np.repeat(same, np.diff(first, append=len(key)))
     counts = []
-    for flags, place, m in zip(np.split(lone, np.cumsum(sizes)[:-1]), places, blobs.column("n").to_pylist()):
-        counts.append(np.bincount(place[flags], minlength=m).astype("<u4").tobytes())
-    return pa.table({"part": blobs.column("part"), "counts": pa.array(counts, pa.binary())})
+    for flags, at, m in zip(np.split(lone, np.cumsum([len(k) for k in keys])[:-1]), own, sizes):
+        counts.append(np.bincount(at[flags], minlength=m).astype("<u4").tobytes())
+    return pa.table({"part": blobs.column("part"), "places": blobs.column("places"), "counts": pa.array(counts, pa.binary())})
 
 
 def _sum_counts(rows: pa.Table) -> pa.Table:
-    total = sum(np.frombuffer(c, "<u4").astype(np.int64) for c in rows.column("counts").to_pylist())
+    place, count = (np.frombuffer(b"".join(rows.column(c).to_pylist()), "<u4") for c in ("places", "counts"))
+    total = np.bincount(place, count)
     part = [rows.column("part")[0].as_py()] * len(total)
     return pa.table(
         {
             "part": pa.array(part, pa.int64()),
             "place": pa.array(np.arange(len(total)), pa.int32()),
-            "lone": pa.array(total, pa.int64()),
+            "lone": pa.array(total.astype(np.int64), pa.int64()),
         }
     )
 
@@ -143,15 +149,15 @@ def _may_link(percent: int, a: Column, b: Column, common: Column) -> Column:
 
 def candidates(scanned: DataFrame, percent: int) -> DataFrame:
     """``fp``, ``rep`` and ``n`` of each different set that may have a partner."""
-    blobs = scanned.filter("keys IS NOT NULL").select("part", "n", "bucket", "keys", "owners", "places")
+    blobs = scanned.filter("keys IS NOT NULL").select("part", "bucket", "keys", "at", "owners", "places")
     lone = (
         blobs.groupBy("bucket")
-        .applyInArrow(_lone_counts, "part bigint, counts binary")
+        .applyInArrow(_lone_counts, "part bigint, places binary, counts binary")
         .groupBy("part")
         .applyInArrow(_sum_counts, "part bigint, place int, lone bigint")
     )
     docs = scanned.filter("fp IS NOT NULL AND n > 0").select("doc_id", "n", "fp", "part", "place")
-    rows = docs.join(lone, ["part", "place"])
+    rows = docs.join(lone, ["part", "place"], "left").withColumn("lone", F.coalesce("lone", F.lit(0)))
     common = F.col("n") - F.col("lone")
     open_ = rows.filter(_may_link(percent, F.col("n"), common, common))
     return open_.groupBy("fp").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"))
@@ -188,16 +194,17 @@ def shared_sets(docs: DataFrame, found: DataFrame, words: int, percent: int) ->
     shared = often.groupBy("fp").agg(
         F.first("rep").alias("rep"),
         F.first("n").alias("n"),
-        F.sort_array(F.collect_list("s")).alias("shared"),
+        F.sort_array(F.collect_list(F.struct("_df", "s"))).alias("shared"),
         *sketch,
     )
+    shared = shared.withColumn("shared", F.transform("shared", lambda x: x["s"]))
     shared = shared.withColumn("m", F.size("shared").cast("bigint"))
     return shared.filter(_may_link(percent, F.col("n"), F.col("m"), F.col("m")))
 
 
 def index(shared: DataFrame, percent: int) -> DataFrame:
     """``s``, ``fp`` and ``pos``: a document under the first of its shared shingles, in
-    hash order, that a partner has at least one of."""
+    the order of frequency, that a partner has at least one of."""
     needed = F.ceil(F.col("n") * F.lit(percent) / F.lit(100)).cast("int")
     prefix = F.slice("shared", 1, F.size("shared") - needed + 1)
     rows = shared.select("fp", F.posexplode(prefix).alias("pos", "s"))
