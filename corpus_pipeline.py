@@ -8,13 +8,16 @@ that they name. An empty table passes through all stages.
 
 from __future__ import annotations
 
+import functools
+import threading
+
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tradeflow.llm import jaccard, langid, lines, mixing, packing
 from tradeflow.llm.common import n_words, table
 from tradeflow.llm.queries import VOCABULARY, held_out
-from tradeflow.session import configure, pin
+from tradeflow.session import configure, drop_tables, noted, pin
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 MIN_SHARE = 0.5  # of a text's letters in its main language
@@ -97,13 +100,26 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs, public_tokenizers.path(VOCABULARY))
 
 
-STAGES = [
-    ("language", language),
-    ("site_lines", site_lines),
-    ("near_duplicates", near_duplicates),
-    ("mix", mix),
-    ("pack", pack),
-]
+_tables = threading.local()
+
+
+def _stage(k: int, f):
+    """The stage with the tables of the one before dropped: its rows are stored when
+    this one gets them as ``docs``."""
+
+    @functools.wraps(f)
+    def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        held = vars(_tables).setdefault("held", {})
+        drop_tables(spark, held.pop(k - 1, []))
+        with noted() as made:
+            out = f(spark, docs, sf_dir)
+        held[k] = made
+        return out
+
+    return stage
+
+
+STAGES = [(f.__name__, _stage(k, f)) for k, f in enumerate([language, site_lines, near_duplicates, mix, pack])]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
