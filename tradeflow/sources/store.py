@@ -79,7 +79,9 @@ class TradeStore:
 
     def states(self) -> list[Row]:
         """Committed runs, first one first; ``vacuum`` keeps them few."""
-        return sorted(self.spark.read.schema(_STATE).parquet(self.state_path).collect(), key=lambda s: s.run)
+        # A vacuum may delete old rows meanwhile, never the last one.
+        rows = self.spark.read.schema(_STATE).option("ignoreMissingFiles", True).parquet(self.state_path)
+        return sorted(rows.collect(), key=lambda s: s.run)
 
     def state(self) -> Row:
         return (self.states() or [Row(left=None, writers={}, pieces={}, bases={}, at_ms=0, run=0)])[-1]
