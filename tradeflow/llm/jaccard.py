@@ -208,7 +208,12 @@ def index(shared: DataFrame, percent: int) -> DataFrame:
     needed = F.ceil(F.col("n") * F.lit(percent) / F.lit(100)).cast("int")
     prefix = F.slice("shared", 1, F.size("shared") - needed + 1)
     rows = shared.select("fp", F.posexplode(prefix).alias("pos", "s"))
-    met = rows.groupBy("s").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("s")
+    # Shingles of the same documents make the same pairs, so the first one of them does
+    # for all: it is ahead of the others in each of these documents.
+    members = [F.bit_xor(F.xxhash64(F.lit(mark), "fp")).alias(f"_{mark}") for mark in ("first", "second")]
+    met = rows.groupBy("s").agg(F.count(F.lit(1)).alias("_n"), F.sum("pos").alias("_place"), *members)
+    first = F.min(F.struct("_place", "s"))["s"].alias("s")
+    met = met.filter("_n > 1").groupBy("_n", "_first", "_second").agg(first).select("s")
     return rows.join(met, "s")
 
 
