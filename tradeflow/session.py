@@ -78,6 +78,22 @@ def pin(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def pin_by(df: DataFrame, key: str, name: str) -> DataFrame:
+    """As ``pin``, in buckets of ``key``, as many as there are shuffle partitions: joins
+    on ``key`` then shuffle their other side only. The rows should already be shuffled
+    by ``key``, or each task writes a file for each bucket. The catalog keeps no entry."""
+    spark = df.sparkSession
+    path, table = work_folder(spark, name), f"pinned_{uuid.uuid4().hex}"
+    if _made.get() is not None:
+        _made.get().append(path)
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.bucketBy(buckets, key).sortBy(key).option("path", path).format("parquet").saveAsTable(table)
+    try:
+        return spark.table(table)
+    finally:
+        spark.sql(f"DROP TABLE {table}")  # external: its files stay
+
+
 def drop_tables(spark: SparkSession, folders: list[str]) -> None:
     """Deletes work folders, once the results that were made from them are stored."""
     for folder in folders:
