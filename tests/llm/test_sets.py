@@ -110,7 +110,7 @@ def test_packed_shingles_do_not_grow_with_the_buckets(docs):
 
     def size(buckets):
         packed = jaccard._scan(rows_, 4, buckets).filter("keys IS NOT NULL")
-        return packed.agg(sum(F.sum(F.octet_length(c)) for c in ("keys", "at", "owners", "places"))).first()[0]
+        return packed.agg(sum(F.sum(F.octet_length(c)) for c in ("keys", "sizes", "owners", "places"))).first()[0]
 
     assert size(100_000) < 3 * size(16)
 

@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tradeflow.llm.shingles import batches_of, fingerprint, shingle_sets
-from tradeflow.session import pin
+from tradeflow.session import drop_tables, noted, pin, pin_by
 
 WORDS, PERCENT = 4, 85
 SAMPLED, OF = 3, 8  # shingles that step 1 counts
@@ -44,7 +44,7 @@ SKETCH = [f"b{i}" for i in range(16)]
 
 KINDS = (
     "doc_id {id}, n bigint, fp binary, part bigint, place int, "
-    "bucket int, keys binary, at binary, owners binary, places binary"
+    "bucket int, keys binary, sizes binary, owners binary, places binary"
 )
 
 
@@ -52,13 +52,13 @@ def _scan(docs: DataFrame, words: int, buckets: int) -> DataFrame:
     """One row per document, and packed sampled shingles by bucket.
 
     ``part`` numbers the slices of about a megabyte that the tasks work on, and
-    ``place`` the documents in one. A packed row has the shingles' low 32 bits and,
-    for the documents that they are of, the place and 64 bits of the fingerprint;
-    ``at`` says which of these a shingle is of. So a row's size follows its shingles,
+    ``place`` the documents in one. A packed row has the shingles' low 32 bits in the
+    order of documents and, for these, the place, 64 bits of the fingerprint and in
+    ``sizes`` how many of the shingles are theirs. So a row's size follows its shingles,
     however many buckets there are.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
-    names = ["doc_id", "n", "fp", "part", "place", "bucket", "keys", "at", "owners", "places"]
+    names = ["doc_id", "n", "fp", "part", "place", "bucket", "keys", "sizes", "owners", "places"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId() << 32
@@ -82,14 +82,14 @@ def _scan(docs: DataFrame, words: int, buckets: int) -> DataFrame:
                 found, at = np.unique(bucket, return_index=True)
                 ends = [*at[1:].tolist(), len(keys)]
                 k = len(found)
-                used = [np.unique(places[a:b], return_inverse=True) for a, b in zip(at, ends)]
+                used = [np.unique(places[a:b], return_counts=True) for a, b in zip(at, ends)]
                 yield _record(
                     names,
                     pa.nulls(k, rows.column(0).type),
                     [
                         [m] * k, [None] * k, [part] * k, [None] * k, found,
                         [keys[a:b].tobytes() for a, b in zip(at, ends)],
-                        [own.astype("<u4").tobytes() for _, own in used],
+                        [size.astype("<u4").tobytes() for _, size in used],
                         [owners[place].tobytes() for place, _ in used],
                         [place.tobytes() for place, _ in used],
                     ],
@@ -111,12 +111,13 @@ def _lone_counts(blobs: pa.Table) -> pa.Table:
     """Per slice, how many of each document's shingles in this bucket occur in no
     other set."""
     keys, owners, own, sizes = [], [], [], []
-    for k, a, o in zip(*(blobs.column(c).to_pylist() for c in ("keys", "at", "owners"))):
-        at = np.frombuffer(a, "<u4")
+    for k, a, o in zip(*(blobs.column(c).to_pylist() for c in ("keys", "sizes", "owners"))):
+        size = np.frombuffer(a, "<u4")
+        at = np.repeat(np.arange(len(size)), size)
         keys.append(np.frombuffer(k, "<u4"))
         owners.append(np.frombuffer(o, "<u8")[at])
         own.append(at)
-        sizes.append(len(o) // 8)
+        sizes.append(len(size))
     key, owner = np.concatenate(keys), np.concatenate(owners)
     order = np.argsort(key, kind="stable")
     first = np.flatnonzero(np.diff(key[order], prepend=-1) != 0) if len(key) else np.empty(0, int)
@@ -149,7 +150,7 @@ def _may_link(percent: int, a: Column, b: Column, common: Column) -> Column:
 
 def candidates(scanned: DataFrame, percent: int) -> DataFrame:
     """``fp``, ``rep`` and ``n`` of each different set that may have a partner."""
-    blobs = scanned.filter("keys IS NOT NULL").select("part", "bucket", "keys", "at", "owners", "places")
+    blobs = scanned.filter("keys IS NOT NULL").select("part", "bucket", "keys", "sizes", "owners", "places")
     lone = (
         blobs.groupBy("bucket")
         .applyInArrow(_lone_counts, "part bigint, places binary, counts binary")
@@ -185,21 +186,31 @@ def shared_sets(docs: DataFrame, found: DataFrame, words: int, percent: int) ->
     # Null ids too: a set may have no other; rows of other sets go with the join on fp.
     reps = found.select(F.col("rep").alias("_rep")).distinct()
     texts = docs.join(reps, F.col("doc_id").eqNullSafe(F.col("_rep")), "left_semi")
-    sets = pin(_sets(texts, words).dropDuplicates(["fp"]).join(found, "fp"), "jaccard-sets")
-    each = sets.select("fp", "n", "rep", F.explode("shingles").alias("s"))
+    sets = _sets(texts, words).dropDuplicates(["fp"]).join(found.select("fp"), "fp", "left_semi")
+    each = sets.select("fp", F.explode("shingles").alias("s"))
     often = each.withColumn("_df", F.count(F.lit(1)).over(Window.partitionBy("s"))).filter("_df > 1")
-    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.shiftright("s", 8).bitwiseAND(63).cast("int"))
-    word = F.shiftright("s", 14).bitwiseAND(len(SKETCH) - 1)
-    sketch = [F.coalesce(F.bit_or(F.when(word == i, bit)), F.lit(0)).alias(b) for i, b in enumerate(SKETCH)]
-    shared = often.groupBy("fp").agg(
-        F.first("rep").alias("rep"),
-        F.first("n").alias("n"),
-        F.sort_array(F.collect_list(F.struct("_df", "s"))).alias("shared"),
-        *sketch,
-    )
-    shared = shared.withColumn("shared", F.transform("shared", lambda x: x["s"]))
-    shared = shared.withColumn("m", F.size("shared").cast("bigint"))
-    return shared.filter(_may_link(percent, F.col("n"), F.col("m"), F.col("m")))
+    lists = often.groupBy("fp").agg(F.sort_array(F.collect_list(F.struct("_df", "s"))).alias("shared"))
+    lists = lists.withColumn("shared", F.transform("shared", lambda x: x["s"]))
+    shared = lists.join(found, "fp").withColumn("m", F.size("shared").cast("bigint"))
+    shared = shared.filter(_may_link(percent, F.col("n"), F.col("m"), F.col("m")))
+    # Whole lists are met twice in each round: bucketed, they do not move.
+    return pin_by(_sketched(shared), "fp", "jaccard-shared")
+
+
+def _sketched(shared: DataFrame) -> DataFrame:
+    """Adds the columns of ``SKETCH``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bits = np.zeros((batch.num_rows, len(SKETCH)), np.int64)
+            for row, s in zip(bits, batch.column("shared")):
+                s = s.values.to_numpy()
+                np.bitwise_or.at(row, (s >> 14) & (len(SKETCH) - 1), np.int64(1) << ((s >> 8) & 63))
+            columns = [*batch.columns, *[pa.array(c, pa.int64()) for c in bits.T]]
+            yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, *SKETCH])
+
+    kinds = [f"{f.name} {f.dataType.simpleString()}" for f in shared.schema]
+    return shared.mapInArrow(run, ", ".join([*kinds, *[f"{b} bigint" for b in SKETCH]]))
 
 
 def index(shared: DataFrame, percent: int) -> DataFrame:
@@ -366,16 +377,18 @@ def jaccard_join(
     spark: SparkSession = docs.sparkSession
     rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
     buckets = max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    scanned = pin(_scan(rows, words, buckets), "jaccard-scan")
+    with noted() as packed:
+        scanned = pin(_scan(rows, words, buckets), "jaccard-scan")
     found = pin(candidates(scanned, percent), "jaccard-candidates")
-    shared = pin(shared_sets(rows, found, words, percent), "jaccard-shared")
+    known = pin(scanned.filter("fp IS NOT NULL").select("doc_id", "n", "fp"), "jaccard-documents")
+    drop_tables(spark, packed)
+    shared = shared_sets(rows, found, words, percent)
     groups = pin(index(shared, percent), "jaccard-index")
     comps = link_components(shared, groups, percent)
 
     linked = shared.select("fp", "rep").join(comps, "fp")
     heads = linked.groupBy("comp").agg(F.min("rep").alias("head"))
     heads = linked.join(heads, "comp").select("fp", "head")
-    known = scanned.filter("fp IS NOT NULL").select("doc_id", "n", "fp")
     classes = known.filter("n > 0").groupBy("fp").agg(F.min("doc_id").alias("least"))
     classes = classes.join(heads, "fp", "left").select("fp", F.coalesce("head", "least").alias("component_id"))
     out = known.filter("n > 0").join(classes, "fp", "left").select("doc_id", "n", "component_id")
