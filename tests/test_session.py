@@ -45,3 +45,19 @@ def test_tables_made_meanwhile_can_be_dropped(spark):
     session.drop_tables(spark, made + inner)
     assert not os.path.exists(made[0]) and not os.path.exists(inner[0])
     assert (kept.count(), after.count()) == (2, 5)
+
+
+def test_a_join_on_the_key_of_a_pinned_table_moves_the_other_side_only(spark):
+    rows = spark.range(1000).selectExpr("id", "id % 7 AS k").repartition(4, "id")
+    with session.noted() as made:
+        held = session.pin_by(rows, "id", "held")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = spark.range(0, 2000, 2).join(held, "id")
+        text = joined._jdf.queryExecution().executedPlan().toString()
+        assert text.count("Exchange hashpartitioning") == 1
+        assert joined.count() == 500 and held.count() == 1000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert len(made) == 1 and not [t for t in spark.catalog.listTables() if t.name.startswith("pinned_")]
