@@ -110,6 +110,8 @@ def _stage(k: int, f):
     @functools.wraps(f)
     def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         held = vars(_tables).setdefault("held", {})
+        if k == 0:  # another run's: its result may still be read
+            held.clear()
         drop_tables(spark, held.pop(k - 1, []))
         with noted() as made:
             out = f(spark, docs, sf_dir)

@@ -104,6 +104,24 @@ def test_a_passage_of_many_texts_makes_no_group_of_them(docs):
     assert sorted(tuple(r) for r in got.collect()) == brute_components(texts, 4, 85)
 
 
+def test_a_large_cluster_is_not_compared_with_itself(docs, monkeypatch):
+    """Pivots of different groups ask in their own ones: in the first round one each."""
+    rng = random.Random(4)
+    words = [f"x{i}" for i in range(80)]
+    texts = [" ".join(edited(rng, words, rng.choice([0, 1, 2, 3]))) for _ in range(70)]
+    whole, most = jaccard._distances, []
+
+    def counted(state, pivots, *a):
+        asks = state.join(pivots, [c for c in ("s", "fp") if c in pivots.columns])
+        most.append(asks.groupBy("s").count().agg(F.max("count")).first()[0])
+        return whole(state, pivots, *a)
+
+    monkeypatch.setattr(jaccard, "_distances", counted)
+    got = jaccard.jaccard_join(docs([(i, t, "s") for i, t in enumerate(texts)]))
+    assert sorted(tuple(r) for r in got.collect()) == brute_components(texts, 4, 85)
+    assert most[0] == 1
+
+
 def test_packed_shingles_do_not_grow_with_the_buckets(docs):
     texts = [" ".join(f"t{i}w{k}" for k in range(80)) for i in range(200)]
     rows_ = docs([(i, t, "s") for i, t in enumerate(texts)]).select("doc_id", "text").coalesce(1)
@@ -223,6 +241,24 @@ def check_packing(rows, texts):
     return len(sequences), sum(r["length"] for r in rows)
 
 
+def test_new_words_of_many_texts_are_encoded_in_one_call():
+    encoder, calls = packing.Encoder(VOCABULARY), []
+    texts = [f"w{i} don't é{i}, 's\nx{i % 7}" for i in range(300)] + ["a\n\nb", "", "\n", "y\nx"]
+    expected = [np.array(e.ids, "<u4").tobytes() for e in encoder.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    encode = encoder.tokenizer.encode_batch_fast
+
+    class Counted:
+        def encode_batch_fast(self, some, **options):
+            calls.extend(some)
+            return encode(some, **options)
+
+    encoder.tokenizer = Counted()
+    assert [bytes(x) for x in encoder.encode(texts)] == expected
+    assert len(calls) <= 5  # new words, the newline and texts with other white space
+    del calls[:]
+    assert [bytes(x) for x in encoder.encode(texts[:300])] == expected[:300] and not calls
+
+
 def test_packing_round_trip(docs):
     rng = random.Random(6)
     texts = [" ".join(rng.choice(["alpha", "été", "x", "word,"]) for _ in range(rng.randint(0, 1500))) for _ in range(60)]

@@ -18,7 +18,7 @@ anything. So the join runs in three steps.
    more pivots, against the documents that the triangle inequality leaves: of a
    common region's, those whose distances to its pivot differ by no more than the
    bound. A group ends when all its documents are connected, or all others have
-   been pivots; so every link between different components was looked at.
+   been its pivots; so every link between different components was looked at.
 """
 
 from __future__ import annotations
@@ -254,10 +254,11 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 def link_components(shared: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
     """``fp`` and ``comp``: equal for sets that links connect."""
     members = shared.select(
-        "fp", "n", "m", *SKETCH, F.col("fp").alias("comp"), F.lit(False).alias("done"),
+        "fp", "n", "m", *SKETCH, F.col("fp").alias("comp"),
         F.lit(None).cast("binary").alias("cell"), F.lit(None).cast("double").alias("dist"),
     )
     members, per_group, links = pin(members, "jaccard-members"), 1, []
+    groups = groups.withColumn("done", F.lit(False))
     while True:
         state = groups.join(members, "fp")
         by_comp = state.groupBy("s", "comp").agg(F.count(F.lit(1)).alias("_n"))
@@ -269,7 +270,9 @@ def link_components(shared: DataFrame, groups: DataFrame, percent: int) -> DataF
         open_ = state.filter("comp != _home AND NOT done")
         order = Window.partitionBy("s").orderBy(F.desc(F.col("m") / F.col("n")), F.xxhash64("fp"), "fp")
         pivots = open_.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= per_group)
-        pivots = pin(pivots.select("fp").distinct(), "jaccard-pivots")
+        # A pivot of one group asks in that group only: most documents are the pivot of some
+        # group, and asking in all of theirs would compare a large cluster with itself.
+        pivots = pin(pivots.select("s", "fp"), "jaccard-pivots")
         if pivots.isEmpty():
             break
         found = pin(_distances(state, pivots, shared, percent), "jaccard-distances")
@@ -277,7 +280,9 @@ def link_components(shared: DataFrame, groups: DataFrame, percent: int) -> DataF
         close = found.filter(F.lit(100) * F.col("common") >= F.lit(percent) * union)
         links.append(close.select("fp", "p_fp"))
         members = _advance(members, pivots, found, close)
-        groups, per_group = state.select("s", "fp", "pos"), per_group * GROWTH
+        asked = state.select("s", "fp", "pos", "done").join(pivots.withColumn("_asked", F.lit(True)), ["s", "fp"], "left")
+        groups = asked.select("s", "fp", "pos", (F.col("done") | F.col("_asked").isNotNull()).alias("done"))
+        per_group *= GROWTH
     return _united(members, links)
 
 
@@ -299,11 +304,11 @@ def _edges(comp: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def _distances(state: DataFrame, pivots: DataFrame, shared: DataFrame, percent: int) -> DataFrame:
-    """Exact common shingles of the pivots and the documents around them, but for
+    """Exact common shingles of the pivots and the documents of their groups, but for
     those that cannot link. Shown by the triangle inequality, for documents of one
     region; by the number of shingles from the common one on; or by sketches."""
     own = ["fp", "n", "m", "pos", "comp", "cell", "dist", *SKETCH]
-    asks = state.join(pivots, "fp").select("s", *[F.col(c).alias(f"p_{c}") for c in own])
+    asks = state.join(pivots, ["s", "fp"]).select("s", *[F.col(c).alias(f"p_{c}") for c in own])
     sizes = F.col("n") + F.col("p_n")
     near = F.abs(F.col("dist") - F.col("p_dist")) <= 1.0 - percent / 100.0 + SLACK
     window = F.coalesce((F.col("cell") != F.col("p_cell")) | near, F.lit(True))
@@ -343,13 +348,13 @@ def _advance(members: DataFrame, pivots: DataFrame, found: DataFrame, close: Dat
     union = F.col("n") + F.col("p_n") - F.col("common")
     distance = F.lit(1.0) - F.col("common") / union
     nearest = found.groupBy("fp").agg(F.min(F.struct(distance.alias("d"), F.col("p_fp").alias("p"))).alias("_near"))
-    centres = pivots.withColumn("_centre", F.lit(True))
+    centres = pivots.select("fp").distinct().withColumn("_centre", F.lit(True))
     rows = members.join(labels, "comp", "left").join(nearest, "fp", "left").join(centres, "fp", "left")
     closer = F.col("_near").isNotNull() & (F.col("dist").isNull() | (F.col("_near.d") < F.col("dist")))
     centre = F.col("_centre").isNotNull()
     return pin(
         rows.select(
-            "fp", "n", "m", *SKETCH, F.coalesce("_comp", "comp").alias("comp"), (F.col("done") | centre).alias("done"),
+            "fp", "n", "m", *SKETCH, F.coalesce("_comp", "comp").alias("comp"),
             F.when(centre, F.col("fp")).when(closer, F.col("_near.p")).otherwise(F.col("cell")).alias("cell"),
             F.when(centre, F.lit(0.0)).when(closer, F.col("_near.d")).otherwise(F.col("dist")).alias("dist"),
         ),

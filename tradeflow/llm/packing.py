@@ -15,6 +15,7 @@ import bisect
 import os
 import sys
 import zlib
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from types import ModuleType
@@ -24,10 +25,11 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
+from tradeflow.llm.shingles import batches_of
 from tradeflow.session import pin
 
 LENGTH = 2048
-MEMO = 500_000  # words of a generation of a worker's memo
+MEMO = 250_000  # words of a generation of a worker's memo
 Pattern = list[tuple[int, int]]  # (length, how often), in order of place
 
 
@@ -36,9 +38,9 @@ class Encoder:
 
     Where words are parted by single spaces and newlines only, the ids of a text
     are those of its words in a row (the vocabulary never joins across them), and
-    words are encoded once. Any other text is encoded as it is. The memo has two
-    generations: when the young one is full it becomes the old one, and words that
-    are met again move on, so the frequent ones stay.
+    words are encoded once, the new ones of some texts in one call. Any other text is
+    encoded as it is. The memo has two generations: when the young one is full it
+    becomes the old one, and words that are met again move on, so the frequent ones stay.
     """
 
     def __init__(self, path: str):
@@ -47,12 +49,19 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.newline = self.tokenizer.encode("\n", add_special_tokens=False).ids[0]
         self.memo: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
-    def _raw(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+    def _raw(self, text: str) -> bytes:
+        found = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0]
+        return array("I", found.ids).tobytes()
+
+    def _words(self, words: list[str]) -> list[bytes]:
+        """Ids of each word, from one text of lines: newlines keep ids of their own."""
+        raw = self._raw("\n".join(words))
+        ends = 4 * np.flatnonzero(np.frombuffer(raw, "<u4") == self.newline)
+        return [raw[a:b] for a, b in zip([0, *(ends + 4).tolist()], [*ends.tolist(), len(raw)])]
 
     def _units(self, text: str) -> list[str] | None:
         spaced = text.replace("\n", " ")
@@ -64,23 +73,22 @@ class Encoder:
         return text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
-        for text in texts:
-            units = self._units(text) if text else []
-            if units is None:
-                yield self._raw([text])[0]
-                continue
-            if len(self.memo) > MEMO:
-                self.memo, self.old = {}, self.memo
-            new = []
-            for u in set(units).difference(self.memo):
-                if u in self.old:
-                    self.memo[u] = self.old[u]
-                else:
-                    new.append(u)
-            for at in range(0, len(new), 10_000):
-                part = new[at : at + 10_000]
-                self.memo.update(zip(part, self._raw(part)))
-            yield b"".join(map(self.memo.__getitem__, units))
+        if len(self.memo) > MEMO:
+            self.memo, self.old = {}, self.memo
+        units = [self._units(text) if text else [] for text in texts]
+        new = []
+        for u in set().union(*filter(None, units)).difference(self.memo):
+            if u in self.old:
+                self.memo[u] = self.old[u]
+            elif u == "\n":
+                self.memo[u] = self._raw(u)
+            else:
+                new.append(u)
+        for at in range(0, len(new), 10_000):
+            part = new[at : at + 10_000]
+            self.memo.update(zip(part, self._words(part)))
+        for text, words in zip(texts, units):
+            yield self._raw(text) if words is None else b"".join(map(self.memo.__getitem__, words))
 
 
 def encoder_of(path: str) -> Encoder:
@@ -108,18 +116,17 @@ def pieces(docs: DataFrame, path: str, text: str = "text", length: int = LENGTH)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, seen = encoder_of(path), Counter()
         part = TaskContext.get().partitionId()
-        for batch in batches:
+        for some in (x for batch in batches for x in batches_of(batch, 1)):
             at, out = [], []
-            encoded = encoder.encode([t.as_py() for t in batch.column(1)])
+            encoded = encoder.encode([t.as_py() for t in some.column(1)])
             for i, ids in enumerate(encoded):
                 ids += b"\0\0\0\0"
                 for k, (s, n) in enumerate(cut(len(ids) // 4, length)):
                     at.append(i)
                     out.append((k, s, n, zlib.crc32(ids[4 * s : 4 * (s + n)]), part, seen[n]))
                     seen[n] += 1
-            if at:
-                columns = [pa.array(c, t) for c, t in zip(zip(*out), KINDS)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at)), *columns], names)
+            columns = [pa.array(c, t) for c, t in zip(zip(*out), KINDS)]
+            yield pa.RecordBatch.from_arrays([some.column(0).take(pa.array(at)), *columns], names)
 
     return rows.mapInArrow(
         run,
