@@ -104,11 +104,13 @@ def test_a_passage_of_many_texts_makes_no_group_of_them(docs):
     assert sorted(tuple(r) for r in got.collect()) == brute_components(texts, 4, 85)
 
 
-def test_a_large_cluster_is_not_compared_with_itself(docs, monkeypatch):
+def test_a_large_cluster_is_not_compared_with_itself(spark, monkeypatch):
     """Pivots of different groups ask in their own ones: in the first round one each."""
-    rng = random.Random(4)
-    words = [f"x{i}" for i in range(80)]
-    texts = [" ".join(edited(rng, words, rng.choice([0, 1, 2, 3]))) for _ in range(70)]
+    prints = [bytes([65 + i]) * 16 for i in range(12)]
+    kinds = ", ".join(f"{b} bigint" for b in jaccard.SKETCH)
+    sets = [(p, i, 10, 10, list(range(10)), *[0] * len(jaccard.SKETCH)) for i, p in enumerate(prints)]
+    shared = spark.createDataFrame(sets, f"fp binary, rep bigint, n bigint, m bigint, shared array<bigint>, {kinds}")
+    rows_ = [(s, prints[(s + k) % 12], 0) for s in range(12) for k in range(4)]
     whole, most = jaccard._distances, []
 
     def counted(state, pivots, *a):
@@ -117,8 +119,8 @@ def test_a_large_cluster_is_not_compared_with_itself(docs, monkeypatch):
         return whole(state, pivots, *a)
 
     monkeypatch.setattr(jaccard, "_distances", counted)
-    got = jaccard.jaccard_join(docs([(i, t, "s") for i, t in enumerate(texts)]))
-    assert sorted(tuple(r) for r in got.collect()) == brute_components(texts, 4, 85)
+    comps = jaccard.link_components(shared, spark.createDataFrame(rows_, "s bigint, fp binary, pos int"), 85)
+    assert comps.select("comp").distinct().count() == 1 and comps.count() == 12
     assert most[0] == 1
 
 
