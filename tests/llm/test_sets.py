@@ -261,6 +261,22 @@ def test_new_words_of_many_texts_are_encoded_in_one_call():
     assert [bytes(x) for x in encoder.encode(texts[:300])] == expected[:300] and not calls
 
 
+def test_no_call_gets_very_many_new_words():
+    encoder, calls = packing.Encoder(VOCABULARY), []
+    texts = [" ".join(f"w{i}é{k}" for k in range(30)) for i in range(100)] + ["one", "w1é1"]
+    expected = [np.array(e.ids, "<u4").tobytes() for e in encoder.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    encode = encoder.tokenizer.encode_batch_fast
+
+    class Counted:
+        def encode_batch_fast(self, some, **options):
+            calls.extend(some)
+            return encode(some, **options)
+
+    encoder.tokenizer = Counted()
+    assert [bytes(x) for x in encoder.encode(texts)] == expected
+    assert max(t.count("\n") for t in calls) < 400 and len(calls) <= 10
+
+
 def test_packing_round_trip(docs):
     rng = random.Random(6)
     texts = [" ".join(rng.choice(["alpha", "été", "x", "word,"]) for _ in range(rng.randint(0, 1500))) for _ in range(60)]
