@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from tradeflow.llm import jaccard, mixing, packing, queries, quotes, search, shingles, suffixes
+from tradeflow.llm import jaccard, members, mixing, packing, queries, quotes, search, shingles, suffixes
 from tradeflow.llm.common import n_words
 from tradeflow.session import pin
 
@@ -489,6 +489,31 @@ def test_pipeline_judges_rows_and_not_ids(spark, docs):
     assert got == [(0, "d"), (3, "a"), (5, "b"), (7, "c"), (8, "e"), (9, ""), (9, "")]
 
 
+def test_rows_that_surely_stay_do_not_move(spark, docs):
+    text = lambda name, n=40: " ".join(f"{name}{i}" for i in range(n))
+    frame = pin(docs([(i, text(f"n{i}x"), "s") for i in range(200)] + [(300, text("n7x") + " end", "s")]), "rows")
+    most = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = corpus_pipeline.near_duplicates(spark, frame, None)
+        plan = kept._jdf.queryExecution().sparkPlan().toString()
+        assert sorted(r["doc_id"] for r in kept.collect()) == [*range(200)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", most)
+    stay = plan.split("Union")[1].split("+- ")[1]
+    assert "SortMergeJoin" not in stay and "BroadcastHashJoin" in plan
+
+
+def test_marked_rows(spark):
+    rows_ = spark.createDataFrame([(i, "t") for i in range(5000)] + [(None, "n"), (7, "u")], "k long, text string")
+    asked = [*range(0, 5000, 50), None, 0, 9999]
+    got = members.marked(rows_, "k", spark.createDataFrame([(k,) for k in asked], "x long"), "bits")
+    assert got.columns == ["k", "text", "_maybe"] and got.count() == 5002
+    marked = {r["k"] for r in got.filter("_maybe").collect()}
+    assert marked >= set(asked) - {9999} and len(marked) < 1000
+    assert members.marked(rows_, "k", spark.createDataFrame([], "x long"), "bits").filter("_maybe").count() == 0
+
+
 def test_pipeline_mixes_rows_and_not_ids(spark, docs):
     rng = random.Random(5)
     table = [(i % 50, f"{rng.randrange(10**6)} b c", "xyz"[i % 3]) for i in range(600)] + [(1, "q r s", "x")] * 5

@@ -31,8 +31,9 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from tradeflow.llm.members import marked
 from tradeflow.llm.shingles import batches_of, fingerprint, shingle_sets
-from tradeflow.session import drop_tables, noted, pin, pin_by
+from tradeflow.session import collect_garbage, drop_tables, noted, pin, pin_by
 
 WORDS, PERCENT = 4, 85
 SAMPLED, OF = 3, 8  # shingles that step 1 counts
@@ -185,7 +186,9 @@ def shared_sets(docs: DataFrame, found: DataFrame, words: int, percent: int) ->
     candidates have too, for those that have enough of them."""
     # Null ids too: a set may have no other; rows of other sets go with the join on fp.
     reps = found.select(F.col("rep").alias("_rep")).distinct()
-    texts = docs.join(reps, F.col("doc_id").eqNullSafe(F.col("_rep")), "left_semi")
+    # Most texts are no candidate's, and do not move for the join that makes sure.
+    maybe = marked(docs, "doc_id", found.select("rep"), "jaccard-bits").filter("_maybe").select("doc_id", "text")
+    texts = maybe.join(reps, F.col("doc_id").eqNullSafe(F.col("_rep")), "left_semi")
     sets = _sets(texts, words).dropDuplicates(["fp"]).join(found.select("fp"), "fp", "left_semi")
     each = sets.select("fp", F.explode("shingles").alias("s"))
     often = each.withColumn("_df", F.count(F.lit(1)).over(Window.partitionBy("s"))).filter("_df > 1")
@@ -247,6 +250,7 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
             "v", "_was", F.least("label", F.coalesce("_far", "label")).alias("label")
         )
         labels = pin(step, "component-round")
+        collect_garbage(nodes.sparkSession)
         if labels.filter("label != _was").isEmpty():
             return labels.select("v", "label")
 
@@ -283,6 +287,7 @@ def link_components(shared: DataFrame, groups: DataFrame, percent: int) -> DataF
         asked = state.select("s", "fp", "pos", "done").join(pivots.withColumn("_asked", F.lit(True)), ["s", "fp"], "left")
         groups = asked.select("s", "fp", "pos", (F.col("done") | F.col("_asked").isNotNull()).alias("done"))
         per_group *= GROWTH
+        collect_garbage(shared.sparkSession)
     return _united(members, links)
 
 
@@ -387,6 +392,7 @@ def jaccard_join(
     found = pin(candidates(scanned, percent), "jaccard-candidates")
     known = pin(scanned.filter("fp IS NOT NULL").select("doc_id", "n", "fp"), "jaccard-documents")
     drop_tables(spark, packed)
+    collect_garbage(spark)
     shared = shared_sets(rows, found, words, percent)
     groups = pin(index(shared, percent), "jaccard-index")
     comps = link_components(shared, groups, percent)
