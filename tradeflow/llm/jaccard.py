@@ -33,6 +33,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tradeflow.llm.members import marked
 from tradeflow.llm.shingles import batches_of, fingerprint, shingle_sets
+from tradeflow.llm.workers import lean
 from tradeflow.session import collect_garbage, drop_tables, noted, pin, pin_by
 
 WORDS, PERCENT = 4, 85
@@ -97,7 +98,7 @@ def _scan(docs: DataFrame, words: int, buckets: int) -> DataFrame:
                 )
                 part += 1
 
-    return docs.select("doc_id", "text").mapInArrow(run, KINDS.format(id=kind))
+    return docs.select("doc_id", "text").mapInArrow(lean(run), KINDS.format(id=kind))
 
 
 TYPES = [pa.int64(), pa.binary(), pa.int64(), pa.int32(), pa.int32(), *[pa.binary()] * 4]
@@ -178,7 +179,7 @@ def _sets(docs: DataFrame, words: int) -> DataFrame:
                     ["fp", "shingles"],
                 )
 
-    return docs.select("text").mapInArrow(run, "fp binary, shingles array<bigint>")
+    return docs.select("text").mapInArrow(lean(run), "fp binary, shingles array<bigint>")
 
 
 def shared_sets(docs: DataFrame, found: DataFrame, words: int, percent: int) -> DataFrame:
@@ -213,7 +214,7 @@ def _sketched(shared: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, *SKETCH])
 
     kinds = [f"{f.name} {f.dataType.simpleString()}" for f in shared.schema]
-    return shared.mapInArrow(run, ", ".join([*kinds, *[f"{b} bigint" for b in SKETCH]]))
+    return shared.mapInArrow(lean(run), ", ".join([*kinds, *[f"{b} bigint" for b in SKETCH]]))
 
 
 def index(shared: DataFrame, percent: int) -> DataFrame:

@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tradeflow.llm.workers import lean
 from tradeflow.session import pin
 
 SAMPLE, SEQUENCES, STEPS = 150, 1000, 60
@@ -367,7 +368,7 @@ def sample(docs: DataFrame, learn: Column, doc_id: str, text: str, lang: str, pe
 
     # A table, so that its size is known to the join.
     rows = usable.join(pin(chosen, "language-sample"), ["_h1", "_h2"]).select("_h1", "_h2", "_lang", "_text")
-    rows = rows.mapInArrow(cut, "_h1 bigint, _h2 bigint, _lang string, _text string")
+    rows = rows.mapInArrow(lean(cut), "_h1 bigint, _h2 bigint, _lang string, _text string")
     rows = rows.groupBy("_h1", "_h2").agg(F.first("_text"), F.first("_lang")).collect()
     return sorted((r[2], r[3]) for r in rows)
 
@@ -409,7 +410,7 @@ def identify(
                 yield pa.RecordBatch.from_arrays([*rows.columns, *arrays], [*rows.schema.names, *new])
 
     kinds = keep.schema.simpleString()[len("struct<") : -1]
-    return keep.mapInArrow(predict, _ddl(keep) + ", lang_pred string, score double, runs array<struct<lang:string,words:int>>") if kinds else keep
+    return keep.mapInArrow(lean(predict), _ddl(keep) + ", lang_pred string, score double, runs array<struct<lang:string,words:int>>") if kinds else keep
 
 
 def _ddl(df: DataFrame) -> str:

@@ -13,13 +13,11 @@ from __future__ import annotations
 
 import bisect
 import os
-import sys
 import zlib
 from array import array
 from collections import Counter
 from collections.abc import Iterator
 from operator import itemgetter
-from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tradeflow.llm.shingles import batches_of
+from tradeflow.llm.workers import kept, lean
 from tradeflow.session import pin
 
 LENGTH = 2048
@@ -99,11 +98,8 @@ class Encoder:
 
 
 def encoder_of(path: str) -> Encoder:
-    """One encoder for all tasks of a worker, so that its memo stays warm."""
-    kept = sys.modules.setdefault("_packing_encoders", ModuleType("_packing_encoders")).__dict__
-    if path not in kept:
-        kept[path] = Encoder(path)
-    return kept[path]
+    """One encoder for the tasks of a worker, so that its memo stays warm."""
+    return kept(("encoder", path), lambda: Encoder(path))
 
 
 def cut(n: int, length: int) -> list[tuple[int, int]]:
@@ -136,7 +132,7 @@ def pieces(docs: DataFrame, path: str, text: str = "text", length: int = LENGTH)
             yield pa.RecordBatch.from_arrays([some.column(0).take(pa.array(at)), *columns], names)
 
     return rows.mapInArrow(
-        run,
+        lean(run, keeps=True),
         f"doc_id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint, _part int, _nth bigint",
     )
 
