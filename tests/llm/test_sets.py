@@ -277,6 +277,28 @@ def test_no_call_gets_very_many_new_words():
     assert max(t.count("\n") for t in calls) < 400 and len(calls) <= 10
 
 
+def test_words_of_letters_and_marks_go_to_the_model_alone(monkeypatch):
+    monkeypatch.setattr(packing, "MEMO", 30)  # generations change in between
+    encoder, calls, rng = packing.Encoder(VOCABULARY), [], random.Random(9)
+    word = lambda letters: "".join(rng.choice(letters) for _ in range(rng.randint(1, 7)))
+    plain = [" ".join(word("abéßsɏA") + rng.choice(["", ",", "'", "...", "$#&"]) for _ in range(30)) for _ in range(40)]
+    other = ["".join(word("a's tS.é漢ʼɐ²7—-я\u0301") for _ in range(30)) for _ in range(200)] + ["' don't 's, ...\n, x's"]
+    expected = {t: np.array(encoder.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in plain + other}
+    encode = encoder.tokenizer.encode_batch_fast
+
+    class Counted:
+        def encode_batch_fast(self, some, **options):
+            calls.extend(some)
+            return encode(some, **options)
+
+    encoder.tokenizer = Counted()
+    for at in range(0, 40, 8):
+        assert [bytes(x) for x in encoder.encode(plain[at : at + 8])] == [expected[t] for t in plain[at : at + 8]]
+    assert not calls
+    for at in range(0, len(other), 8):
+        assert [bytes(x) for x in encoder.encode(other[at : at + 8])] == [expected[t] for t in other[at : at + 8]]
+
+
 def test_packing_round_trip(docs):
     rng = random.Random(6)
     texts = [" ".join(rng.choice(["alpha", "été", "x", "word,"]) for _ in range(rng.randint(0, 1500))) for _ in range(60)]

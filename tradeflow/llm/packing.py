@@ -16,32 +16,67 @@ import os
 import zlib
 from array import array
 from collections import Counter
-from collections.abc import Iterator
-from operator import itemgetter
+from collections.abc import Callable, Iterator
+from string import punctuation
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
+from tradeflow.llm.bpe import byte_of
 from tradeflow.llm.shingles import batches_of
 from tradeflow.llm.workers import kept, lean
 from tradeflow.session import pin
 
 LENGTH = 2048
-MEMO = 250_000  # words of a generation of a worker's memo
+MEMO = 500_000  # words of a generation of a worker's memo
 CALL = 400  # new words of a call; many more cost the tokenizer a quarter of its time
+HIGH = "\u0250"  # below, categories are the same in all versions of Unicode that libraries use
+STAND_INS = {b: c for c, b in byte_of().items()}  # characters that stand for bytes in the vocabulary
 Pattern = list[tuple[int, int]]  # (length, how often), in order of place
 
 
+class Memo(dict):
+    """Ids of words as bytes. Words of low letters, of ASCII marks or of the ones before
+    the others get theirs from the model when they are first asked for: the vocabulary
+    cuts only between the two. Any other word goes to ``later`` and gets none. ``old`` is
+    the memo before; its words move on when they are met again."""
+
+    def __init__(self, model, old: dict[str, bytes]):
+        self.model, self.old, self.later = model, old, []
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.old.get(word) or self._ids(word)
+        if ids is None:
+            self.later.append(word)
+            return b""
+        self[word] = ids
+        return ids
+
+    def _ids(self, word: str) -> bytes | None:
+        stem = word.rstrip(punctuation)
+        body = stem.lstrip(" ")
+        letters = body.isalpha() and (body.isascii() or max(body) < HIGH)
+        if letters and len(stem) < len(word):
+            return self[stem] + self[word[len(stem) :]]
+        if not letters and body not in ("", "\n"):
+            return None
+        if letters and body.isascii():
+            stand = word.replace(" ", STAND_INS[ord(" ")])
+        else:
+            stand = word.encode().decode("latin-1").translate(STAND_INS)
+        return array("I", [t.id for t in self.model.tokenize(stand)]).tobytes()
+
+
 class Encoder:
     """Ids of whole texts as little-endian 32-bit bytes.
 
     Where words are parted by single spaces and newlines only, the ids of a text
     are those of its words in a row (the vocabulary never joins across them), and
-    words are encoded once, the new ones of some texts by ``CALL`` at once. Any other
-    text is encoded as it is. The memo has two generations: when the young one is full it
-    becomes the old one, and words that are met again move on, so the frequent ones stay.
+    words are encoded once: plain ones by the ``Memo``, the other new ones of some texts
+    by ``CALL`` at once. Any other text is encoded as it is. The memo has two generations:
+    when the young one is full it becomes the old one, and the frequent words stay.
     """
 
     def __init__(self, path: str):
@@ -51,8 +86,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.newline = self.tokenizer.encode("\n", add_special_tokens=False).ids[0]
-        self.memo: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.memo = Memo(self.tokenizer.model, {})
 
     def _raw(self, text: str) -> bytes:
         found = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0]
@@ -75,26 +109,25 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         if len(self.memo) > MEMO:
-            self.memo, self.old = {}, self.memo
+            self.memo.old = {}
+            self.memo = Memo(self.memo.model, self.memo)
+        get, later = self.memo.__getitem__, self.memo.later
         units = [self._units(text) if text else [] for text in texts]
-        new = []
-        for u in set().union(*filter(None, units)).difference(self.memo):
-            if u in self.old:
-                self.memo[u] = self.old[u]
-            elif u == "\n":
-                self.memo[u] = self._raw(u)
-            else:
-                new.append(u)
+        out: list[bytes | None] = []
+        for words in units:
+            known = len(later)
+            ids = None if words is None else b"".join(map(get, words))
+            out.append(ids if len(later) == known else None)
+        new = list(dict.fromkeys(later))
         for at in range(0, len(new), CALL):
             part = new[at : at + CALL]
             self.memo.update(zip(part, self._words(part)))
-        for text, words in zip(texts, units):
+        later.clear()
+        for text, words, ids in zip(texts, units, out):
             if words is None:
                 yield self._raw(text)
-            elif len(words) > 1:
-                yield b"".join(itemgetter(*words)(self.memo))
             else:
-                yield b"".join(map(self.memo.__getitem__, words))
+                yield b"".join(map(get, words)) if ids is None else ids
 
 
 def encoder_of(path: str) -> Encoder:
